@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import table
-from . import places
+from . import personal, places
 
 
 def p2_found(spark, sf_dir):
     return places.place_of_rows(table(spark, sf_dir, "listings"), table(spark, sf_dir, "place_ref"))
 
 
-QUERIES = {"p2_found": p2_found}
+def p3_found(spark, sf_dir):
+    return personal.find(table(spark, sf_dir, "listings").select("id", "title_ko", "body_ko")).select(F.col("id").alias("listing_id"), "field", "kind", "start_at")
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found}
 SQL: dict[str, str] = {}
