@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import personal, places
+from . import addresses, personal, places
 
 
 def p2_found(spark, sf_dir):
@@ -16,5 +16,9 @@ def p3_found(spark, sf_dir):
     return personal.find(table(spark, sf_dir, "listings").select("id", "title_ko", "body_ko")).select(F.col("id").alias("listing_id"), "field", "kind", "start_at")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found}
+def p4_found(spark, sf_dir):
+    return addresses.same_building(table(spark, sf_dir, "listings"), table(spark, sf_dir, "place_ref"))
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
 SQL: dict[str, str] = {}
