@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import addresses, personal, places
+from . import addresses, boilerplate, history, personal, places
 
 
 def p2_found(spark, sf_dir):
@@ -20,5 +20,13 @@ def p4_found(spark, sf_dir):
     return addresses.same_building(table(spark, sf_dir, "listings"), table(spark, sf_dir, "place_ref"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
+def p6_found(spark, sf_dir):
+    return boilerplate.found(table(spark, sf_dir, "scraped_pages"), table(spark, sf_dir, "listings"))
+
+
+def p7_found(spark, sf_dir):
+    return history.repeated(*[table(spark, sf_dir, t) for t in ("listings", "listings_staging", "sources", "place_ref", "unit_rates")])
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found}
 SQL: dict[str, str] = {}
