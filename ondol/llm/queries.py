@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import addresses, boilerplate, history, personal, places
+from . import addresses, boilerplate, history, mixing, personal, places, tokens
 
 
 def p2_found(spark, sf_dir):
@@ -28,5 +28,17 @@ def p7_found(spark, sf_dir):
     return history.repeated(*[table(spark, sf_dir, t) for t in ("listings", "listings_staging", "sources", "place_ref", "unit_rates")])
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found}
+def p8_ids(spark, sf_dir):
+    return tokens.encoded(table(spark, sf_dir, "documents"))
+
+
+def p9_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 SQL: dict[str, str] = {}
