@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import addresses, boilerplate, history, mixing, personal, places, tokens
+from . import addresses, boilerplate, history, mixing, personal, places, sentences, tokens
 
 
 def p2_found(spark, sf_dir):
@@ -40,5 +40,9 @@ def p9_shares(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+def p10_found(spark, sf_dir):
+    return sentences.found(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 SQL: dict[str, str] = {}
