@@ -61,10 +61,10 @@ class SnapshotTable:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def version(self) -> int:
-        pointer = self._path(f"{self.path}/_current.json")
+        pointer = self._path(f"{self.path}/current.json")
         if not self._fs.exists(pointer):
             return 0
-        return json.loads(self.spark.read.text(f"{self.path}/_current.json").first()[0])["version"]
+        return json.loads(self.spark.read.text(f"{self.path}/current.json").first()[0])["version"]
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/v{self.version()}")
@@ -72,7 +72,7 @@ class SnapshotTable:
     def write(self, df: DataFrame) -> int:
         v = self.version() + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        out = self._fs.create(self._path(f"{self.path}/_current.json"), True)
+        out = self._fs.create(self._path(f"{self.path}/current.json"), True)
         out.write(bytearray(json.dumps({"version": v}).encode()))
         out.close()
         return v
