@@ -110,7 +110,8 @@ def near(texts: DataFrame, entries: DataFrame, k: int = EDITS) -> DataFrame:
     # the segment sizes that references of about this length have
     low, high = F.floor((F.length("name") - k) / (k + 1)), F.floor((F.length("name") + k) / (k + 1)) + 1
     grams = grams.where((F.col("size") >= low) & (F.col("size") <= high)).select("name", F.posexplode(F.expr("transform(sequence(1, length(name) - size + 1), p -> substring(name, p, size))")).alias("pos", "piece"))
-    met = grams.join(pieces, "piece").where(f"abs(pos - at) <= {k} and abs(length(name) - n) <= {k} and name <> entry")
+    # the estimate of an exploded side is too small for the planner to be left to broadcast it
+    met = grams.join(pieces.hint("shuffle_hash"), "piece").where(f"abs(pos - at) <= {k} and abs(length(name) - n) <= {k} and name <> entry")
     return met.select("name", "entry").distinct().withColumn("distance", F.levenshtein("name", "entry")).where(f"distance <= {k}")
 
 
