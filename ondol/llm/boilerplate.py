@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 #: The bound of the labelled sample.
 TRAIN_PAGES = 2000
+#: Pages of the sample with more nodes than this don't train the model (all pages are labelled by it).
+TRAIN_NODES = 500
 #: Hash buckets of the features, steps and regularisation of the fit, and the weight of the parent-child potentials.
 BUCKETS, STEPS, DECAY, PAIR_WEIGHT = 1 << 18, 120, 1e-4, 0.5
 
@@ -298,17 +300,20 @@ def labelled(html: str, body: str) -> list[tuple[Node, list[str], int]] | None:
 def fit(pages: DataFrame, listings: DataFrame) -> Model:
     """Potentials from at most ``TRAIN_PAGES`` pages whose url is that of a listing with a body."""
     good = pages.where("html_content is not null and http_status = 200").select("id", F.col("url").alias("_u"), "html_content")
-    # the sample: the pages with the smallest hashes, found without moving the pages themselves
-    sample = F.broadcast(good.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(2 * TRAIN_PAGES).select("id"))
+    # the sample: the pages with the smallest hashes; only their ids and urls are broadcast, at most TRAIN_PAGES of each
+    sample = F.broadcast(good.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(TRAIN_PAGES).select("id"))
     chosen = good.join(sample, "id", "left_semi")
-    bodies = listings.where("length(trim(body_ko)) > 0").select(F.col("url").alias("_v"), "body_ko")
-    both = F.broadcast(chosen).join(bodies, F.col("_u") == F.col("_v")).dropDuplicates(["id"]).select("html_content", "body_ko")
+    urls = F.broadcast(chosen.select(F.col("_u").alias("_v")).distinct())
+    bodies = listings.where("length(trim(body_ko)) > 0").select(F.col("url").alias("_v"), "body_ko").join(urls, "_v", "left_semi")
+    bodies = bodies.groupBy("_v").agg(F.min("body_ko").alias("body_ko"))
+    both = chosen.hint("shuffle_hash").join(bodies, F.col("_u") == F.col("_v")).select("html_content", "body_ko")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for html, body in zip(pdf.html_content, pdf.body_ko):
                 rows = labelled(html, body) or []
+                rows = rows if len(rows) <= TRAIN_NODES else []
                 of = {id(x): y for x, _, y in rows}
                 out += [(hashed(fs), y, of[id(x.parent)] if x.parent else -1) for x, fs, y in rows]
             yield pd.DataFrame(out, columns=["buckets", "label", "parent"])
