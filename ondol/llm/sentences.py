@@ -98,6 +98,7 @@ def paragraphs(text: str) -> Iterator[tuple[int, int]]:
     yield at, len(text)
 
 
+@lru_cache(maxsize=1 << 17)
 def contexts(kind: str, before2: str, before1: str, word: str, bare: str, emoticon: bool) -> tuple[int, int, int, int]:
     """The buckets of the contexts before an event, the shortest first."""
     trailed = "^" if emoticon or bare != word else ""
@@ -175,8 +176,8 @@ def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[
     return tokens, gaps
 
 
-def observed(text: str) -> Iterator[tuple[int, int, int]]:
-    """(bucket, 1, 1 if a certain end or beginning) of every context of a document."""
+def observed(text: str) -> Iterator[tuple[int, int]]:
+    """(bucket, 1 if a certain end or beginning) of every context of a document."""
     for start, end in paragraphs(text):
         tokens, gaps = units(text, start, end)
         if not tokens:
@@ -186,8 +187,8 @@ def observed(text: str) -> Iterator[tuple[int, int, int]]:
                 continue
             ends = 1 if g.kind == "line" else 0
             for c in g.contexts:
-                yield c, 1, ends
-            yield g.following, 1, 1 if g.kind == "mark" and g.fixed or (g.kind == "line") else 0
+                yield c, ends
+            yield g.following, 1 if g.kind == "mark" and g.fixed or (g.kind == "line") else 0
         last = [looked_up(text[start + x : start + y]) for x, y in tokens[-6:]]
         emoticon = last[-1][3]
         while len(last) > 1 and last[-1][3]:
@@ -195,28 +196,29 @@ def observed(text: str) -> Iterator[tuple[int, int, int]]:
         forms = ["<s>", "<s>", *[x[0] for x in last]]
         kind = "m" if emoticon or last[-1][2] else "w"
         for c in contexts(kind, forms[-3], forms[-2], forms[-1], last[-1][1], emoticon):
-            yield c, 1, 1
-        yield bucket("b", shape(text[start + tokens[0][0] : start + tokens[0][1]])), 1, 1
+            yield c, 1
+        yield bucket("b", shape(text[start + tokens[0][0] : start + tokens[0][1]])), 1
         # what ends with a mark that is never part of a word tells how often ends are followed by a paragraph's end
         for g in gaps:
             if g.kind == "mark" and g.fixed:
-                yield bucket("base"), 1, 0
+                yield bucket("base"), 0
         if kind == "m" and text[start + tokens[-1][1] - 1] in "!?。！？":
-            yield bucket("base"), 1, 1
+            yield bucket("base"), 1
 
 
 def fit(documents: DataFrame, text: str = "text") -> np.ndarray:
     """Counts by bucket (seen, ended) over all documents: at most ``BUCKETS`` rows reach the driver."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros((BUCKETS, 2), dtype=np.int64)
+        seen, ended = [0] * BUCKETS, [0] * BUCKETS
         for pdf in batches:
             for t in pdf[text]:
                 if not t:
                     continue
-                for b, n, e in observed(t):
-                    table[b, 0] += n
-                    table[b, 1] += e
+                for b, e in observed(t):
+                    seen[b] += 1
+                    ended[b] += e
+        table = np.array([seen, ended], dtype=np.int64).T
         used = np.flatnonzero(table[:, 0])
         yield pd.DataFrame({"bucket": used, "seen": table[used, 0], "ended": table[used, 1]})
 
@@ -229,12 +231,22 @@ def fit(documents: DataFrame, text: str = "text") -> np.ndarray:
 class Model:
     def __init__(self, counts: np.ndarray):
         self.seen, self.ended = counts[:, 0].tolist(), counts[:, 1].tolist()
+        self.kept: dict[tuple, float] = {}
         b = bucket("base")
         # the share of certain sentence ends that end a paragraph
         self.base = min(1.0, max(0.05, (self.ended[b] + 1) / (self.seen[b] + 3)))
 
     def probability(self, g: Gap) -> float:
-        """The posterior of the event at one gap from its own context, before the neighbours are heard."""
+        """The posterior of the event at one gap from its own context, before the neighbours are heard; kept for gaps that recur."""
+        key = (g.kind, g.contexts, g.following, g.word, g.after)
+        p = self.kept.get(key)
+        if p is None:
+            if len(self.kept) > 1 << 17:
+                self.kept.clear()
+            p = self.kept[key] = self._probability(g)
+        return p
+
+    def _probability(self, g: Gap) -> float:
         bare = looked_up(g.word)[1]
         spaced = SPACED.search(bare) is not None
         base = self.base if g.kind == "mark" or spaced else 1.0
@@ -264,9 +276,13 @@ class Model:
 def posteriors(gaps: list[Gap], model: Model) -> list[float]:
     """Forward-backward over the events of a paragraph; two ends next to each other are unlikely."""
     n = len(gaps)
-    own = [(1 - p, p) for p in (1.0 if g.fixed else 0.0 if g.fixed is False else model.probability(g) for g in gaps)]
+    own = []
+    for g in gaps:
+        p = model.probability(g) if g.fixed is None else 1.0 if g.fixed else 0.0
+        own.append((1.0 - p, p))
     # the factor of an end right after an end; scripts that only have spaces between sentences are left alone
-    short = [SHORT if i and all(g.fixed is None and g.kind != "line" and not SPACED.search(g.word) for g in (gaps[i - 1], gaps[i])) else 1.0 for i in range(n)]
+    free = [g.fixed is None and g.kind != "line" and (g.word.isascii() or SPACED.search(g.word) is None) for g in gaps]
+    short = [SHORT if a and b else 1.0 for a, b in zip([False, *free], free)]
     ahead = [(1.0, 1.0)] * n
     for i in range(n - 2, -1, -1):
         a, b = own[i + 1][0] * ahead[i + 1][0], own[i + 1][1] * ahead[i + 1][1]
