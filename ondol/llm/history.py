@@ -100,9 +100,9 @@ def offers(rows: DataFrame, places: DataFrame, unit_rates: DataFrame) -> DataFra
     """
     read = materialize(titles(rows.where("title is not null and city is not null and epoch is not null"), unit_rates).drop("title"), "offers")
     null = F.lit("\x00")
-    named = building_names(read).withColumnsRenamed({"prev": "_p", "last": "_l"})
+    named = materialize(building_names(read), "names").withColumnsRenamed({"prev": "_p", "last": "_l"})
+    where = materialize(P.match_places(read.select("city", F.col("state").alias("state_or_province")), places).where("place_id > 0"), "places").select(F.col("city").alias("_c"), F.coalesce("state", null).alias("_s"), F.col("place_id").alias("place"))
     read = read.join(named, F.coalesce("prev", null).eqNullSafe(F.coalesce("_p", null)) & (F.col("last") == F.col("_l")))
-    where = P.match_places(read.select("city", F.col("state").alias("state_or_province")), places).where("place_id > 0").select(F.col("city").alias("_c"), F.coalesce("state", null).alias("_s"), F.col("place_id").alias("place"))
     read = read.join(where, (F.col("city") == F.col("_c")) & (F.coalesce("state", null) == F.col("_s")))
     return read.select("id", "batch", "epoch", *OFFER).where("number is not null and beds is not null and baths is not null and rent is not null")
 
