@@ -356,5 +356,5 @@ def main_content(pages: DataFrame, model: Model) -> DataFrame:
 def found(pages: DataFrame, listings: DataFrame) -> DataFrame:
     """(page_id, para_md5), one row per distinct paragraph of a page."""
     rows = main_content(pages, fit(pages, listings))
-    # the paragraphs of a page come from one row, so distinct within it needs no shuffle of texts
+    # only the hashes are shuffled, not the texts
     return rows.groupBy("page_id").agg(F.collect_set(F.md5(F.encode("paragraph", "UTF-8"))).alias("m")).select("page_id", F.explode("m").alias("para_md5"))

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 18
 #: Strength of the back-off, bound of the odds of the following word, chance of one-word sentences, and of an end at a space.
 BACK_OFF, BOUND, SHORT, AT_SPACE = 6.0, 6.0, 0.1, 0.3
+#: Characters at the end of a word that are looked at for marks and emoticons.
+TAIL = 64
 
 CLOSERS = "\"'”’»」』）)】》〉]"
 STOPS = ".!?。！？…．｡"
@@ -35,11 +37,11 @@ PARAGRAPH = re.compile(r"(?:\r\n|\r|\n| | )[ \t 　]*(?:(?:\r\n|\r|\n| |
 LINE = re.compile(r"\r\n|\r|\n| | |\x0b|\x0c|\x85")
 TOKEN = re.compile(rf"[^\s。！？｡]+(?:[。！？｡]+[{re.escape(CLOSERS)}]*)?|[。！？｡]+[{re.escape(CLOSERS)}]*")
 ENDS = re.compile(rf"[{re.escape(STOPS)}]+[{re.escape(CLOSERS)}]*(?:[ㅋㅎㅠㅜ^~♥☀-➿\U0001f000-\U0001faff️‍]*)$")
-EMOTICON = re.compile(r"(?:[:;=8][-^']?[)(DPp3oO/\\|\]\[*]+|[\^ㅋㅎㅠㅜㅇ~♥♡!?.…]{1,}|\^[_.\-]?\^|[TㅜㅠQ][_.]?[TㅜㅠQ]|[←-⇿⌀-⏿☀-➿⬀-⯿\U0001f000-\U0001faff️‍⃣\U000e0020-\U000e007f]+[!?.~]*)+$")
+EMOTICON = re.compile(r"(?:[:;=8][-^']?[)(DPp3oO/\\|\]\[*]+|[\^ㅋㅎㅠㅜㅇ~♥♡!?.…]++|\^[_.\-]?\^|[TㅜㅠQ][_.]?[TㅜㅠQ]|[←-⇿⌀-⏿☀-➿⬀-⯿\U0001f000-\U0001faff️‍⃣\U000e0020-\U000e007f]++[!?.~]*+)++$")
 TRAILING = re.compile(r"(?:[ㅋㅎㅠㅜ]{2,}|\^\^|~+|[☀-➿\U0001f000-\U0001faff️‍]+)$")
 NUMBER_LEAD = re.compile(r"(?:\(?\d{1,3}[.)]|[①-⑳]|\d{1,3}\))$")
 BULLET = re.compile(r"\s*(?:[-*•■●▪◦○□◆◇▶►※·☞✔✓]|#{1,6})(?=\s|[^\s\d*#-])")
-BRACKETED = re.compile(r"\s*(?:\[[^\]]*\]|<[^<>]*>|【[^】]*】|\([^)]*\)|={2,}.*={2,})\s*$")
+BRACKETED = re.compile(r"\s*(?:\[[^\]]*\]|<[^<>]*>|【[^】]*】|\([^)]*\))\s*$")
 PAIRS = {"“": "”", "「": "」", "『": "』", "«": "»", "‘": "’", "《": "》", "（": "）", "(": ")"}
 #: Words that go on after a quotation, and polite endings that close a Korean clause.
 GOES_ON = re.compile(r"(?:하고|라고|라며|라면서|이라고|하며|하는|라는|하면서|고|며|との|と|って|そう|등|는|은|을|를|의|도|만)(?![가-힣]{3})")
@@ -64,8 +66,11 @@ def bucket(*parts: str) -> int:
 def looked_up(word: str) -> tuple[str, str, bool, bool]:
     """The shape of a word, the shape without what trails it, whether it ends with a mark, whether it is an emoticon."""
     form = shape(word)
-    emoticon = EMOTICON.match(word) is not None and word.strip(".…!?") != ""
-    return form, TRAILING.sub("", form) or form, ENDS.search(word) is not None, emoticon
+    # marks and emoticons stand at the end; a bounded tail keeps runs of thousands of marks cheap
+    tail = form[-TAIL:]
+    bare = form[:-TAIL] + TRAILING.sub("", tail)
+    emoticon = len(word) <= TAIL and EMOTICON.match(word) is not None and word.strip(".…!?") != ""
+    return form, bare or form, ENDS.search(word[-TAIL:]) is not None, emoticon
 
 
 class Gap:
@@ -119,7 +124,7 @@ def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[
     for k in range(len(edges) - 1):
         line = part[edges[k] : edges[k + 1]]
         stripped = line.strip()
-        alone.append(bool(stripped) and bool(BULLET.match(line) or BRACKETED.match(line) or (stripped[-1] in ":：" and len(stripped) <= 40)))
+        alone.append(bool(stripped) and bool(BULLET.match(line) or BRACKETED.match(line) or (len(stripped) > 4 and stripped.startswith("==") and stripped.endswith("==")) or (stripped[-1] in ":：" and len(stripped) <= 40)))
     row, k = [], 0
     for a, _ in tokens:
         while k + 1 < len(edges) - 1 and edges[k + 1] <= a:

@@ -126,6 +126,11 @@ def test_long_text_is_read_whole(model):
     assert len(out) == 20_000 and out[-1][1] == len(text) - 1
 
 
+@pytest.mark.parametrize("text", ["ㅋ" * 5000 + "입니다", "." * 20_000 + "x", "😂" + "!" * 5000 + "x", "=" * 20_000 + "x", "'" * 5000, "가" * 100_000, "(" * 5000, "\n " * 5000 + "x"])
+def test_hostile_texts_end_soon(model, text):
+    assert sentences.sentences(text, model)[-1][1] == len(text.rstrip())
+
+
 def test_posteriors_equal_enumeration(model):
     import itertools
     import math
