@@ -65,5 +65,5 @@ def test_the_more_exact_statement_counts(spark):
     sources = spark.createDataFrame([(1, LA)], "id int, time_zone string")
     listings = spark.createDataFrame([(7, 1, "2024-06-01T00:00:00Z"), (8, 1, "2024-06-01"), (9, 5, "2024-06-01"), (10, None, "2024-06-01T00:00:00+09:00")], "id long, source_id int, posted_at_utc string")
     out = rows(normalised_times(listings, df, sources))
-    assert out == [("listings", 8, "2024-06-01T07:00:00Z"), ("listings", 10, "2024-05-31T15:00:00Z"), ("scraped_pages", 1, "2024-06-03T05:01:32Z")]
+    assert out == [("listings", 10, "2024-05-31T15:00:00Z"), ("listings", 8, "2024-06-01T07:00:00Z"), ("scraped_pages", 1, "2024-06-03T05:01:32Z")]
     assert normalised_times(listings.limit(0), df.limit(0), sources).count() == 0
