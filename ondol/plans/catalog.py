@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, contact, dates, location, price, text, urls
 from ..operators import boards, fuzzy, relational, tables, validate
-from ..session import table
+from ..session import spread, table
 from ..sources import cache, pages as page_source
 from ..streaming import seen
 
@@ -490,13 +490,13 @@ def page_title(spark, d):
     p = table(spark, d, "scraped_pages").where("http_status = 200 and html_content is not null").select("id", "url", "html_content")
     layout = boards.Layout(title=("title",), body=("body",))
     boards.REGISTRY.setdefault("title", layout)
-    return boards.parse_details(p, "title").select("id", F.col("title_ko").alias("title"))
+    return boards.parse_details(spread(p), "title").select("id", F.col("title_ko").alias("title"))
 
 
 @query()
 def page_parse(spark, d):
     p = table(spark, d, "scraped_pages").where("http_status = 200").select("id", "url", "html_content")
-    return boards.parse_details(p, "default").select("id", "title_ko", "body_ko", "raw_price", "raw_location", "raw_posted_at", "source_listing_id", "error")
+    return boards.parse_details(spread(p), "default").select("id", "title_ko", "body_ko", "raw_price", "raw_location", "raw_posted_at", "source_listing_id", "error")
 
 
 @query("SELECT DISTINCT source_id, url FROM scraped_pages")

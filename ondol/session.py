@@ -53,3 +53,10 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     path = scratch(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The frame over at least as many partitions as there are cores, for Python passes over few large files. Inputs of enough
+    partitions aren't moved."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
