@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: The bound of the labelled sample.
 TRAIN_PAGES = 2000
 #: Pages of the sample with more nodes than this don't train the model (all pages are labelled by it).
@@ -350,7 +352,7 @@ def main_content(pages: DataFrame, model: Model) -> DataFrame:
             rows = [(i, k, t) for i, html in zip(pdf.id, pdf.html_content) for k, t in enumerate(content(html, m))]
             yield pd.DataFrame(rows, columns=["page_id", "position", "paragraph"])
 
-    return pages.where("html_content is not null and http_status = 200").select("id", "html_content").mapInPandas(run, "page_id bigint, position int, paragraph string")
+    return spread(pages.where("html_content is not null and http_status = 200").select("id", "html_content")).mapInPandas(run, "page_id bigint, position int, paragraph string")
 
 
 def found(pages: DataFrame, listings: DataFrame) -> DataFrame:

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 BUCKETS = 1 << 18
 #: Strength of the back-off, bound of the odds of the following word, chance of one-word sentences, and of an end at a space.
 BACK_OFF, BOUND, SHORT, AT_SPACE = 6.0, 6.0, 0.1, 0.3
@@ -227,7 +229,7 @@ def fit(documents: DataFrame, text: str = "text") -> np.ndarray:
         used = np.flatnonzero(table[:, 0])
         yield pd.DataFrame({"bucket": used, "seen": table[used, 0], "ended": table[used, 1]})
 
-    rows = documents.select(text).mapInPandas(run, "bucket int, seen bigint, ended bigint").groupBy("bucket").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended")).toPandas()
+    rows = spread(documents.select(text)).mapInPandas(run, "bucket int, seen bigint, ended bigint").groupBy("bucket").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended")).toPandas()
     out = np.zeros((BUCKETS, 2), dtype=np.int64)
     out[rows.bucket.to_numpy(dtype=np.int64)] = rows[["seen", "ended"]].to_numpy(dtype=np.int64) if len(rows) else np.zeros((0, 2))
     return out
@@ -330,7 +332,7 @@ def split(documents: DataFrame, model: Model, id_column: str = "doc_id", text: s
             rows = [(i, a, b) for i, t in zip(pdf[id_column].tolist(), pdf[text]) for a, b in sentences(t, m)]
             yield pd.DataFrame(rows, columns=[id_column, "start_at", "end_at"])
 
-    return documents.select(id_column, text).mapInPandas(run, f"{id_column} {dict(documents.dtypes)[id_column]}, start_at int, end_at int")
+    return spread(documents.select(id_column, text)).mapInPandas(run, f"{id_column} {dict(documents.dtypes)[id_column]}, start_at int, end_at int")
 
 
 def found(documents: DataFrame) -> DataFrame:

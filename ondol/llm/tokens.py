@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 DEFAULT = "byte_bpe_50k"
 #: The usual pre-tokenisation of this kind of vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -230,7 +232,7 @@ def encoded(documents: DataFrame, id_column: str = "doc_id", text: str = "text",
         for pdf in batches:
             yield pd.DataFrame({id_column: pdf[id_column], "ids": [machine.encode(x) for x in pdf[text]]})
 
-    return documents.select(id_column, text).mapInPandas(run, f"{id_column} {dict(documents.dtypes)[id_column]}, ids array<int>")
+    return spread(documents.select(id_column, text)).mapInPandas(run, f"{id_column} {dict(documents.dtypes)[id_column]}, ids array<int>")
 
 
 def counted(documents: DataFrame, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ("source",), name: str = DEFAULT, path: str | None = None) -> DataFrame:
@@ -242,4 +244,4 @@ def counted(documents: DataFrame, id_column: str = "doc_id", text: str = "text",
         machine = machine_of(shared)
         return texts.map(lambda x: len(machine.encode(x)))
 
-    return documents.select(id_column, *keep, size(F.coalesce(F.col(text), F.lit(""))).alias("n_tokens"))
+    return spread(documents.select(id_column, *keep, text)).select(id_column, *keep, size(F.coalesce(F.col(text), F.lit(""))).alias("n_tokens"))
