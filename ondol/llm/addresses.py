@@ -4,7 +4,8 @@
 2. Localities: a postal code or a spelling of the reference places names one (pigeonhole join, see ``places``); other
    localities are named by their own spelling, and a field spelling that goes with one address spelling becomes its alias.
 3. Streets: within each locality and over all localities, spellings are counted; a spelling joins the entry that is the
-   nearest within ``EDITS`` edits and at least ``RATIO`` times as frequent, entries of the same locality first.
+   nearest within ``EDITS`` edits and at least ``RATIO`` times as frequent, entries of the same locality first. A spelling of
+   more than ``RARE`` rows joins it only if slips give so many and its rows stand at the entry's houses (``explained``).
 4. Every address is resolved by a beam over the entries of its street and its locality: the ``BEAM`` best hypotheses of the
    street are scored together with the localities in which the gazetteer knows that street and house number.
 5. Rows join on locality, street identifier, direction, type and number. Units do not matter for a building.
@@ -21,6 +22,9 @@ from ..session import materialize
 from . import places as P
 
 EDITS, RATIO, BEAM = 3, 4, 3
+#: Rows up to which a spelling is rare whatever its neighbours, and how often, as against the rows of the entry itself, a
+#: misspelling's rows must stand at houses of the entry.
+RARE, ALIKE = 12, 0.75
 
 #: Directions and street types with their spellings.
 DIRECTIONS = {
@@ -115,30 +119,48 @@ def near(texts: DataFrame, entries: DataFrame, k: int = EDITS) -> DataFrame:
     return met.select("name", "entry").distinct().withColumn("distance", F.levenshtein("name", "entry")).where(f"distance <= {k}")
 
 
-def explained(rare: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(name, entry, distance, of_entry) of the spellings that a much more frequent one explains; both have street and n."""
+def explained(rare: DataFrame, frequent: DataFrame, houses: DataFrame) -> DataFrame:
+    """(name, entry, distance, of_entry) of the spellings that a much more frequent one explains; both have street and n.
+
+    Frequency alone decides for spellings of up to ``RARE`` rows. More rows than the slip rate lets expect stand for a street of
+    its own; as many as it lets expect are a misspelling only if they are found at the entry's houses about as often as the
+    entry's own rows meet each other there.
+    """
     pairs = near(rare.select(F.col("street").alias("name")), frequent.select(F.col("street").alias("entry")))
     pairs = pairs.join(rare.select(F.col("street").alias("name"), F.col("n").alias("own")), "name").join(frequent.select(F.col("street").alias("entry"), F.col("n").alias("of_entry")), "entry")
-    return pairs.where(F.col("of_entry") >= F.when(F.col("distance") > 2, 3 * RATIO).otherwise(RATIO) * F.col("own")).drop("own")
+    pairs = pairs.where(F.col("of_entry") >= F.when(F.col("distance") > 2, 3 * RATIO).otherwise(RATIO) * F.col("own"))
+    pairs = materialize(pairs.where((F.col("own") <= RARE) | (F.col("own") <= F.col("of_entry") * F.pow(F.lit(2.0), -3 * F.col("distance") - 2))), "explained")
+    doubtful = pairs.where(F.col("own") > RARE).select("name", "entry")
+    at = [c for c in houses.columns if c not in ("street", "n")]
+    theirs = houses.select(F.col("street").alias("entry"), *at)
+    mine = doubtful.join(houses.withColumnRenamed("street", "name"), "name")
+    shared = mine.join(theirs.withColumn("hit", F.lit(True)), ["entry", *at], "left").groupBy("name", "entry").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)).alias("shared"))
+    again = houses.join(doubtful.select(F.col("entry").alias("street")).distinct(), "street").groupBy(F.col("street").alias("entry")).agg((F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)) / F.sum("n")).alias("again"))
+    slips = shared.join(again, "entry").where((F.col("shared") > 1) & (F.col("shared") >= ALIKE * F.col("again") * F.col("rows"))).select("name", "entry")
+    return pairs.where(F.col("own") <= RARE).unionByName(pairs.join(slips, ["name", "entry"], "left_semi")).drop("own")
 
 
 def streets(rows: DataFrame) -> DataFrame:
     """(locality, street, entry, distance): up to ``BEAM`` gazetteer entries of every street spelling that isn't an entry itself.
 
-    Entries are the spellings that no much more frequent spelling explains. Equally near ones of the same locality come first.
+    Entries are the spellings that no much more frequent entry explains. Equally near ones of the same locality come first.
     """
     here = rows.groupBy("locality", "street").agg(F.count(F.lit(1)).alias("n"))
     everywhere = here.groupBy("street").agg(F.sum("n").alias("n"))
     everywhere = materialize(everywhere, "streets")
-    # first the leading spellings explain what they can, then the rest is compared among itself
+    houses = rows.where("locality is not null").groupBy("locality", "number", "dir", "kind", "street").agg(F.count(F.lit(1)).alias("n"))
+    # entries are found among the leading spellings first, then among those that these don't explain; the split only spares
+    # comparisons, as every spelling meets the entries of both
     most = everywhere.agg(F.max("n")).first()[0] or 0
     lead = F.col("n") >= max(RATIO, RATIO * int(most**0.5))
-    first = explained(everywhere.where(~lead), everywhere.where(lead))
-    first = materialize(first, "spellings")
-    left = everywhere.where(~lead).join(first.select(F.col("name").alias("street")).distinct(), "street", "left_anti")
-    second = materialize(explained(left, left.where(F.col("n") >= RATIO)), "spellings")
-    second = second.join(second.select(F.col("name").alias("_n")).distinct(), F.col("entry") == F.col("_n"), "left_anti")
-    pairs = first.unionByName(second)
+    without = lambda frame, pairs: frame.join(pairs.select(F.col("name").alias("street")).distinct(), "street", "left_anti")
+    leading, others = everywhere.where(lead), everywhere.where(~lead)
+    merged = materialize(explained(leading, leading, houses), "spellings")
+    entries = without(leading, merged)
+    first = materialize(explained(others, entries, houses), "spellings")
+    left = materialize(without(others, first).where(F.col("n") >= RATIO), "left")
+    lesser = without(left, materialize(explained(left, left, houses), "spellings"))
+    pairs = merged.join(entries.select(F.col("street").alias("entry")), "entry", "left_semi").unionByName(first).unionByName(explained(others, lesser, houses))
     known = here.select(F.col("locality").alias("_l"), F.col("street").alias("_s"), F.col("n").alias("local"))
     scored = here.join(pairs, F.col("street") == F.col("name")).join(known, F.col("_l").eqNullSafe(F.col("locality")) & (F.col("_s") == F.col("entry")), "left")
     order = F.struct("distance", F.col("local").isNull().alias("away"), (-F.coalesce("local", F.lit(0))).alias("l"), (-F.col("of_entry")).alias("o"), "entry")

@@ -64,3 +64,24 @@ def test_misspelt_streets_join_the_frequent_spelling(spark, refs):
     right = [(k, "Harborview", "CA", f"{k} W Larkspurmoor Dr, Harborview") for k in range(1, 9)]
     df = spark.createDataFrame([*right, (20, "Harborview", "CA", "3 W Larkspumoor Dr, Harborview"), (21, "Harborview", "CA", "4 W Larkspurmoro Drive")], "id long, city string, state_or_province string, address_raw string")
     assert rows(addresses.same_building(df, refs)) == [(3, 20), (4, 21)]
+
+
+def test_attested_streets_stand_beside_a_hot_one(spark, refs):
+    # two rows at every house of the hot street; the first real street shares its numbers, the second is one edit away, the third
+    # name is a frequent slip of the hot one and stands at its houses
+    streets = [("Larkspurmoor", 1, 1000, 2), ("Larkspurmont", 1, 15, 2), ("Larkspurmoon", 5001, 15, 2), ("Larkspurmor", 101, 30, 1)]
+    at = [(name, number) for name, first, n, times in streets for number in range(first, first + n) for _ in range(times)]
+    df = spark.createDataFrame([(k, "Harborview", "CA", f"{number} W {name} Dr, Harborview") for k, (name, number) in enumerate(at)], "id long, city string, state_or_province string, address_raw string")
+    real = [("Larkspurmoor" if name == "Larkspurmor" else name, number) for name, number in at]
+    got = rows(addresses.same_building(df, refs))
+    houses = {}
+    for k, house in enumerate(real):
+        houses.setdefault(house, []).append(k)
+    assert sorted(got) == sorted((a, b) for ids in houses.values() for a in ids for b in ids if a < b)
+
+
+def test_a_spelling_joins_the_nearest_street_though_another_leads(spark, refs):
+    # the slip is one edit from a street of 40 rows and three from one of 2000
+    at = [("Amberwickmoor", k, "Dr") for k in range(2000)] + [("Amberwickont", k, "Dr") for k in range(40)] + [("Amberwickoont", 7, "Dr")]
+    df = spark.createDataFrame([(k, "Harborview", "CA", f"{number + 1} W {name} {kind}, Harborview") for k, (name, number, kind) in enumerate(at)], "id long, city string, state_or_province string, address_raw string")
+    assert rows(addresses.same_building(df, refs)) == [(2007, 2040)]
