@@ -27,6 +27,9 @@ DAYS, WEIGHT, HASH_SPAN = 7, 8, 1 << 31
 DAY = 86_400
 #: How much more frequent a building's name must be than a misspelling of it.
 RATIO = 4
+#: Rows of a misspelling beyond those that the slip rate of a name lets expect, rows up to which it is rare whatever its
+#: neighbours, and letters that a name has at least where two edits are no other name.
+SLACK, RARE, LONG = 3, 12, 6
 
 BUILDING = r"([가-힣A-Za-z]+)?\s*?([가-힣]{2,12})\s*(\d+)\s*단\s*지"
 ROOMS = [  # pattern, group of bedrooms (0: none), group of baths
@@ -72,7 +75,8 @@ def building_names(rows: DataFrame) -> DataFrame:
     """(prev, last, name) of every distinct pair of words before a building's number.
 
     A building is called by both words, unless the last alone is written elsewhere as two. A misspelling takes the name that is
-    within two edits and at least ``RATIO`` times as frequent.
+    within two edits, at least ``RATIO`` times as frequent, and frequent enough for slips to explain the rows of the misspelling.
+    Where these are more than ``RARE``, they must also be the name's offers about as often as its own rows repeat each other.
     """
     pairs = rows.where("last is not null").groupBy("prev", "last").agg(F.count(F.lit(1)).alias("n"))
     pairs = pairs.withColumn("both", F.concat(F.coalesce("prev", F.lit("")), F.col("last")))
@@ -87,8 +91,22 @@ def building_names(rows: DataFrame) -> DataFrame:
     near = A.near(tried.select(F.col("text").alias("name")).distinct(), names.where(F.col("n") >= RATIO).select(F.col("name").alias("entry")), 2).withColumnRenamed("name", "text")
     near = tried.join(near, "text").join(names.withColumnRenamed("n", "own"), "name").join(names.select(F.col("name").alias("entry"), F.col("n").alias("of")), "entry").where(F.col("of") >= RATIO * F.col("own"))
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
+    # letters in another order are one slip; two slips leave most of a name as it was
+    near = near.withColumn("turned", letters("text") == letters("entry")).withColumn("slips", F.when(F.col("turned"), 1).otherwise(F.col("distance")))
+    near = near.where((F.col("slips") < 2) | (F.length("entry") >= LONG)).where(F.col("own") <= SLACK + F.col("of") * F.pow(F.lit(2.0), -3 * F.col("slips") - 2))
+    near = materialize(near, "near")
+    # what the name's own offers have in common decides for the names that aren't rare
+    doubtful = near.where(F.col("own") > RARE).select("name", "entry").distinct()
+    what = ["number", "beds", "baths", "rent", "city"]
+    read = rows.where("last is not null and rent is not null").join(F.broadcast(pairs.join(doubtful.select("name").unionByName(doubtful.select(F.col("entry").alias("name"))).distinct(), "name").select(F.col("prev").alias("_p"), F.col("last").alias("_l"), "name")), F.col("prev").eqNullSafe(F.col("_p")) & (F.col("last") == F.col("_l")))
+    offered = materialize(read.groupBy("name", *what).agg(F.count(F.lit(1)).alias("n")), "offered")
+    theirs = offered.select(F.col("name").alias("entry"), *what, F.lit(True).alias("hit"))
+    shared = doubtful.join(offered, "name").join(theirs, ["entry", *what], "left").groupBy("name", "entry").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)).alias("shared"))
+    again = offered.groupBy(F.col("name").alias("entry")).agg((F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)) / F.sum("n")).alias("again"))
+    alike = shared.join(again, "entry").where((F.col("shared") > 1) & (F.col("shared") >= A.ALIKE * F.col("again") * F.col("rows"))).select("name", "entry")
+    near = near.where(F.col("own") <= RARE).unionByName(near.join(alike, ["name", "entry"], "left_semi"))
     # letters in another order are the likeliest slip, then the fewest edits, then the more frequent name
-    order = F.struct(letters("text") != letters("entry"), "distance", -F.col("of"), "entry")
+    order = F.struct(~F.col("turned"), "distance", -F.col("of"), "entry")
     best = near.groupBy("name").agg(F.min_by("entry", order).alias("entry"))
     return pairs.join(best, "name", "left").select("prev", "last", F.coalesce("entry", "name").alias("name"))
 

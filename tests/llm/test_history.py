@@ -76,3 +76,17 @@ def test_batch_by_batch_gives_the_same(spark):
     assert sorted(at_once) == sorted(steps) and at_once
     close = [r for r in data if any(o[3:] == r[3:] and abs(o[2] - r[2]) <= 7 * 86400 and (o[1], o[0]) < (r[1], r[0]) for o in data)]
     assert sorted(k for (k,) in at_once) == sorted(r[0] for r in close)
+
+
+def test_a_hot_building_takes_no_rows_of_its_neighbours(spark, small):
+    # a third of the rows and more is one building; a real one lies two edits away, others of few and of many rows one edit
+    places, rates, sources = small
+    at = datetime.datetime(2025, 12, 1)
+    hot = [("한빛파크", k % 4 + 1, 1500 + k % 400) for k in range(800)]
+    real = [(name, k % 4 + 1, rent + k) for name, n, rent in [("한빛코브", 60, 1500), ("한빛마크", 10, 4000), ("한빛포크", 20, 5000)] for k in range(n)]
+    slips = [("한빛크파", 1, 1500), ("한빛팍", 2, 9999)]
+    old = [(k, 1, f"{name} {number}단지 2b1b ${rent}", "하버뷰", None, at.strftime("%Y-%m-%dT%H:%M:%SZ")) for k, (name, number, rent) in enumerate(hot)]
+    new = [(1000 + k, 0, f"{name} {number}단지 2b1b ${rent}", "하버뷰", at) for k, (name, number, rent) in enumerate(real + slips)]
+    listings = spark.createDataFrame(old, "id long, source_id int, title_ko string, city string, state_or_province string, posted_at_utc string")
+    staging = spark.createDataFrame(new, "id long, batch_no int, title_ko string, city string, posted_at_utc timestamp").withColumn("state_or_province", F.lit(None).cast("string"))
+    assert rows(H.repeated(listings, staging, sources, places, rates)) == [(1000 + len(real),)]
