@@ -9,25 +9,26 @@ Some events are certain: paragraphs end sentences, so do headings and list lines
 sentence around it; emoticons and closing quotes belong to what stands before them, a leading list number to what follows.
 Scripts without spaces get gaps after their full stops; scripts without stops (Thai, chat) get theirs from the model.
 
-The counts are kept in ``BUCKETS`` hash buckets, whatever the size of the corpus.
+Counts are kept by key, a 64-bit hash of the context, in a table: nothing is pruned, and no two contexts share a count but by a
+collision of 64 bits. Documents are dealt into chunks of about ``CHUNK`` characters; each chunk gets the counts of its own
+keys by a join, so that no process holds the counts of the whole corpus.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import materialize, spread
 
-BUCKETS = 1 << 18
+#: Characters of a chunk, and keys that a Python worker counts before it passes them on.
+CHUNK, HELD = 1 << 22, 1 << 18
 #: Strength of the back-off, bound of the odds of the following word, chance of one-word sentences, and of an end at a space.
 BACK_OFF, BOUND, SHORT, AT_SPACE = 6.0, 6.0, 0.1, 0.3
 #: Characters at the end of a word that are looked at for marks and emoticons.
@@ -60,8 +61,8 @@ def shape(word: str) -> str:
 
 
 @lru_cache(maxsize=1 << 17)
-def bucket(*parts: str) -> int:
-    return zlib.crc32("\x01".join(parts).encode("utf-8", "replace")) % BUCKETS
+def key(*parts: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\x01".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 @lru_cache(maxsize=1 << 17)
@@ -107,9 +108,9 @@ def paragraphs(text: str) -> Iterator[tuple[int, int]]:
 
 @lru_cache(maxsize=1 << 17)
 def contexts(kind: str, before2: str, before1: str, word: str, bare: str, emoticon: bool) -> tuple[int, int, int, int]:
-    """The buckets of the contexts before an event, the shortest first."""
+    """The keys of the contexts before an event, the shortest first."""
     trailed = "^" if emoticon or bare != word else ""
-    return bucket(kind, "e", bare[-2:] + trailed), bucket(kind, "1", bare + trailed), bucket(kind, "2", before1, bare), bucket(kind, "3", before2, before1, bare)
+    return key(kind, "e", bare[-2:] + trailed), key(kind, "1", bare + trailed), key(kind, "2", before1, bare), key(kind, "3", before2, before1, bare)
 
 
 def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[Gap]]:
@@ -157,7 +158,7 @@ def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[
         marked_before = emote[i] and known[j][2]
         g.kind = "mark" if marked or emote[i] else "line" if broken else "space"
         g.contexts = contexts("m" if g.kind == "mark" else "w", shapes[j - 2] if j > 1 else "<s>", shapes[j - 1] if j else "<s>", shapes[j], known[j][1], emote[i])
-        g.following = bucket("b", shapes[i + 1])
+        g.following = key("b", shapes[i + 1])
         if broken and (alone[row[i]] or alone[row[i + 1]]):
             g.fixed = True
         elif in_quote:
@@ -184,7 +185,7 @@ def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[
 
 
 def observed(text: str) -> Iterator[tuple[int, int]]:
-    """(bucket, 1 if a certain end or beginning) of every context of a document."""
+    """(key, 1 if a certain end or beginning) of every context of a document."""
     for start, end in paragraphs(text):
         tokens, gaps = units(text, start, end)
         if not tokens:
@@ -204,44 +205,59 @@ def observed(text: str) -> Iterator[tuple[int, int]]:
         kind = "m" if emoticon or last[-1][2] else "w"
         for c in contexts(kind, forms[-3], forms[-2], forms[-1], last[-1][1], emoticon):
             yield c, 1
-        yield bucket("b", shape(text[start + tokens[0][0] : start + tokens[0][1]])), 1
+        yield key("b", shape(text[start + tokens[0][0] : start + tokens[0][1]])), 1
         # what ends with a mark that is never part of a word tells how often ends are followed by a paragraph's end
         for g in gaps:
             if g.kind == "mark" and g.fixed:
-                yield bucket("base"), 0
+                yield key("base"), 0
         if kind == "m" and text[start + tokens[-1][1] - 1] in "!?。！？":
-            yield bucket("base"), 1
+            yield key("base"), 1
 
 
-def fit(documents: DataFrame, text: str = "text") -> np.ndarray:
-    """Counts by bucket (seen, ended) over all documents: at most ``BUCKETS`` rows reach the driver."""
+def counted(documents: DataFrame, text: str = "text") -> DataFrame:
+    """(chunk, key, seen, ended): the counts by key of every chunk (column chunk); each chunk has at least the key of the base."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, ended = [0] * BUCKETS, [0] * BUCKETS
+        counts: dict[tuple[int, int], list[int]] = {}
+
+        def table() -> pd.DataFrame:
+            return pd.DataFrame([(chunk, k, n, e) for (chunk, k), (n, e) in counts.items()], columns=["chunk", "key", "seen", "ended"])
+
         for pdf in batches:
-            for t in pdf[text]:
-                if not t:
-                    continue
-                for b, e in observed(t):
-                    seen[b] += 1
-                    ended[b] += e
-        table = np.array([seen, ended], dtype=np.int64).T
-        used = np.flatnonzero(table[:, 0])
-        yield pd.DataFrame({"bucket": used, "seen": table[used, 0], "ended": table[used, 1]})
-
-    rows = spread(documents.select(text)).mapInPandas(run, "bucket int, seen bigint, ended bigint").groupBy("bucket").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended")).toPandas()
-    out = np.zeros((BUCKETS, 2), dtype=np.int64)
-    out[rows.bucket.to_numpy(dtype=np.int64)] = rows[["seen", "ended"]].to_numpy(dtype=np.int64) if len(rows) else np.zeros((0, 2))
-    return out
+            for chunk, t in zip(pdf["chunk"].tolist(), pdf[text]):
+                counts.setdefault((chunk, key("base")), [0, 0])
+                for k, e in observed(t) if t else ():
+                    c = counts.get((chunk, k))
+                    if c is None:
+                        c = counts[chunk, k] = [0, 0]
+                    c[0] += 1
+                    c[1] += e
+                if len(counts) > HELD:
+                    yield table()
+                    counts.clear()
+        yield table()
+
+    rows = documents.select("chunk", text).mapInPandas(run, "chunk int, key bigint, seen bigint, ended bigint")
+    return rows.groupBy("chunk", "key").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"))
+
+
+def fit(documents: DataFrame, text: str = "text") -> dict[int, tuple[int, int]]:
+    """key -> (seen, ended) over all documents, on the driver: for corpora of a bounded size. ``found`` has no need of it."""
+    rows = counted(spread(documents.select(text)).withColumn("chunk", F.lit(0)), text).toPandas()
+    return dict(zip(rows.key.tolist(), zip(rows.seen.tolist(), rows.ended.tolist())))
 
 
 class Model:
-    def __init__(self, counts: np.ndarray):
-        self.seen, self.ended = counts[:, 0].tolist(), counts[:, 1].tolist()
+    def __init__(self, counts: Mapping[int, tuple[int, int]]):
+        self.counts = counts
         self.kept: dict[tuple, float] = {}
-        b = bucket("base")
+        seen, ended = self.of(key("base"))
         # the share of certain sentence ends that end a paragraph
-        self.base = min(1.0, max(0.05, (self.ended[b] + 1) / (self.seen[b] + 3)))
+        self.base = min(1.0, max(0.05, (ended + 1) / (seen + 3)))
+
+    def of(self, k: int) -> tuple[int, int]:
+        """(seen, ended) of a key."""
+        return self.counts.get(k, (0, 0))
 
     def probability(self, g: Gap) -> float:
         """The posterior of the event at one gap from its own context, before the neighbours are heard; kept for gaps that recur."""
@@ -260,14 +276,15 @@ class Model:
         p = 0.5 if g.kind == "mark" else 0.02
         k = BACK_OFF / max(0.1, base)
         for c in g.contexts:
-            n = self.seen[c]
+            n, ended = self.of(c)
             if n:
-                p = (min(1.0, self.ended[c] / (n * base)) * n + p * k) / (n + k)
+                p = (min(1.0, ended / (n * base)) * n + p * k) / (n + k)
         polite = g.kind == "space" and POLITE.search(bare) is not None
         if polite and (g.after[:1].isalpha() or g.after[:1] in "$0123456789"):
             p = max(p, 0.95)
         p = min(0.995, max(0.002, p))
-        start = (self.ended[g.following] + 0.3) / (self.seen[g.following] + 2.0) / max(self.base, 0.2)
+        n, begun = self.of(g.following)
+        start = (begun + 0.3) / (n + 2.0) / max(self.base, 0.2)
         lean = min(0.95, max(0.03, start))
         factor = min(BOUND, max(1 / BOUND, lean / (1 - lean) * (2.0 if g.kind == "mark" or spaced else 1.0)))
         if g.kind == "mark" and g.after[:1].islower():
@@ -335,5 +352,19 @@ def split(documents: DataFrame, model: Model, id_column: str = "doc_id", text: s
     return spread(documents.select(id_column, text)).mapInPandas(run, f"{id_column} {dict(documents.dtypes)[id_column]}, start_at int, end_at int")
 
 
-def found(documents: DataFrame) -> DataFrame:
-    return split(documents, Model(fit(documents)))
+def found(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The sentences of all documents, by a model of all documents; see ``split``."""
+    docs = documents.select(id_column, text).where(F.length(text) > 0)
+    size = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    chunks = max(4 * documents.sparkSession.sparkContext.defaultParallelism, -(-size // CHUNK))
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64(id_column, text), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
+    counts = materialize(counted(docs, text), "contexts")
+    whole = counts.groupBy("key").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"))
+    known = counts.select("chunk", "key").join(whole, "key").repartition(chunks, "chunk")
+
+    def run(pdf: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        m = Model(dict(zip(own["key"].tolist(), zip(own["seen"].tolist(), own["ended"].tolist()))))
+        rows = [(i, a, b) for i, t in zip(pdf[id_column].tolist(), pdf[text]) for a, b in sentences(t, m)]
+        return pd.DataFrame(rows, columns=[id_column, "start_at", "end_at"])
+
+    return docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(run, f"{id_column} {dict(documents.dtypes)[id_column]}, start_at int, end_at int")

@@ -1,4 +1,6 @@
+import itertools
 import random
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -144,3 +146,22 @@ def test_posteriors_equal_enumeration(model):
         total += w
         mass = [m + w * y for m, y in zip(mass, labels)]
     assert all(abs(a - m / total) < 1e-9 for a, m in zip(sentences.posteriors(gaps, model), mass))
+
+
+def test_contexts_of_other_words_do_not_count(spark):
+    # words that always end a paragraph, and whose contexts fell on the 2^18 counters of "saw Apt. No." and of its parts
+    slot = lambda *parts: zlib.crc32("\x01".join(parts).encode()) % (1 << 18)
+    wanted = {slot("m", "1", "No."), slot("m", "2", "Apt.", "No."), slot("m", "3", "saw", "Apt.", "No.")}
+    foreign = {slot("m", "1", w): w for w in ("".join(x) + "z." for x in itertools.product("abcdefghijklmnop", repeat=5)) if slot("m", "1", w) in wanted}
+    assert len(foreign) == 3
+    docs = ["we saw Apt. No. 9 there"] * 100 + [w for w in foreign.values() for _ in range(2000)]
+    df = spark.createDataFrame([(k, d) for k, d in enumerate(docs)], "doc_id long, text string")
+    assert rows(sentences.found(df).where("doc_id = 0")) == [(0, 0, 23)]
+
+
+def test_chunks_give_what_one_model_gives(spark, monkeypatch):
+    docs = [(k, d) for k, (d, _) in enumerate(DOCS * 5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = rows(sentences.split(df, sentences.Model(sentences.fit(df))))
+    monkeypatch.setattr(sentences, "CHUNK", 100)
+    assert rows(sentences.found(df)) == whole and len(whole) > 100
