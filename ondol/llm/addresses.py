@@ -110,10 +110,10 @@ def near(texts: DataFrame, entries: DataFrame, k: int = EDITS) -> DataFrame:
         f" cast(floor(n / {k + 1}) + case when i >= {k + 1} - n % {k + 1} then 1 else 0 end as int) as size))"
     )
     pieces = entries.where(n > k).withColumn("n", n).withColumn("s", F.explode(seg)).select("entry", "n", F.col("s.at").alias("at"), F.expr("substring(entry, s.at + 1, s.size)").alias("piece"))
-    grams = texts.withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(8), F.length("name")))))
     # the segment sizes that references of about this length have
     low, high = F.floor((F.length("name") - k) / (k + 1)), F.floor((F.length("name") + k) / (k + 1)) + 1
-    grams = grams.where((F.col("size") >= low) & (F.col("size") <= high)).select("name", F.posexplode(F.expr("transform(sequence(1, length(name) - size + 1), p -> substring(name, p, size))")).alias("pos", "piece"))
+    low, high = F.greatest(F.lit(1), low).cast("int"), F.least(F.length("name"), high).cast("int")
+    grams = texts.where(F.length("name") > 0).withColumn("size", F.explode(F.sequence(low, high))).select("name", F.posexplode(F.expr("transform(sequence(1, length(name) - size + 1), p -> substring(name, p, size))")).alias("pos", "piece"))
     # the estimate of an exploded side is too small for the planner to be left to broadcast it
     met = grams.join(pieces.hint("shuffle_hash"), "piece").where(f"abs(pos - at) <= {k} and abs(length(name) - n) <= {k} and name <> entry")
     return met.select("name", "entry").distinct().withColumn("distance", F.levenshtein("name", "entry")).where(f"distance <= {k}")

@@ -70,8 +70,11 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
     """(city, state, place_id) for every distinct pair of fields whose city is neither NULL nor blank; place_id 0 names none.
 
     Of several places the ones whose state is told win, then the smaller distance; a remaining tie names none. Where a state is
-    told that contradicts every place of the name, none is named. Empty tables give no rows.
+    told that contradicts every place of the name, none is named. Empty tables give no rows. More than ``MAX_PLACES`` places
+    are refused.
     """
+    if places.limit(MAX_PLACES + 1).count() > MAX_PLACES:
+        raise ValueError(f"more than {MAX_PLACES} places")
     known = F.create_map(*[F.lit(x) for code, forms in STATES.items() for f in forms for x in (f, code.lower())])
     fields = rows.select(F.col(city).alias("city"), F.col(state).alias("state")).where(F.length(F.trim(F.regexp_replace(F.col("city"), r"[\s 　]+", " "))) > 0).distinct()
     split = lambda c: F.split(folded(F.coalesce(F.col(c), F.lit(""))), r"\s*[/,()\[\]|]\s*")
@@ -95,7 +98,9 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
         " cast(floor(n / (k + 1)) + case when i >= k + 1 - n % (k + 1) then 1 else 0 end as int) as size))"
     )
     pieces = references(places).where("k > 0").withColumn("s", F.explode(seg)).select("place_id", F.col("name").alias("ref"), "n", "k", F.col("s.at").alias("at"), F.expr("substring(name, s.at + 1, s.size)").alias("piece"))
-    grams = fuzzy.withColumn("size", F.explode(F.array(*[F.lit(x) for x in (1, 2, 3, 4, 5)]))).where(F.col("size") <= F.length("name"))
+    # the sizes that the references' own segments have
+    sizes = F.broadcast(pieces.select(F.length("piece").alias("size")).distinct())
+    grams = fuzzy.join(sizes, F.col("size") <= F.length("name"))
     grams = grams.select("name", F.posexplode(F.expr("transform(sequence(1, length(name) - size + 1), p -> substring(name, p, size))")).alias("pos", "piece"))
     near = grams.join(F.broadcast(pieces), "piece").where("abs(pos - at) <= k and abs(length(name) - n) <= k")
     near = near.select("name", "ref", "place_id", "k").distinct().withColumn("distance", F.levenshtein("name", "ref")).where("distance <= k").select("name", "place_id", "distance")

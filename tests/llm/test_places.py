@@ -85,3 +85,19 @@ def test_a_spelling_joins_the_nearest_street_though_another_leads(spark, refs):
     at = [("Amberwickmoor", k, "Dr") for k in range(2000)] + [("Amberwickont", k, "Dr") for k in range(40)] + [("Amberwickoont", 7, "Dr")]
     df = spark.createDataFrame([(k, "Harborview", "CA", f"{number + 1} W {name} {kind}, Harborview") for k, (name, number, kind) in enumerate(at)], "id long, city string, state_or_province string, address_raw string")
     assert rows(addresses.same_building(df, refs)) == [(2007, 2040)]
+
+
+def test_long_references_are_found(spark, refs):
+    # four edits leave segments of seven letters, one edit one of six syllables
+    long = spark.createDataFrame([(1, "Abcdefghijklmnopqrstuvwxyzabcdefghi", "가나다라마바사아자차카타", "CA", None, None)], refs.schema)
+    df = spark.createDataFrame([(1, "abcdefXhijklmXopqrstXvwxyzaXcdefghi", None), (2, "가나다라마바사아자하카타", None), (3, "가나다라마바하아자하카타", None)], "id long, city string, state_or_province string")
+    assert rows(places.place_of_rows(df, long)) == [(1, 1), (2, 1), (3, 0)]
+    word = "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqr"
+    slip = "".join("Q" if k in (9, 20, 31) else c for k, c in enumerate(word))
+    assert rows(addresses.near(spark.createDataFrame([(slip,)], "name string"), spark.createDataFrame([(word,)], "entry string"), 3)) == [(slip, word, 3)]
+
+
+def test_too_many_references_are_refused(spark, refs, monkeypatch):
+    monkeypatch.setattr(places, "MAX_PLACES", 3)
+    with pytest.raises(ValueError, match="places"):
+        places.match_places(spark.createDataFrame([("Harborview", None)], "city string, state_or_province string"), refs)
