@@ -1,31 +1,42 @@
-"""Personal information in free text: found, typed and replaced.
-
-Structured values (e-mail addresses, phone numbers, identity numbers, street addresses) are recognised by their form. Names of
-people are decided by information-theoretic sanitisation: over the whole corpus, the parts of each name-shaped term (family
-name, given syllables; first and last word) are counted inside and outside of slots that introduce a person; the pointwise
-mutual information of the parts with such slots estimates how strongly a term discloses a person, and terms whose disclosure
-exceeds ``THRESHOLD`` bits are replaced. Only counts by part are kept: at most one row per syllable or capitalised word, of
-which words are kept up to ``MAX_PARTS`` by their count inside the slots.
+"""Personal information in free text: found, typed and replaced, by information-theoretic sanitisation.
+
+One Python pass reads every line once and puts out candidates: values by their form (e-mail addresses, phone numbers, identity
+numbers, street addresses) and name-shaped terms (Hangul words without their particles, runs of capitalised words), each with
+the word before it and what follows it. Everything after that is joins and aggregates over distinct candidates:
+
+* Terms next to a protected value or to a form of address (``MARKERS``) are the first evidence. The pointwise mutual
+  information of the parts of terms (syllables by place, first and last words) with that evidence, counted over distinct terms,
+  tells how strongly a part points to a person.
+* Contexts (the word before, what follows, both) get their mutual information with terms that disclose a person, then the parts
+  are counted again with the terms of disclosing contexts. No context is given beforehand but the markers.
+* A term in its context is a name if the bits of its parts and of its context together exceed ``THRESHOLD``. Forms that other
+  numbers share (bare runs of digits, spelt-out signs, Korean roads) count by how often they stand in the contexts in which
+  unmistakable values of their kind stand.
+
+Counts are tables by key: nothing is collected, and no part, term or context is cut off.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import materialize, spread
 
-THRESHOLD = 1.0
-#: Bits of a part that was never seen in a slot, and the largest share of slots that the mutual information is taken against.
-UNSEEN, LARGEST_BASE = -8.0, 0.25
-MAX_PARTS = 200_000
+#: Bits from which a term discloses a person, bits from which a term or a context counts as evidence for others, the bound of
+#: the bits of a context and of a form, and the share of disclosing terms that the mutual information is taken against.
+THRESHOLD, EVIDENCE, CONTEXT_BITS, FORM_BITS, BASE = 1.0, 1.0, 0.9, 2.0, 0.25
+#: Distinct terms that a part or a context is taken to have been seen with before any count.
+PRIOR = 2.0
+#: Lines whose candidates a worker keeps, and keys that it remembers to have described.
+LINES, KEYS = 1 << 16, 1 << 20
 KINDS = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")
+NAME = KINDS.index("NAME")
 
 WIDE = {0xFF01 + i: 0x21 + i for i in range(94)} | {0x3000: 0x20, 0xA0: 0x20}
 
@@ -47,25 +58,23 @@ PHONE = re.compile(
 ID_NUMBER = re.compile(r"(?<![\w-])(?:\d{6}\s?-\s?[0-9]\d{6}|\d{3}[- ]\d{2}[- ]\d{4}|[A-Z]\d{8}|\d{12}(?=\D|$)(?<=\d{12}))(?![\w-]*\d)")
 TYPES = r"(?:Street|Str|St|Avenue|Ave|Av|Boulevard|Blvd|Bl|Drive|Drv|Dr|Road|Rd|Lane|Ln|Court|Ct|Place|Pl|Way|Terrace|Ter|Parkway|Pkwy|Highway|Hwy|Circle|Cir)"
 ADDRESS = re.compile(
-    rf"(?<![\w#$.-])\d{{1,6}}(?:-\d+)?\s+(?:(?:North|South|East|West|No|So|N|S|E|W|NE|NW|SE|SW)\b\.?\s+)?(?:[A-Z][A-Za-z'-]+\s+){{1,3}}{TYPES}\b\.?", re.I
+    rf"(?<![\w#$.-])\d{{1,6}}(?:-\d+)?\s+(?:(?:North|South|East|West|No|So|N|S|E|W|NE|NW|SE|SW)\b\.?\s+)?(?:[A-Z][A-Za-z'-]+\s+){{1,3}}{TYPES}(?![A-Za-z])\.?", re.I
 )
-KO_ADDRESS = re.compile(r"(?<=[가-힣])[로길]\s?(?:\d+(?:번)?길\s?)?\d+(?:-\d+)?(?!\d|[층호분개월부년명%]|\s?(?:층|분|개월|달러))")
-KO_STREET = re.compile(r"(?<![가-힣\w])[가-힣]{1,9}$")
-DIGITS = re.compile(r"\d{3}|공[일이]|[로길] ?\d|\d [A-Z]", re.I)
-
-#: Common Korean family names.
-FAMILY = "김 이 박 최 정 강 조 윤 장 임 한 오 서 신 권 황 안 송 전 홍 유 고 문 양 손 배 백 허 남 심 노 하 곽 성 차 주 우 구 민 류 나 진 지 엄 채 원 천 방 공 현 함 변 염 여 추 도 소 석 선 설 마 길 연 위 표 명 기 반 라 왕 금 옥 육 인 맹 제 모 탁 국 어 은 편 용".split()
-_F = "".join(FAMILY)
-#: Words that introduce a person.
-BEFORE = r"(?:담당자(?:는)?|집주인|매니저|저는|계약은|문의는|이번 달에|담당|이름은|성함은|소유주|관리인|세입자|중개인|연락인|Thanks,|Please ask for|Contact|ask for|I am|Regards,)\s{1,2}"
-ENDING = r"(?=[^가-힣\w]|$|(?:님|씨|드림|올림|입니다|이고|이름|에게|께|이라고|가|는|은|이|을|를|의|와|과)(?![가-힣])|(?:씨|님)[가-힣]{1,3}|에게|번으로)"
-KO_NAME = rf"[{_F}][가-힣]{{2}}"
-EN_NAME = r"[A-Z][a-z]+(?: [A-Z]\.)? [A-Z][a-z]+(?:-[A-Z][a-z]+)?"
-KO = re.compile(rf"(?<![가-힣\w])({KO_NAME}){ENDING}")
-EN = re.compile(rf"(?<![A-Za-z0-9-])({EN_NAME})(?![A-Za-z-])")
-SLOT_B = re.compile(rf"{BEFORE}$")
+KO_ADDRESS = re.compile(r"(?<![가-힣\w])[가-힣]+[로길]\s?(?:\d+(?:번)?길\s?)?\d+(?:-\d+)?(?!\d|[층호분개월부년명%]|\s?(?:층|분|개월|달러))")
+DIGITS = re.compile(r"\d{3}|공[일이삼사오육칠팔구공]|[로길] ?\d|\d [A-Z]", re.I)
+#: Forms that nothing else has; the others are decided by the contexts in which they stand.
+SURE = re.compile(r"\S*@\S*|\+.*|.*\(\d.*|(?:1[-. ])?\d{2,3}[-. ]\d{3,4}[-. ]\d{4}|\d{6}\s?-\s?\d{7}|\d.*[A-Za-z]\.?")
+
+#: Forms of address and of signing around a person's name, and particles and copulas after a Korean noun.
+MARKERS = ("님", "씨", "드림", "올림", "배상")
+PARTICLE = re.compile(
+    r"(?:님|씨)?(?:가|는|은|이|을|를|의|와|과|도|만|께|께서|에게|에게서|한테|이랑|랑|하고|로|으로|이라고|라고|입니다|이고|이며|이에요|예요|이라는|이네|네)?(?:는|도|만)?"
+)
+RUN = re.compile(r"(?<![가-힣\w])[가-힣]{2,}(?![A-Za-z0-9])")
+CAPITALISED = re.compile(r"(?<![A-Za-z0-9#'-])[A-Z][a-z]+(?:-[A-Z][a-z]+)*(?![A-Za-z0-9'-])")
+INITIAL = re.compile(r" (?:[A-Z]\. )?$")
 DIRECTIONS = {"North", "South", "East", "West"}
-TYPE_END = re.compile(rf"^(?:{TYPES})$")
+NUMBER = re.compile(r"\d+")
 
 
 def plain(text: str) -> str:
@@ -82,137 +91,224 @@ def structured(t: str) -> list[tuple[int, int, str]]:
         for kind, pattern in (("ID_NUMBER", ID_NUMBER), ("PHONE", PHONE), ("ADDRESS", ADDRESS), ("ADDRESS", KO_ADDRESS)):
             for m in pattern.finditer(t):
                 start, end = m.span()
-                if pattern is KO_ADDRESS:
-                    if not (street := KO_STREET.search(t, max(0, start - 9), start)):
-                        continue
-                    start = street.start()
                 if all(end <= x or start >= y for x, y, _ in out):
                     out.append((start, end, kind))
     out.sort()
     return out
 
 
-def candidates(t: str) -> Iterator[tuple[int, int, tuple[str, ...], bool]]:
-    """(start, end, parts, whether in a slot that introduces a person) of the name-shaped terms."""
-    for m in KO.finditer(t):
-        name = m[1]
-        yield m.start(1), m.end(1), ("0" + name[0], "1" + name[1], "2" + name[2]), _slot(t, m.start(1), m.end(1))
-    if not t.isascii() or any(c.isupper() for c in t):
-        at = 0
-        while m := EN.search(t, at):
-            words = m[1].split(" ")
-            if words[0] in DIRECTIONS or TYPE_END.match(words[-1]) or t[max(0, m.start() - 1) : m.start()] == "#":
-                at = m.start() + len(words[0]) + 1
+def _left(t: str, start: int, ends: dict[int, str]) -> str:
+    """The word before a place of a line, a protected value by its kind, '^' at the beginning."""
+    k = start
+    while k and t[k - 1].isspace():
+        k -= 1
+    if k in ends:
+        return ends[k]
+    j = k
+    while j and not t[j - 1].isspace():
+        j -= 1
+    return NUMBER.sub("0", t[j:k]) or "^"
+
+
+def _right(t: str, end: int, starts: dict[int, str]) -> str:
+    """What follows a place of a line: the rest of its word, or the next word after a blank; '$' at the end."""
+    k = end
+    while k < len(t) and t[k].isspace():
+        k += 1
+    if k in starts:
+        return starts[k]
+    j = k
+    while j < len(t) and not t[j].isspace():
+        j += 1
+    return (" " if k > end and j > k else "") + NUMBER.sub("0", t[k:j]) or "$"
+
+
+def candidates(t: str) -> list[tuple[int, int, int, int, str, str, str, bool]]:
+    """(start, end, group, kind, term, left, right, sure) of a line; candidates that overlap are in one group."""
+    taken = structured(t)
+    starts, ends = {a: f"<{k}>" for a, _, k in taken}, {b: f"<{k}>" for _, b, k in taken}
+    out = []
+    for a, b, kind in taken:
+        value = t[a:b]
+        sure = SURE.fullmatch(value) is not None
+        out.append((a, b, a, KINDS.index(kind), "" if sure else shape(value), _left(t, a, ends), _right(t, b, starts), sure))
+    at = 0
+
+    def free(a: int, b: int) -> bool:
+        nonlocal at
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        return at == len(taken) or taken[at][0] >= b
+
+    for m in RUN.finditer(t):
+        a, b = m.span()
+        if not free(a, b):
+            continue
+        left = None
+        for n in (4, 3, 2):
+            if n <= b - a and PARTICLE.fullmatch(t, a + n, b):
+                left = left or _left(t, a, ends)
+                out.append((a, a + n, a, NAME, t[a : a + n], left, _right(t, a + n, starts), False))
+    if t.isascii() or any(c.isupper() for c in t):
+        words = [m.span() for m in CAPITALISED.finditer(t)]
+        at, group, last = 0, 0, -1
+        for k, (a, b) in enumerate(words):
+            if not free(a, b) or t[a:b] in DIRECTIONS:
                 continue
-            slot = _slot(t, m.start(1), m.end(1))
-            yield m.start(1), m.end(1), ("A" + words[0], "B" + words[-1]), slot
-            at = m.end() if slot else m.start() + len(words[0]) + 1
-
-
-STRONG_AFTER = re.compile(r"\s?(?:님|씨|드림|올림|\((?:세입자|집주인|매니저)|이름으로|has the keys|배상)")
-END_OK = re.compile(r"\s?(?:님|씨|드림|올림|입니다|이고|이름으로|\(|께|에게|[.,!?\n]|$)|\s")
-
-
-def _slot(t: str, start: int, end: int) -> bool:
-    """Whether a term stands where a person is introduced: after such a word, before one, or right before a phone number."""
-    if STRONG_AFTER.match(t, end) or (SLOT_B.search(t, max(0, start - 18), start) and END_OK.match(t, end)):
-        return True
-    return t[end : end + 1] == " " and PHONE.match(t, end + 1) is not None
+            if a > last:
+                group = a
+            left = _left(t, a, ends)
+            if k + 1 < len(words) and INITIAL.fullmatch(t, b, words[k + 1][0]) and free(a, words[k + 1][1]):
+                last = words[k + 1][1]
+                out.append((a, last, group, NAME, t[a:last], left, _right(t, last, starts), False))
+            elif a > last:
+                out.append((a, b, a, NAME, t[a:b], left, _right(t, b, starts), False))
+    return out
 
 
-def disclosure(parts: tuple[str, ...], model: dict[str, float]) -> float:
-    """Mean bits by which the parts of a term point to a person; unseen parts count against it."""
-    return sum(model.get(p, UNSEEN) for p in parts) / len(parts)
+def shape(value: str) -> str:
+    """The form of a value: digits, letters and syllables by their kind, in runs."""
+    return re.sub(r"[A-Za-z]+", "a", re.sub(r"[가-힣]+(?=[로길])|[공일이삼사오육칠팔구영]{3,}", "가", re.sub(r"\d", "0", value)))
 
 
-def names(t: str, model: dict[str, float], taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    out = []
-    for a, b, parts, slot in candidates(t):
-        if disclosure(parts, model) + (1.5 if slot else 0.0) > THRESHOLD and not any(a < y and b > x for x, y, _ in taken + out):
-            out.append((a, b, "NAME"))
-    return out
+def key(kind: int, term: str, left: str, right: str) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{kind}\x01{term}\x01{left}\x01{right}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def counted(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """(part, inside, outside): how often each part occurs in and out of the slots, over all rows."""
+def found(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
+    """All candidates: occurrences (id, field, kind, start_at, end_at, group, key, sure) and, with NULL places, the descriptions
+    of their keys (kind, key, term, left, right), each at least once. Texts are read whole, line by line."""
+    schema = pa.schema([(n, pa.int32()) for n in ("field", "kind", "start_at", "end_at", "group")] + [("key", pa.int64()), ("sure", pa.bool_())] + [(n, pa.string()) for n in ("term", "left", "right")])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        inside: Counter = Counter()
-        outside: Counter = Counter()
-        for pdf in batches:
-            for c in columns:
-                for text in pdf[c]:
-                    if not text:
-                        continue
-                    for _, _, parts, slot in candidates(plain(text)):
-                        (inside if slot else outside).update(parts)
-            if len(inside) + len(outside) > MAX_PARTS:
-                yield pd.DataFrame([(p, inside[p], outside[p]) for p in inside.keys() | outside.keys()], columns=["part", "inside", "outside"])
-                inside, outside = Counter(), Counter()
-        yield pd.DataFrame([(p, inside[p], outside[p]) for p in inside.keys() | outside.keys()], columns=["part", "inside", "outside"])
-
-    return spread(rows.select(*columns)).mapInPandas(run, "part string, inside bigint, outside bigint").groupBy("part").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-
-
-def fit(rows: DataFrame, columns: list[str]) -> dict[str, float]:
-    """part -> bits of pointwise mutual information with the slots; parts never seen in a slot are left out."""
-    table = counted(rows, columns)
-    kept = table.where("inside > 0").orderBy(F.desc("inside"), "part").limit(MAX_PARTS).collect()
-    total = table.groupBy(F.substring("part", 1, 1).alias("place")).agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect()
-    base = {r.place: (r.i + 1) / (r.i + r.o + 2) for r in total}
-    return {r.part: bits(r.inside, r.outside, base[r.part[0]]) for r in kept}
-
-
-def bits(inside: int, outside: int, base: float) -> float:
-    """Pointwise mutual information of a part with the slots; a part seen mostly in slots discloses, however common slots are."""
-    base = min(base, LARGEST_BASE)
-    return math.log2((inside + 0.1 * base) / (inside + outside + 0.1)) - math.log2(base)
-
-
-def spans(rows: DataFrame, id_column: str, columns: list[str], model: dict[str, float]) -> DataFrame:
-    """(id, field, kind, start_at, end_at), one row per occurrence. NULL and empty texts have none; texts are read whole."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        for pdf in batches:
-            out = []
-            ids = pdf[id_column].tolist()
-            for c in columns:
-                for i, text in zip(ids, pdf[c]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, list] = {}
+        known: set[int] = set()
+        for batch in batches:
+            index: list[int | None] = []
+            cols: list[list] = [[] for _ in schema]
+            for f, c in enumerate(columns):
+                for i, text in enumerate(batch.column(1 + f).to_pylist()):
                     if not text:
                         continue
-                    t = plain(text)
-                    taken = structured(t)
-                    for a, b, kind in taken + names(t, m, taken):
-                        out.append((i, c, kind, a, b))
-            yield pd.DataFrame(out, columns=["id", "field", "kind", "start_at", "end_at"])
+                    at = 0
+                    for line in plain(text).split("\n"):
+                        hits = kept.get(line)
+                        if hits is None:
+                            if len(kept) > LINES:
+                                kept.clear()
+                            hits = kept[line] = [(*x[:4], key(*x[3:7]), x[7], x[4:7]) for x in candidates(line)]
+                        for a, b, g, kind, k, sure, what in hits:
+                            index.append(i)
+                            for col, v in zip(cols, (f, kind, at + a, at + b, at + g, k, sure, None, None, None)):
+                                col.append(v)
+                            if not sure and k not in known or sure and kind != NAME and k not in known:
+                                if len(known) > KEYS:
+                                    known.clear()
+                                known.add(k)
+                                index.append(None)
+                                for col, v in zip(cols, (None, kind, None, None, None, k, sure, *what)):
+                                    col.append(v)
+                        at += len(line) + 1
+            ids = batch.column(0).take(pa.array(index, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t.type) for c, t in zip(cols, schema)]], names=["id", *schema.names])
 
     kind = dict(rows.dtypes)[id_column]
-    return spread(rows.select(id_column, *columns)).mapInPandas(run, f"id {kind}, field string, kind string, start_at int, end_at int")
-
-
-def sanitised(rows: DataFrame, columns: list[str], model: dict[str, float]) -> DataFrame:
-    """The rows with the given text columns replaced: each value becomes [KIND], everything else stays as it was."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: replaced(x, shared.value) if x else x)
-
-    return rows.withColumns({c: clean(F.col(f"`{c}`")) for c in columns})
-
-
-def replaced(text: str, model: dict[str, float]) -> str:
-    t = plain(text)
-    taken = structured(t)
-    out, at = [], 0
-    for a, b, kind in sorted(taken + names(t, model, taken)):
-        out += [text[at:a], f"[{kind}]"]
-        at = b
-    return "".join([*out, text[at:]])
+    out = f"id {kind}, field int, kind int, start_at int, end_at int, `group` int, key bigint, sure boolean, term string, `left` string, `right` string"
+    return spread(rows.select(F.col(f"`{id_column}`").alias("id"), *[F.col(f"`{c}`") for c in columns])).mapInArrow(run, out)
+
+
+def _bits(inside: Column, seen: Column) -> Column:
+    """The bits by which the share of distinct terms that are inside exceeds ``BASE``."""
+    return F.log2((inside + PRIOR * BASE) / (seen + PRIOR) / BASE)
+
+
+def disclosed(described: DataFrame, times: DataFrame) -> DataFrame:
+    """(key, bits) of the candidates that disclose a person or another protected entity, from the descriptions of all keys and
+    the counts of those whose form others share (key, count)."""
+    marked = F.regexp_replace("right", r"^ |[^가-힣]+$", "").rlike(f"^(?:{'|'.join(MARKERS)})")
+    names = described.where((F.col("kind") == NAME) & ~F.col("term").isin(*MARKERS)).select("key", "term", "left", "right", (F.col("right").isin("<PHONE>", "<EMAIL>") | marked).alias("seed"))
+    hangul = F.col("term").rlike("^[가-힣]")
+    words = F.split("term", " ")
+    # names of two, three and four syllables are told apart: ordinary words of one length would blur the parts of the others
+    syllables = F.transform(F.split("term", ""), lambda x, k: F.concat(k.cast("string"), x))
+    latin = F.array_compact(F.array(F.concat(F.lit("f"), F.get(words, F.lit(0))), F.when(F.size(words) > 1, F.concat(F.lit("l"), F.element_at(words, -1)))))
+    names = materialize(names.withColumns({"parts": F.when(hangul, syllables).otherwise(latin), "shape": F.when(hangul, F.concat(F.lit("k"), F.length("term").cast("string"))).otherwise("w")}), "names")
+
+    def terms(evidence: DataFrame) -> DataFrame:
+        """(term, bits): the mean bits of the parts, by the other terms that have them; evidence has term, parts, shape, inside."""
+        each = evidence.groupBy("term", "parts", "shape").agg(F.max("inside").cast("double").alias("inside"))
+        parts = each.select("shape", "inside", F.explode("parts").alias("part")).groupBy("shape", "part").agg(F.sum("inside").alias("i"), F.count(F.lit(1)).alias("n"))
+        scored = each.select("term", "shape", "inside", F.explode("parts").alias("part")).join(parts, ["shape", "part"])
+        return materialize(scored.groupBy("term").agg(F.avg(_bits(F.col("i") - F.col("inside"), F.col("n") - 1)).alias("bits")), "terms")
+
+    def placed(own: DataFrame) -> DataFrame:
+        """The names with the bits of their contexts, by the other terms in them; own has term and bits."""
+        told = names.join(own.select("term", (F.col("bits") > EVIDENCE).cast("double").alias("told")), "term")
+        each = F.array(F.concat(F.lit("l"), F.col("left")), F.concat(F.lit("r"), F.col("right")), F.concat_ws("\x01", "left", "right"))
+        seen = told.select("term", "told", F.explode(each).alias("context")).distinct().groupBy("context").agg(F.sum("told").alias("i"), F.count(F.lit(1)).alias("n"))
+        met = told.select("key", "term", "parts", "shape", "seed", "told", F.explode(each).alias("context")).join(seen, "context")
+        bits = F.avg(_bits(F.col("i") - F.col("told"), F.col("n") - 1))
+        return met.groupBy("key", "term", "parts", "shape", "seed").agg(F.greatest(F.lit(-CONTEXT_BITS), F.least(F.lit(CONTEXT_BITS), bits)).alias("context_bits"))
+
+    first = terms(names.select("term", "parts", "shape", F.col("seed").alias("inside")))
+    known = placed(first)
+    again = terms(known.select("term", "parts", "shape", (F.col("seed") | (F.col("context_bits") >= CONTEXT_BITS)).alias("inside")))
+    last = placed(again).join(again, "term").select("key", (F.col("bits") + F.col("context_bits")).alias("bits")).where(F.col("bits") > THRESHOLD)
+    return last.unionByName(values(described.where(F.col("kind") != NAME), again.where(F.col("bits") > EVIDENCE), times))
+
+
+def values(described: DataFrame, persons: DataFrame, times: DataFrame) -> DataFrame:
+    """(key, bits) of the values whose form others share, by the contexts in which sure values of their kind stand or that are a
+    person's name: the log odds of the form over all contexts that recur, and those of the occurrence's own contexts. A context
+    without sure values speaks against its values the more the oftener it occurs. times has key and count."""
+    each = F.explode(F.array(F.concat(F.lit("l"), F.col("left")), F.concat(F.lit("r"), F.col("right")))).alias("context")
+    counted = described.join(times, "key", "left").select("kind", "key", "sure", "term", F.coalesce("count", F.lit(1)).alias("count"), each)
+    seen = counted.where("context not in ('l^', 'r$')").groupBy("kind", "context").agg(F.count_if("sure").alias("hits"), F.sum("count").alias("n"))
+    person = persons.select(F.concat(F.lit("l"), F.col("term")).alias("context"), F.lit(True).alias("person"))
+    met = counted.where("not sure").join(seen, ["kind", "context"], "left").join(person, "context", "left")
+    hit = F.coalesce(F.col("hits") > 0, F.lit(False)) | F.coalesce("person", F.lit(False))
+    met = met.select("key", "kind", "term", hit.cast("int").alias("hit"), F.when(~hit, F.log2(F.col("n").cast("double"))).alias("miss"))
+    forms = met.groupBy("kind", "term").agg(F.least(F.lit(FORM_BITS), F.log2((F.sum("hit") + 4.0) / (F.count_if(F.col("miss") > 0) + 1.0))).alias("form_bits"))
+    own = met.groupBy("key", "kind", "term").agg((F.log2(F.sum("hit") + 1.0) - F.coalesce(F.sum("miss"), F.lit(0.0)) / 2).alias("own"))
+    return own.join(forms, ["kind", "term"]).select("key", (F.col("form_bits") + F.col("own")).alias("bits")).where("bits > 0")
+
+
+def spans(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
+    """(id, field, kind, start_at, end_at), one row per occurrence, decided by the disclosure over all rows.
+
+    NULL and empty texts have none; texts are read whole; a NULL id is an id like others; rows that repeat an id give what one
+    of them gives if they repeat its text. Empty tables give no rows."""
+    all_ = materialize(found(rows, id_column, columns), "candidates")
+    described = materialize(all_.where("term is not null").select("kind", "key", "sure", "term", "left", "right").distinct(), "described")
+    at = all_.where("term is null").drop("term", "left", "right")
+    times = at.where((F.col("kind") != NAME) & ~F.col("sure")).groupBy("key").count()
+    hits = at.where("not sure").join(disclosed(described, times), "key")
+    # of overlapping candidates the most disclosing ones stay
+    order = F.array_sort(F.collect_set(F.struct((-F.col("bits")).alias("b"), "start_at", "end_at", "kind")))
+    groups = hits.groupBy("id", "field", "group").agg(order.alias("all"))
+    keep = lambda kept, x: F.when(F.exists(kept, lambda y: (y["start_at"] < x["end_at"]) & (y["end_at"] > x["start_at"])), kept).otherwise(F.concat(kept, F.array(x)))
+    chosen = groups.select("id", "field", F.explode(F.aggregate("all", F.slice("all", 1, 0), keep)).alias("x")).select("id", "field", "x.kind", "x.start_at", "x.end_at")
+    sure = at.where("sure").select("id", "field", "kind", "start_at", "end_at").distinct()
+    name = lambda values, c: F.element_at(F.array(*[F.lit(v) for v in values]), F.col(c) + 1)
+    return sure.unionByName(chosen).select("id", name(columns, "field").alias("field"), name(KINDS, "kind").alias("kind"), "start_at", "end_at")
+
+
+def sanitised(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows with the given text columns replaced: each value becomes [KIND], everything else stays as it was. Other columns,
+    repeated rows and NULLs are kept."""
+    keyed = rows.withColumn("_k", F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])), 256))
+    found_ = materialize(spans(keyed.select("_k", *[F.col(f"`{c}`") for c in columns]).distinct(), "_k", columns), "spans")
+    for c in columns:
+        of = found_.where(F.col("field") == c).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start_at", "end_at", "kind"))).alias("_s"))
+        keyed = keyed.join(of.withColumnRenamed("id", "_k"), "_k", "left")
+        text = F.col(f"`{c}`")
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        step = lambda z, x: F.struct(x["end_at"].alias("at"), F.concat(z["out"], F.substring(text, z["at"] + 1, x["start_at"] - z["at"]), F.lit("["), x["kind"], F.lit("]")).alias("out"))
+        done = F.aggregate("_s", start, step, lambda z: F.concat(z["out"], F.substring(text, z["at"] + 1, F.length(text))))
+        keyed = keyed.withColumn(c, F.when(F.col("_s").isNull(), text).otherwise(done)).drop("_s")
+    return keyed.select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def find(rows: DataFrame, id_column: str = "id", columns: tuple[str, ...] = ("title_ko", "body_ko")) -> DataFrame:
-    """Fits the disclosure of name parts on all rows and finds every occurrence. Empty tables give no rows."""
-    return spans(rows, id_column, list(columns), fit(rows, list(columns)))
+    """Every occurrence in all rows, see ``spans``."""
+    return spans(rows, id_column, list(columns))
