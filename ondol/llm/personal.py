@@ -214,7 +214,7 @@ def found(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
 
     kind = dict(rows.dtypes)[id_column]
     out = f"id {kind}, field int, kind int, start_at int, end_at int, `group` int, key bigint, sure boolean, term string, `left` string, `right` string"
-    return spread(rows.select(F.col(f"`{id_column}`").alias("id"), *[F.col(f"`{c}`") for c in columns])).mapInArrow(run, out)
+    return spread(rows.select(F.col(f"`{id_column}`").alias("id"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(columns)])).mapInArrow(run, out)
 
 
 def _bits(inside: Column, seen: Column) -> Column:
