@@ -1,13 +1,13 @@
 """Personal information in free text: found, typed and replaced, by information-theoretic sanitisation.
 
-One Python pass reads every line once and puts out candidates: values by their form (e-mail addresses, phone numbers, identity
+One Python pass cuts the texts into segments (lines and Korean sentences), reads every distinct one and puts out candidates: values by their form (e-mail addresses, phone numbers, identity
 numbers, street addresses) and name-shaped terms (Hangul words without their particles, runs of capitalised words), each with
 the word before it and what follows it. Everything after that is joins and aggregates over distinct candidates:
 
 * Terms next to a protected value or to a form of address (``MARKERS``) are the first evidence. The pointwise mutual
   information of the parts of terms (syllables by place, first and last words) with that evidence, counted over distinct terms,
   tells how strongly a part points to a person.
-* Contexts (the word before, what follows, both) get their mutual information with terms that disclose a person, then the parts
+* Contexts (the word before, what follows) get their mutual information with terms that disclose a person, then the parts
   are counted again with the terms of disclosing contexts. No context is given beforehand but the markers.
 * A term in its context is a name if the bits of its parts and of its context together exceed ``THRESHOLD``. Forms that other
   numbers share (bare runs of digits, spelt-out signs, Korean roads) count by how often they stand in the contexts in which
@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, spread
 
-#: Bits from which a term discloses a person, bits from which a term or a context counts as evidence for others, the bound of
-#: the bits of a context and of a form, and the share of disclosing terms that the mutual information is taken against.
-THRESHOLD, EVIDENCE, CONTEXT_BITS, FORM_BITS, BASE = 1.0, 1.0, 0.9, 2.0, 0.25
+#: Bits from which a term discloses a person, bits from which a term or its contexts count as evidence for others, the most that
+#: contexts give and take, the most that a form gives, and the share of disclosing terms that the bits are taken against.
+THRESHOLD, EVIDENCE, STRONG, GAIN, LOSS, FORM_BITS, BASE = 1.0, 1.0, 1.25, 0.45, 0.9, 2.0, 0.25
 #: Distinct terms that a part or a context is taken to have been seen with before any count.
 PRIOR = 2.0
-#: Lines whose candidates a worker keeps, and keys that it remembers to have described.
-LINES, KEYS = 1 << 16, 1 << 20
+#: Segments that a worker remembers to have read.
+LINES = 1 << 17
 KINDS = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")
 NAME = KINDS.index("NAME")
 
@@ -75,6 +75,7 @@ CAPITALISED = re.compile(r"(?<![A-Za-z0-9#'-])[A-Z][a-z]+(?:-[A-Z][a-z]+)*(?![A-
 INITIAL = re.compile(r" (?:[A-Z]\. )?$")
 DIRECTIONS = {"North", "South", "East", "West"}
 NUMBER = re.compile(r"\d+")
+CUT = re.compile(r"[\n\r]+|(?<=[가-힣][.!?…])[!?.…]*[ \t]+")
 
 
 def plain(text: str) -> str:
@@ -175,45 +176,58 @@ def key(kind: int, term: str, left: str, right: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}\x01{term}\x01{left}\x01{right}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def segments(text: str) -> Iterator[tuple[int, str]]:
+    """(offset, segment): the lines of a text, cut also after the ends of Korean sentences; no value and no context crosses one."""
+    at = 0
+    for m in CUT.finditer(text):
+        if m.start() > at:
+            yield at, text[at : m.start()]
+        at = m.end()
+    if at < len(text):
+        yield at, text[at:]
+
+
 def found(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
-    """All candidates: occurrences (id, field, kind, start_at, end_at, group, key, sure) and, with NULL places, the descriptions
-    of their keys (kind, key, term, left, right), each at least once. Texts are read whole, line by line."""
-    schema = pa.schema([(n, pa.int32()) for n in ("field", "kind", "start_at", "end_at", "group")] + [("key", pa.int64()), ("sure", pa.bool_())] + [(n, pa.string()) for n in ("term", "left", "right")])
+    """Two kinds of rows: the segments of all texts that hold candidates (id, field, at, segment: a hash of 128 bits) and, with a
+    NULL field, the candidates of each segment (segment, kind, start_at, end_at, group, key, sure, term, left, right), each at
+    least once. Texts are read whole; a segment that recurs is read once by a worker."""
+    ints = ("field", "at", "kind", "start_at", "end_at", "group")
+    schema = pa.schema([("segment", pa.binary()), *[(n, pa.int32()) for n in ints], ("key", pa.int64()), ("sure", pa.bool_()), *[(n, pa.string()) for n in ("term", "left", "right")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, list] = {}
-        known: set[int] = set()
+        kept: dict[str, bytes] = {}
         for batch in batches:
-            index: list[int | None] = []
-            cols: list[list] = [[] for _ in schema]
-            for f, c in enumerate(columns):
+            index: list[int] = []
+            fields: list[int] = []
+            ats: list[int] = []
+            where: list[bytes] = []
+            new: list[tuple] = []
+            for f in range(len(columns)):
                 for i, text in enumerate(batch.column(1 + f).to_pylist()):
                     if not text:
                         continue
-                    at = 0
-                    for line in plain(text).split("\n"):
-                        hits = kept.get(line)
-                        if hits is None:
+                    for at, segment in segments(plain(text)):
+                        k = kept.get(segment)
+                        if k is None:
                             if len(kept) > LINES:
                                 kept.clear()
-                            hits = kept[line] = [(*x[:4], key(*x[3:7]), x[7], x[4:7]) for x in candidates(line)]
-                        for a, b, g, kind, k, sure, what in hits:
+                            hits = candidates(segment)
+                            k = kept[segment] = hashlib.blake2b(segment.encode("utf-8", "replace"), digest_size=16).digest() if hits else b""
+                            new += [(k, kind, a, b, g, key(kind, *what), sure, *what) for a, b, g, kind, *what, sure in hits]
+                        if k:
                             index.append(i)
-                            for col, v in zip(cols, (f, kind, at + a, at + b, at + g, k, sure, None, None, None)):
-                                col.append(v)
-                            if not sure and k not in known or sure and kind != NAME and k not in known:
-                                if len(known) > KEYS:
-                                    known.clear()
-                                known.add(k)
-                                index.append(None)
-                                for col, v in zip(cols, (None, kind, None, None, None, k, sure, *what)):
-                                    col.append(v)
-                        at += len(line) + 1
-            ids = batch.column(0).take(pa.array(index, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t.type) for c, t in zip(cols, schema)]], names=["id", *schema.names])
+                            fields.append(f)
+                            ats.append(at)
+                            where.append(k)
+            n, m = len(index), len(new)
+            segment, kind, start, end, group, keys, sure, term, left, right = zip(*new) if new else [()] * 10
+            nothing, none = [None] * m, [None] * n
+            ids = batch.column(0).take(pa.array(index + nothing, pa.int64()))
+            values = [where + list(segment), fields + nothing, ats + nothing, *[none + list(c) for c in (kind, start, end, group, keys, sure, term, left, right)]]
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t.type) for c, t in zip(values, schema)]], names=["id", *schema.names])
 
     kind = dict(rows.dtypes)[id_column]
-    out = f"id {kind}, field int, kind int, start_at int, end_at int, `group` int, key bigint, sure boolean, term string, `left` string, `right` string"
+    out = f"id {kind}, segment binary, field int, at int, kind int, start_at int, end_at int, `group` int, key bigint, sure boolean, term string, `left` string, `right` string"
     return spread(rows.select(F.col(f"`{id_column}`").alias("id"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(columns)])).mapInArrow(run, out)
 
 
@@ -244,16 +258,16 @@ def disclosed(described: DataFrame, times: DataFrame) -> DataFrame:
     def placed(own: DataFrame) -> DataFrame:
         """The names with the bits of their contexts, by the other terms in them; own has term and bits."""
         told = names.join(own.select("term", (F.col("bits") > EVIDENCE).cast("double").alias("told")), "term")
-        each = F.array(F.concat(F.lit("l"), F.col("left")), F.concat(F.lit("r"), F.col("right")), F.concat_ws("\x01", "left", "right"))
+        each = F.array(F.concat(F.lit("l"), F.col("left")), F.concat(F.lit("r"), F.col("right")))
         seen = told.select("term", "told", F.explode(each).alias("context")).distinct().groupBy("context").agg(F.sum("told").alias("i"), F.count(F.lit(1)).alias("n"))
         met = told.select("key", "term", "parts", "shape", "seed", "told", F.explode(each).alias("context")).join(seen, "context")
         bits = F.avg(_bits(F.col("i") - F.col("told"), F.col("n") - 1))
-        return met.groupBy("key", "term", "parts", "shape", "seed").agg(F.greatest(F.lit(-CONTEXT_BITS), F.least(F.lit(CONTEXT_BITS), bits)).alias("context_bits"))
+        return met.groupBy("key", "term", "parts", "shape", "seed").agg(bits.alias("context_bits"))
 
     first = terms(names.select("term", "parts", "shape", F.col("seed").alias("inside")))
     known = placed(first)
-    again = terms(known.select("term", "parts", "shape", (F.col("seed") | (F.col("context_bits") >= CONTEXT_BITS)).alias("inside")))
-    last = placed(again).join(again, "term").select("key", (F.col("bits") + F.col("context_bits")).alias("bits")).where(F.col("bits") > THRESHOLD)
+    again = terms(known.select("term", "parts", "shape", (F.col("seed") | (F.col("context_bits") > STRONG)).alias("inside")))
+    last = placed(again).join(again, "term").select("key", (F.col("bits") + F.greatest(F.lit(-LOSS), F.least(F.lit(GAIN), F.col("context_bits")))).alias("bits")).where(F.col("bits") > THRESHOLD)
     return last.unionByName(values(described.where(F.col("kind") != NAME), again.where(F.col("bits") > EVIDENCE), times))
 
 
@@ -279,18 +293,19 @@ def spans(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
     NULL and empty texts have none; texts are read whole; a NULL id is an id like others; rows that repeat an id give what one
     of them gives if they repeat its text. Empty tables give no rows."""
     all_ = materialize(found(rows, id_column, columns), "candidates")
-    described = materialize(all_.where("term is not null").select("kind", "key", "sure", "term", "left", "right").distinct(), "described")
-    at = all_.where("term is null").drop("term", "left", "right")
-    times = at.where((F.col("kind") != NAME) & ~F.col("sure")).groupBy("key").count()
-    hits = at.where("not sure").join(disclosed(described, times), "key")
+    texts = all_.where("field is not null").select("id", "field", "at", "segment")
+    read = materialize(all_.where("field is null").drop("id", "field", "at").dropDuplicates(["segment", "start_at", "end_at", "kind"]), "segments")
+    times = read.where((F.col("kind") != NAME) & ~F.col("sure")).groupBy("key").count()
+    described = read.select("kind", "key", "sure", "term", "left", "right").distinct()
+    hits = read.where("not sure").join(disclosed(described, times), "key").select("segment", "group", "bits", "start_at", "end_at", "kind")
     # of overlapping candidates the most disclosing ones stay
-    order = F.array_sort(F.collect_set(F.struct((-F.col("bits")).alias("b"), "start_at", "end_at", "kind")))
-    groups = hits.groupBy("id", "field", "group").agg(order.alias("all"))
+    groups = hits.groupBy("segment", "group").agg(F.array_sort(F.collect_list(F.struct((-F.col("bits")).alias("b"), "start_at", "end_at", "kind"))).alias("all"))
     keep = lambda kept, x: F.when(F.exists(kept, lambda y: (y["start_at"] < x["end_at"]) & (y["end_at"] > x["start_at"])), kept).otherwise(F.concat(kept, F.array(x)))
-    chosen = groups.select("id", "field", F.explode(F.aggregate("all", F.slice("all", 1, 0), keep)).alias("x")).select("id", "field", "x.kind", "x.start_at", "x.end_at")
-    sure = at.where("sure").select("id", "field", "kind", "start_at", "end_at").distinct()
+    chosen = groups.select("segment", F.explode(F.aggregate("all", F.slice("all", 1, 0), keep)).alias("x")).select("segment", "x.kind", "x.start_at", "x.end_at")
+    values_ = chosen.unionByName(read.where("sure").select("segment", "kind", "start_at", "end_at"))
     name = lambda values, c: F.element_at(F.array(*[F.lit(v) for v in values]), F.col(c) + 1)
-    return sure.unionByName(chosen).select("id", name(columns, "field").alias("field"), name(KINDS, "kind").alias("kind"), "start_at", "end_at")
+    placed_ = texts.join(values_, "segment").select("id", name(columns, "field").alias("field"), name(KINDS, "kind").alias("kind"), (F.col("at") + F.col("start_at")).alias("start_at"), (F.col("at") + F.col("end_at")).alias("end_at"))
+    return placed_.distinct()
 
 
 def sanitised(rows: DataFrame, columns: list[str]) -> DataFrame:
