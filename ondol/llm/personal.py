@@ -18,11 +18,11 @@ Counts are tables by key: nothing is collected, and no part, term or context is
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +33,17 @@ from ..session import materialize, spread
 THRESHOLD, EVIDENCE, STRONG, GAIN, LOSS, FORM_BITS, BASE = 1.0, 1.0, 1.25, 0.45, 0.9, 2.0, 0.25
 #: Distinct terms that a part or a context is taken to have been seen with before any count.
 PRIOR = 2.0
-#: Segments that a worker remembers to have read.
-LINES = 1 << 17
+#: Bits of values whose form nothing else has.
+SURE_BITS = 64.0
+#: Segments that a worker remembers to have read, and keys that it remembers to have described.
+LINES, KEYS = 1 << 17, 1 << 20
 KINDS = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")
 NAME = KINDS.index("NAME")
 
 WIDE = {0xFF01 + i: 0x21 + i for i in range(94)} | {0x3000: 0x20, 0xA0: 0x20}
 
+WIDE_FORM = re.compile("[" + "".join(map(chr, WIDE)) + "]")
+
 AT = r"\s?(?:@|골뱅이|\(\s?at\s?\)|\[\s?at\s?\]|\(골뱅이\)|\[골뱅이\])\s?"
 DOT = r"(?:\.|\s?\(dot\)\s?|\s?\[dot\]\s?|점(?=[a-z]))"
 EMAIL = re.compile(rf"(?<![A-Za-z0-9_%+-])(?<![A-Za-z0-9_%+-]\.)[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*{AT}[A-Za-z0-9-]+(?:{DOT}[A-Za-z0-9-]+)*{DOT}[A-Za-z]{{2,}}", re.I)
@@ -67,28 +71,30 @@ SURE = re.compile(r"\S*@\S*|\+.*|.*\(\d.*|(?:1[-. ])?\d{2,3}[-. ]\d{3,4}[-. ]\d{
 
 #: Forms of address and of signing around a person's name, and particles and copulas after a Korean noun.
 MARKERS = ("님", "씨", "드림", "올림", "배상")
-PARTICLE = re.compile(
-    r"(?:님|씨)?(?:가|는|은|이|을|를|의|와|과|도|만|께|께서|에게|에게서|한테|이랑|랑|하고|로|으로|이라고|라고|입니다|이고|이며|이에요|예요|이라는|이네|네)?(?:는|도|만)?"
-)
+ENDINGS = ("가", "는", "은", "이", "을", "를", "의", "와", "과", "도", "만", "께", "께서", "에게", "에게서", "한테", "이랑", "랑", "하고", "로", "으로", "이라고", "라고", "입니다", "이고", "이며", "이에요", "예요", "이라는", "이네", "네")
+PARTICLES = {f"{a}{b}{c}" for a in ("", "님", "씨") for b in ("", *ENDINGS) for c in ("", "는", "도", "만")}
 RUN = re.compile(r"(?<![가-힣\w])[가-힣]{2,}(?![A-Za-z0-9])")
+WORD = re.compile(r"\S+")
+NUMERAL = re.compile(r"[\d공]")
 CAPITALISED = re.compile(r"(?<![A-Za-z0-9#'-])[A-Z][a-z]+(?:-[A-Z][a-z]+)*(?![A-Za-z0-9'-])")
 INITIAL = re.compile(r" (?:[A-Z]\. )?$")
 DIRECTIONS = {"North", "South", "East", "West"}
 NUMBER = re.compile(r"\d+")
+DIGIT = re.compile(r"\d")
 CUT = re.compile(r"[\n\r]+|(?<=[가-힣][.!?…])[!?.…]*[ \t]+")
 
 
 def plain(text: str) -> str:
     """Full-width forms as plain ones, one character each, so that offsets stay."""
-    return text if text.isascii() else text.translate(WIDE)
+    return text.translate(WIDE) if not text.isascii() and WIDE_FORM.search(text) else text
 
 
 def structured(t: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the values with a form of their own, without overlaps, in order."""
     out: list[tuple[int, int, str]] = []
-    if EMAIL_HINT.search(t):
+    if ("@" in t or "골뱅이" in t or "at" in t.lower()) and EMAIL_HINT.search(t):
         out += [(m.start(), m.end(), "EMAIL") for m in EMAIL.finditer(t)]
-    if DIGITS.search(t):
+    if NUMERAL.search(t) and DIGITS.search(t):
         for kind, pattern in (("ID_NUMBER", ID_NUMBER), ("PHONE", PHONE), ("ADDRESS", ADDRESS), ("ADDRESS", KO_ADDRESS)):
             for m in pattern.finditer(t):
                 start, end = m.span()
@@ -98,72 +104,66 @@ def structured(t: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def _left(t: str, start: int, ends: dict[int, str]) -> str:
-    """The word before a place of a line, a protected value by its kind, '^' at the beginning."""
-    k = start
-    while k and t[k - 1].isspace():
-        k -= 1
-    if k in ends:
-        return ends[k]
-    j = k
-    while j and not t[j - 1].isspace():
-        j -= 1
-    return NUMBER.sub("0", t[j:k]) or "^"
-
-
-def _right(t: str, end: int, starts: dict[int, str]) -> str:
-    """What follows a place of a line: the rest of its word, or the next word after a blank; '$' at the end."""
-    k = end
-    while k < len(t) and t[k].isspace():
-        k += 1
-    if k in starts:
-        return starts[k]
-    j = k
-    while j < len(t) and not t[j].isspace():
-        j += 1
-    return (" " if k > end and j > k else "") + NUMBER.sub("0", t[k:j]) or "$"
-
-
 def candidates(t: str) -> list[tuple[int, int, int, int, str, str, str, bool]]:
-    """(start, end, group, kind, term, left, right, sure) of a line; candidates that overlap are in one group."""
+    """(start, end, group, kind, term, left, right, sure) of a segment; candidates that overlap are in one group. left is the word
+    before (or what stands before in the same word), right the rest of the word or the next one after a blank; protected values
+    stand there by their kind, digits as 0, '^' and '$' at the edges."""
     taken = structured(t)
     starts, ends = {a: f"<{k}>" for a, _, k in taken}, {b: f"<{k}>" for _, b, k in taken}
+    words = [m.span() for m in WORD.finditer(t)]
+    digits = NUMBER.search(t) is not None
+    masked = [NUMBER.sub("0", t[a:b]) if digits else t[a:b] for a, b in words]
+    w, n_words = 0, len(words)
+
+    def around(a: int, b: int) -> tuple[str, str]:
+        nonlocal w
+        if w >= n_words or words[w][0] > a:
+            w = 0
+        while words[w][1] <= a:
+            w += 1
+        first = words[w][0]
+        if a > first:
+            left = ends.get(a) or NUMBER.sub("0", t[first:a])
+        else:
+            left = (ends.get(words[w - 1][1]) or masked[w - 1]) if w else "^"
+        k = w
+        while words[k][1] < b:
+            k += 1
+        if b < words[k][1]:
+            right = starts.get(b) or NUMBER.sub("0", t[b : words[k][1]])
+        elif k + 1 < n_words:
+            right = starts.get(words[k + 1][0]) or " " + masked[k + 1]
+        else:
+            right = "$"
+        return left, right
+
     out = []
     for a, b, kind in taken:
         value = t[a:b]
         sure = SURE.fullmatch(value) is not None
-        out.append((a, b, a, KINDS.index(kind), "" if sure else shape(value), _left(t, a, ends), _right(t, b, starts), sure))
-    at = 0
-
-    def free(a: int, b: int) -> bool:
-        nonlocal at
-        while at < len(taken) and taken[at][1] <= a:
-            at += 1
-        return at == len(taken) or taken[at][0] >= b
-
+        out.append((a, b, a, KINDS.index(kind), "" if sure else f"{shape(value)}\x02{value}", *around(a, b), sure))
+    free = (lambda a, b: all(y <= a or x >= b for x, y, _ in taken)) if taken else None
     for m in RUN.finditer(t):
         a, b = m.span()
-        if not free(a, b):
+        run = m[0]
+        if free and not free(a, b):
             continue
-        left = None
         for n in (4, 3, 2):
-            if n <= b - a and PARTICLE.fullmatch(t, a + n, b):
-                left = left or _left(t, a, ends)
-                out.append((a, a + n, a, NAME, t[a : a + n], left, _right(t, a + n, starts), False))
-    if t.isascii() or any(c.isupper() for c in t):
-        words = [m.span() for m in CAPITALISED.finditer(t)]
-        at, group, last = 0, 0, -1
-        for k, (a, b) in enumerate(words):
-            if not free(a, b) or t[a:b] in DIRECTIONS:
+            if n <= b - a and run[n:] in PARTICLES:
+                out.append((a, a + n, a, NAME, run[:n], *around(a, a + n), False))
+    if not t.islower():
+        caps = [m.span() for m in CAPITALISED.finditer(t)]
+        group, last = 0, 0
+        for k, (a, b) in enumerate(caps):
+            if free and not free(a, b) or t[a:b] in DIRECTIONS:
                 continue
-            if a > last:
+            if a >= last:
                 group = a
-            left = _left(t, a, ends)
-            if k + 1 < len(words) and INITIAL.fullmatch(t, b, words[k + 1][0]) and free(a, words[k + 1][1]):
-                last = words[k + 1][1]
-                out.append((a, last, group, NAME, t[a:last], left, _right(t, last, starts), False))
-            elif a > last:
-                out.append((a, b, a, NAME, t[a:b], left, _right(t, b, starts), False))
+            if k + 1 < len(caps) and INITIAL.fullmatch(t, b, caps[k + 1][0]) and not (free and not free(a, caps[k + 1][1])):
+                last = caps[k + 1][1]
+                out.append((a, last, group, NAME, t[a:last], *around(a, last), False))
+            elif a >= last:
+                out.append((a, b, a, NAME, t[a:b], *around(a, b), False))
     return out
 
 
@@ -173,7 +173,7 @@ def shape(value: str) -> str:
 
 
 def key(kind: int, term: str, left: str, right: str) -> int:
-    return int.from_bytes(hashlib.blake2b(f"{kind}\x01{term}\x01{left}\x01{right}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+    return xxhash.xxh3_64_intdigest(f"{kind}\x01{term}\x01{left}\x01{right}".encode("utf-8", "replace")) - (1 << 63)
 
 
 def segments(text: str) -> Iterator[tuple[int, str]]:
@@ -188,20 +188,46 @@ def segments(text: str) -> Iterator[tuple[int, str]]:
 
 
 def found(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
-    """Two kinds of rows: the segments of all texts that hold candidates (id, field, at, segment: a hash of 128 bits) and, with a
-    NULL field, the candidates of each segment (segment, kind, start_at, end_at, group, key, sure, term, left, right), each at
-    least once. Texts are read whole; a segment that recurs is read once by a worker."""
-    ints = ("field", "at", "kind", "start_at", "end_at", "group")
-    schema = pa.schema([("segment", pa.binary()), *[(n, pa.int32()) for n in ints], ("key", pa.int64()), ("sure", pa.bool_()), *[(n, pa.string()) for n in ("term", "left", "right")]])
+    """Three kinds of rows: the segments of all texts that hold candidates (id, field, at, segment: a hash of 128 bits); the
+    candidates of each segment (segment, keys, places), at least once; the descriptions of keys (key, kind, sure, term, left,
+    right), at least once. Texts are read whole; a segment that recurs is read once by a worker, digits aside. A place holds start,
+    length and the distance to the start of the candidate's group."""
+    parts = [("segment", pa.binary()), ("field", pa.int32()), ("at", pa.int32()), ("keys", pa.list_(pa.int64())), ("places", pa.list_(pa.int64())), ("key", pa.int64()), ("kind", pa.int32()), ("sure", pa.bool_()), *[(n, pa.string()) for n in ("term", "left", "right")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, bytes] = {}
+        known: set[int] = set()
+
+        def read(segment: str, lines: list, told: list) -> bytes:
+            # without values of a form of their own only the places of digits count
+            masked = segment if structured(segment) else DIGIT.sub("0", segment)
+            k = kept.get(masked) if masked is not segment else None
+            if k is None:
+                hits = candidates(masked)
+                k = kept[masked] = xxhash.xxh3_128_digest(masked.encode("utf-8", "replace")) if hits else b""
+                keys, places = [], []
+                for a, b, g, kind, term, left, right, sure in hits:
+                    x = key(kind, term, left, right)
+                    keys.append(x)
+                    places.append(a << 40 | (b - a) << 20 | min(a - g, 0xFFFFF))
+                    if x not in known:
+                        known.add(x)
+                        told.append((x, kind, sure, term, left, right))
+                if hits:
+                    lines.append((k, keys, places))
+            kept[segment] = k
+            return k
+
         for batch in batches:
             index: list[int] = []
             fields: list[int] = []
             ats: list[int] = []
             where: list[bytes] = []
-            new: list[tuple] = []
+            lines: list[tuple] = []
+            told: list[tuple] = []
+            if len(kept) > LINES or len(known) > KEYS:
+                kept.clear()
+                known.clear()
             for f in range(len(columns)):
                 for i, text in enumerate(batch.column(1 + f).to_pylist()):
                     if not text:
@@ -209,25 +235,21 @@ def found(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
                     for at, segment in segments(plain(text)):
                         k = kept.get(segment)
                         if k is None:
-                            if len(kept) > LINES:
-                                kept.clear()
-                            hits = candidates(segment)
-                            k = kept[segment] = hashlib.blake2b(segment.encode("utf-8", "replace"), digest_size=16).digest() if hits else b""
-                            new += [(k, kind, a, b, g, key(kind, *what), sure, *what) for a, b, g, kind, *what, sure in hits]
+                            k = read(segment, lines, told)
                         if k:
                             index.append(i)
                             fields.append(f)
                             ats.append(at)
                             where.append(k)
-            n, m = len(index), len(new)
-            segment, kind, start, end, group, keys, sure, term, left, right = zip(*new) if new else [()] * 10
-            nothing, none = [None] * m, [None] * n
-            ids = batch.column(0).take(pa.array(index + nothing, pa.int64()))
-            values = [where + list(segment), fields + nothing, ats + nothing, *[none + list(c) for c in (kind, start, end, group, keys, sure, term, left, right)]]
-            yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t.type) for c, t in zip(values, schema)]], names=["id", *schema.names])
+            a, b, c = len(index), len(lines), len(told)
+            segment, keys, places = zip(*lines) if lines else ((), (), ())
+            described = [[None] * (a + b) + list(x) for x in zip(*told)] if told else [[None] * (a + b)] * 6
+            ids = batch.column(0).take(pa.array(index + [None] * (b + c), pa.int64()))
+            values = [where + list(segment) + [None] * c, fields + [None] * (b + c), ats + [None] * (b + c), [None] * a + list(keys) + [None] * c, [None] * a + list(places) + [None] * c, *described]
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(v, t) for v, (_, t) in zip(values, parts)]], names=["id", *[n for n, _ in parts]])
 
     kind = dict(rows.dtypes)[id_column]
-    out = f"id {kind}, segment binary, field int, at int, kind int, start_at int, end_at int, `group` int, key bigint, sure boolean, term string, `left` string, `right` string"
+    out = f"id {kind}, segment binary, field int, at int, keys array<bigint>, places array<bigint>, key bigint, kind int, sure boolean, term string, `left` string, `right` string"
     return spread(rows.select(F.col(f"`{id_column}`").alias("id"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(columns)])).mapInArrow(run, out)
 
 
@@ -236,9 +258,8 @@ def _bits(inside: Column, seen: Column) -> Column:
     return F.log2((inside + PRIOR * BASE) / (seen + PRIOR) / BASE)
 
 
-def disclosed(described: DataFrame, times: DataFrame) -> DataFrame:
-    """(key, bits) of the candidates that disclose a person or another protected entity, from the descriptions of all keys and
-    the counts of those whose form others share (key, count)."""
+def disclosed(described: DataFrame) -> DataFrame:
+    """(key, kind, bits) of the candidates that disclose a person or another protected entity, from the descriptions of all keys."""
     marked = F.regexp_replace("right", r"^ |[^가-힣]+$", "").rlike(f"^(?:{'|'.join(MARKERS)})")
     names = described.where((F.col("kind") == NAME) & ~F.col("term").isin(*MARKERS)).select("key", "term", "left", "right", (F.col("right").isin("<PHONE>", "<EMAIL>") | marked).alias("seed"))
     hangul = F.col("term").rlike("^[가-힣]")
@@ -267,24 +288,25 @@ def disclosed(described: DataFrame, times: DataFrame) -> DataFrame:
     first = terms(names.select("term", "parts", "shape", F.col("seed").alias("inside")))
     known = placed(first)
     again = terms(known.select("term", "parts", "shape", (F.col("seed") | (F.col("context_bits") > STRONG)).alias("inside")))
-    last = placed(again).join(again, "term").select("key", (F.col("bits") + F.greatest(F.lit(-LOSS), F.least(F.lit(GAIN), F.col("context_bits")))).alias("bits")).where(F.col("bits") > THRESHOLD)
-    return last.unionByName(values(described.where(F.col("kind") != NAME), again.where(F.col("bits") > EVIDENCE), times))
+    last = placed(again).join(again, "term").select("key", (F.col("bits") + F.greatest(F.lit(-LOSS), F.least(F.lit(GAIN), F.col("context_bits")))).alias("bits")).where(F.col("bits") > THRESHOLD).select("key", F.lit(NAME).alias("kind"), "bits")
+    return last.unionByName(values(described.where(F.col("kind") != NAME), again.where(F.col("bits") > EVIDENCE)))
 
 
-def values(described: DataFrame, persons: DataFrame, times: DataFrame) -> DataFrame:
-    """(key, bits) of the values whose form others share, by the contexts in which sure values of their kind stand or that are a
-    person's name: the log odds of the form over all contexts that recur, and those of the occurrence's own contexts. A context
-    without sure values speaks against its values the more the oftener it occurs. times has key and count."""
+def values(described: DataFrame, persons: DataFrame) -> DataFrame:
+    """(key, kind, bits) of the values: those of a sure form, and those whose form others share by the contexts in which sure
+    values of their kind stand or that are a person's name: the log odds of the form over all contexts that recur, and those of
+    the occurrence's own contexts. A context without sure values speaks against its values the more the oftener it occurs."""
     each = F.explode(F.array(F.concat(F.lit("l"), F.col("left")), F.concat(F.lit("r"), F.col("right")))).alias("context")
-    counted = described.join(times, "key", "left").select("kind", "key", "sure", "term", F.coalesce("count", F.lit(1)).alias("count"), each)
-    seen = counted.where("context not in ('l^', 'r$')").groupBy("kind", "context").agg(F.count_if("sure").alias("hits"), F.sum("count").alias("n"))
+    counted = described.select("kind", "key", "sure", F.substring_index("term", "\x02", 1).alias("term"), each)
+    seen = counted.where("context not in ('l^', 'r$')").groupBy("kind", "context").agg(F.count_if("sure").alias("hits"), F.count(F.lit(1)).alias("n"))
     person = persons.select(F.concat(F.lit("l"), F.col("term")).alias("context"), F.lit(True).alias("person"))
     met = counted.where("not sure").join(seen, ["kind", "context"], "left").join(person, "context", "left")
     hit = F.coalesce(F.col("hits") > 0, F.lit(False)) | F.coalesce("person", F.lit(False))
     met = met.select("key", "kind", "term", hit.cast("int").alias("hit"), F.when(~hit, F.log2(F.col("n").cast("double"))).alias("miss"))
     forms = met.groupBy("kind", "term").agg(F.least(F.lit(FORM_BITS), F.log2((F.sum("hit") + 4.0) / (F.count_if(F.col("miss") > 0) + 1.0))).alias("form_bits"))
     own = met.groupBy("key", "kind", "term").agg((F.log2(F.sum("hit") + 1.0) - F.coalesce(F.sum("miss"), F.lit(0.0)) / 2).alias("own"))
-    return own.join(forms, ["kind", "term"]).select("key", (F.col("form_bits") + F.col("own")).alias("bits")).where("bits > 0")
+    shared = own.join(forms, ["kind", "term"]).select("key", "kind", (F.col("form_bits") + F.col("own")).alias("bits")).where("bits > 0")
+    return shared.unionByName(described.where("sure").select("key", "kind", F.lit(SURE_BITS).alias("bits")))
 
 
 def spans(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
@@ -294,17 +316,18 @@ def spans(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
     of them gives if they repeat its text. Empty tables give no rows."""
     all_ = materialize(found(rows, id_column, columns), "candidates")
     texts = all_.where("field is not null").select("id", "field", "at", "segment")
-    read = materialize(all_.where("field is null").drop("id", "field", "at").dropDuplicates(["segment", "start_at", "end_at", "kind"]), "segments")
-    times = read.where((F.col("kind") != NAME) & ~F.col("sure")).groupBy("key").count()
-    described = read.select("kind", "key", "sure", "term", "left", "right").distinct()
-    hits = read.where("not sure").join(disclosed(described, times), "key").select("segment", "group", "bits", "start_at", "end_at", "kind")
+    described = materialize(all_.where("key is not null").groupBy("key").agg(*[F.first(c).alias(c) for c in ("kind", "sure", "term", "left", "right")]), "described")
+    place = F.arrays_zip(F.col("keys").alias("key"), F.col("places").alias("place"))
+    read = all_.where("keys is not null").select("segment", F.explode(place).alias("c")).select("segment", "c.key", "c.place")
+    hits = read.join(disclosed(described), "key")
+    start = F.shiftright("place", 40).cast("int")
+    hits = hits.select("segment", (start - F.col("place").bitwiseAND(0xFFFFF).cast("int")).alias("group"), "bits", start.alias("start_at"), (start + F.shiftright("place", 20).bitwiseAND(0xFFFFF).cast("int")).alias("end_at"), "kind")
     # of overlapping candidates the most disclosing ones stay
-    groups = hits.groupBy("segment", "group").agg(F.array_sort(F.collect_list(F.struct((-F.col("bits")).alias("b"), "start_at", "end_at", "kind"))).alias("all"))
+    groups = hits.groupBy("segment", "group").agg(F.array_sort(F.collect_set(F.struct((-F.col("bits")).alias("b"), "start_at", "end_at", "kind"))).alias("all"))
     keep = lambda kept, x: F.when(F.exists(kept, lambda y: (y["start_at"] < x["end_at"]) & (y["end_at"] > x["start_at"])), kept).otherwise(F.concat(kept, F.array(x)))
     chosen = groups.select("segment", F.explode(F.aggregate("all", F.slice("all", 1, 0), keep)).alias("x")).select("segment", "x.kind", "x.start_at", "x.end_at")
-    values_ = chosen.unionByName(read.where("sure").select("segment", "kind", "start_at", "end_at"))
     name = lambda values, c: F.element_at(F.array(*[F.lit(v) for v in values]), F.col(c) + 1)
-    placed_ = texts.join(values_, "segment").select("id", name(columns, "field").alias("field"), name(KINDS, "kind").alias("kind"), (F.col("at") + F.col("start_at")).alias("start_at"), (F.col("at") + F.col("end_at")).alias("end_at"))
+    placed_ = texts.join(chosen, "segment").select("id", name(columns, "field").alias("field"), name(KINDS, "kind").alias("kind"), (F.col("at") + F.col("start_at")).alias("start_at"), (F.col("at") + F.col("end_at")).alias("end_at"))
     return placed_.distinct()
 
 
