@@ -7,8 +7,8 @@ the word before it and what follows it. Everything after that is joins and aggre
 * Terms next to a protected value or to a form of address (``MARKERS``) are the first evidence. The pointwise mutual
   information of the parts of terms (syllables by place, first and last words) with that evidence, counted over distinct terms,
   tells how strongly a part points to a person.
-* Contexts (the word before, what follows) get their mutual information with terms that disclose a person, then the parts
-  are counted again with the terms of disclosing contexts. No context is given beforehand but the markers.
+* Contexts (the word before, what follows) get their mutual information with terms that disclose a person. No context is given
+  beforehand but the markers.
 * A term in its context is a name if the bits of its parts and of its context together exceed ``THRESHOLD``. Forms that other
   numbers share (bare runs of digits, spelt-out signs, Korean roads) count by how often they stand in the contexts in which
   unmistakable values of their kind stand.
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, spread
 
-#: Bits from which a term discloses a person, bits from which a term or its contexts count as evidence for others, the most that
-#: contexts give and take, the most that a form gives, and the share of disclosing terms that the bits are taken against.
-THRESHOLD, EVIDENCE, STRONG, GAIN, LOSS, FORM_BITS, BASE = 1.0, 1.0, 1.25, 0.45, 0.9, 2.0, 0.25
+#: Bits from which a term discloses a person, bits from which a term counts as evidence for its contexts, the most that contexts
+#: give and take, the most that a form gives, and the share of disclosing terms that the bits are taken against.
+THRESHOLD, EVIDENCE, GAIN, LOSS, FORM_BITS, BASE = 1.0, 1.0, 0.45, 0.5, 2.0, 0.25
 #: Distinct terms that a part or a context is taken to have been seen with before any count.
 PRIOR = 2.0
 #: Bits of values whose form nothing else has.
@@ -73,8 +73,10 @@ SURE = re.compile(r"\S*@\S*|\+.*|.*\(\d.*|(?:1[-. ])?\d{2,3}[-. ]\d{3,4}[-. ]\d{
 MARKERS = ("님", "씨", "드림", "올림", "배상")
 ENDINGS = ("가", "는", "은", "이", "을", "를", "의", "와", "과", "도", "만", "께", "께서", "에게", "에게서", "한테", "이랑", "랑", "하고", "로", "으로", "이라고", "라고", "입니다", "이고", "이며", "이에요", "예요", "이라는", "이네", "네")
 PARTICLES = {f"{a}{b}{c}" for a in ("", "님", "씨") for b in ("", *ENDINGS) for c in ("", "는", "도", "만")}
+LONGEST = 4 + max(map(len, PARTICLES))
 RUN = re.compile(r"(?<![가-힣\w])[가-힣]{2,}(?![A-Za-z0-9])")
 WORD = re.compile(r"\S+")
+UPPER = re.compile(r"[A-Z]")
 NUMERAL = re.compile(r"[\d공]")
 CAPITALISED = re.compile(r"(?<![A-Za-z0-9#'-])[A-Z][a-z]+(?:-[A-Z][a-z]+)*(?![A-Za-z0-9'-])")
 INITIAL = re.compile(r" (?:[A-Z]\. )?$")
@@ -104,15 +106,14 @@ def structured(t: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def candidates(t: str) -> list[tuple[int, int, int, int, str, str, str, bool]]:
+def candidates(t: str, taken: list[tuple[int, int, str]] | None = None) -> list[tuple[int, int, int, int, str, str, str, bool]]:
     """(start, end, group, kind, term, left, right, sure) of a segment; candidates that overlap are in one group. left is the word
     before (or what stands before in the same word), right the rest of the word or the next one after a blank; protected values
     stand there by their kind, digits as 0, '^' and '$' at the edges."""
-    taken = structured(t)
+    taken = structured(t) if taken is None else taken
     starts, ends = {a: f"<{k}>" for a, _, k in taken}, {b: f"<{k}>" for _, b, k in taken}
     words = [m.span() for m in WORD.finditer(t)]
-    digits = NUMBER.search(t) is not None
-    masked = [NUMBER.sub("0", t[a:b]) if digits else t[a:b] for a, b in words]
+    masked = WORD.findall(NUMBER.sub("0", t))
     w, n_words = 0, len(words)
 
     def around(a: int, b: int) -> tuple[str, str]:
@@ -143,15 +144,25 @@ def candidates(t: str) -> list[tuple[int, int, int, int, str, str, str, bool]]:
         sure = SURE.fullmatch(value) is not None
         out.append((a, b, a, KINDS.index(kind), "" if sure else f"{shape(value)}\x02{value}", *around(a, b), sure))
     free = (lambda a, b: all(y <= a or x >= b for x, y, _ in taken)) if taken else None
+    at = 0
     for m in RUN.finditer(t):
         a, b = m.span()
-        run = m[0]
-        if free and not free(a, b):
+        run, size = m[0], b - a
+        if size > LONGEST or free and not free(a, b):
             continue
+        while words[at][1] <= a:
+            at += 1
+        first, end = words[at]
+        left = None
         for n in (4, 3, 2):
-            if n <= b - a and run[n:] in PARTICLES:
-                out.append((a, a + n, a, NAME, run[:n], *around(a, a + n), False))
-    if not t.islower():
+            if n == size or n < size and run[n:] in PARTICLES:
+                if taken:
+                    out.append((a, a + n, a, NAME, run[:n], *around(a, a + n), False))
+                    continue
+                left = left or (NUMBER.sub("0", t[first:a]) if a > first else masked[at - 1] if at else "^")
+                right = NUMBER.sub("0", t[a + n : end]) if a + n < end else " " + masked[at + 1] if at + 1 < n_words else "$"
+                out.append((a, a + n, a, NAME, run[:n], left, right, False))
+    if UPPER.search(t):
         caps = [m.span() for m in CAPITALISED.finditer(t)]
         group, last = 0, 0
         for k, (a, b) in enumerate(caps):
@@ -200,10 +211,11 @@ def found(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
 
         def read(segment: str, lines: list, told: list) -> bytes:
             # without values of a form of their own only the places of digits count
-            masked = segment if structured(segment) else DIGIT.sub("0", segment)
+            taken = structured(segment)
+            masked = segment if taken or not DIGIT.search(segment) else DIGIT.sub("0", segment)
             k = kept.get(masked) if masked is not segment else None
             if k is None:
-                hits = candidates(masked)
+                hits = candidates(masked, taken)
                 k = kept[masked] = xxhash.xxh3_128_digest(masked.encode("utf-8", "replace")) if hits else b""
                 keys, places = [], []
                 for a, b, g, kind, term, left, right, sure in hits:
@@ -267,29 +279,21 @@ def disclosed(described: DataFrame) -> DataFrame:
     # names of two, three and four syllables are told apart: ordinary words of one length would blur the parts of the others
     syllables = F.transform(F.split("term", ""), lambda x, k: F.concat(k.cast("string"), x))
     latin = F.array_compact(F.array(F.concat(F.lit("f"), F.get(words, F.lit(0))), F.when(F.size(words) > 1, F.concat(F.lit("l"), F.element_at(words, -1)))))
-    names = materialize(names.withColumns({"parts": F.when(hangul, syllables).otherwise(latin), "shape": F.when(hangul, F.concat(F.lit("k"), F.length("term").cast("string"))).otherwise("w")}), "names")
-
-    def terms(evidence: DataFrame) -> DataFrame:
-        """(term, bits): the mean bits of the parts, by the other terms that have them; evidence has term, parts, shape, inside."""
-        each = evidence.groupBy("term", "parts", "shape").agg(F.max("inside").cast("double").alias("inside"))
-        parts = each.select("shape", "inside", F.explode("parts").alias("part")).groupBy("shape", "part").agg(F.sum("inside").alias("i"), F.count(F.lit(1)).alias("n"))
-        scored = each.select("term", "shape", "inside", F.explode("parts").alias("part")).join(parts, ["shape", "part"])
-        return materialize(scored.groupBy("term").agg(F.avg(_bits(F.col("i") - F.col("inside"), F.col("n") - 1)).alias("bits")), "terms")
-
-    def placed(own: DataFrame) -> DataFrame:
-        """The names with the bits of their contexts, by the other terms in them; own has term and bits."""
-        told = names.join(own.select("term", (F.col("bits") > EVIDENCE).cast("double").alias("told")), "term")
-        each = F.array(F.concat(F.lit("l"), F.col("left")), F.concat(F.lit("r"), F.col("right")))
-        seen = told.select("term", "told", F.explode(each).alias("context")).distinct().groupBy("context").agg(F.sum("told").alias("i"), F.count(F.lit(1)).alias("n"))
-        met = told.select("key", "term", "parts", "shape", "seed", "told", F.explode(each).alias("context")).join(seen, "context")
-        bits = F.avg(_bits(F.col("i") - F.col("told"), F.col("n") - 1))
-        return met.groupBy("key", "term", "parts", "shape", "seed").agg(bits.alias("context_bits"))
-
-    first = terms(names.select("term", "parts", "shape", F.col("seed").alias("inside")))
-    known = placed(first)
-    again = terms(known.select("term", "parts", "shape", (F.col("seed") | (F.col("context_bits") > STRONG)).alias("inside")))
-    last = placed(again).join(again, "term").select("key", (F.col("bits") + F.greatest(F.lit(-LOSS), F.least(F.lit(GAIN), F.col("context_bits")))).alias("bits")).where(F.col("bits") > THRESHOLD).select("key", F.lit(NAME).alias("kind"), "bits")
-    return last.unionByName(values(described.where(F.col("kind") != NAME), again.where(F.col("bits") > EVIDENCE)))
+    names = names.withColumns({"parts": F.when(hangul, syllables).otherwise(latin), "shape": F.when(hangul, F.concat(F.lit("k"), F.length("term").cast("string"))).otherwise("w")})
+
+    # the bits of the parts of a term, by the other terms that have them
+    each = names.groupBy("term", "parts", "shape").agg(F.max(F.col("seed").cast("double")).alias("inside"))
+    parts = each.select("shape", "inside", F.explode("parts").alias("part")).groupBy("shape", "part").agg(F.sum("inside").alias("i"), F.count(F.lit(1)).alias("n"))
+    scored = each.select("term", "shape", "inside", F.explode("parts").alias("part")).join(parts, ["shape", "part"])
+    scored = scored.groupBy("term").agg(F.avg(_bits(F.col("i") - F.col("inside"), F.col("n") - 1)).alias("own"))
+    # a term that no context could carry over the threshold matters only to the counts of contexts
+    known = materialize(scored.where(F.col("own") > THRESHOLD - GAIN), "terms")
+    told = names.select("key", "term", "left", "right").join(known, "term", "left").withColumn("told", (F.coalesce("own", F.lit(0.0)) > EVIDENCE).cast("double"))
+    told = told.select("key", "own", "told", F.explode(F.array(F.concat(F.lit("l"), F.col("left")), F.concat(F.lit("r"), F.col("right")))).alias("context"))
+    seen = told.groupBy("context").agg(F.sum("told").alias("i"), F.count(F.lit(1)).alias("n"))
+    met = told.where("own is not null").join(seen, "context").groupBy("key", "own").agg(F.avg(_bits(F.col("i") - F.col("told"), F.col("n") - 1)).alias("around"))
+    last = met.select("key", F.lit(NAME).alias("kind"), (F.col("own") + F.greatest(F.lit(-LOSS), F.least(F.lit(GAIN), F.col("around")))).alias("bits")).where(F.col("bits") > THRESHOLD)
+    return last.unionByName(values(described.where(F.col("kind") != NAME), known.where(F.col("own") > EVIDENCE)))
 
 
 def values(described: DataFrame, persons: DataFrame) -> DataFrame:
@@ -303,8 +307,8 @@ def values(described: DataFrame, persons: DataFrame) -> DataFrame:
     met = counted.where("not sure").join(seen, ["kind", "context"], "left").join(person, "context", "left")
     hit = F.coalesce(F.col("hits") > 0, F.lit(False)) | F.coalesce("person", F.lit(False))
     met = met.select("key", "kind", "term", hit.cast("int").alias("hit"), F.when(~hit, F.log2(F.col("n").cast("double"))).alias("miss"))
-    forms = met.groupBy("kind", "term").agg(F.least(F.lit(FORM_BITS), F.log2((F.sum("hit") + 4.0) / (F.count_if(F.col("miss") > 0) + 1.0))).alias("form_bits"))
-    own = met.groupBy("key", "kind", "term").agg((F.log2(F.sum("hit") + 1.0) - F.coalesce(F.sum("miss"), F.lit(0.0)) / 2).alias("own"))
+    forms = met.groupBy("kind", "term").agg(F.greatest(F.lit(-FORM_BITS), F.least(F.lit(FORM_BITS), F.log2((F.sum("hit") + 4.0) / (F.count_if(F.col("miss") > 0) + 1.0)))).alias("form_bits"))
+    own = met.groupBy("key", "kind", "term").agg((3.0 * F.sum("hit") - F.coalesce(F.sum("miss"), F.lit(0.0)) / 2).alias("own"))
     shared = own.join(forms, ["kind", "term"]).select("key", "kind", (F.col("form_bits") + F.col("own")).alias("bits")).where("bits > 0")
     return shared.unionByName(described.where("sure").select("key", "kind", F.lit(SURE_BITS).alias("bits")))
 
