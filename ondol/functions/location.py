@@ -11,8 +11,11 @@ STATES = {
     "nj": "NJ", "new jersey": "NJ", "tx": "TX", "texas": "TX", "wa": "WA", "washington": "WA", "il": "IL", "illinois": "IL",
 }
 #: Cities in the United States and in Korea.
-US_CITIES = "la, los angeles, 애틀랜타, atlanta, oc, orange county, sf, san francisco, 샌프란시스코, sd, san diego, 샌디에고, ny, new york, 뉴욕, nj, new jersey, 뉴저지, queens, 퀸즈, flushing, 플러싱, irvine, 어바인, duluth, 둘루스, sunny, sunnyvale, 새너니, fullerton, 풀러턴, hollywood, 할리우드, burbank, 버뱅크, koreatown, 코리아타운, ktown".split(", ")
-KR_CITIES = "서울 부산 인천 대구 대전 광주 울산 세종 경기 강원 충북 충남 전북 전남 경북 경남 제주".split()
+US_CITIES = (
+    "la", "los angeles", "애틀랜타", "atlanta", "oc", "orange county", "sf", "san francisco", "샌프란시스코", "sd", "san diego", "샌디에고", "ny", "new york", "뉴욕", "nj", "new jersey", "뉴저지", "queens", "퀸즈",
+    "flushing", "플러싱", "irvine", "어바인", "duluth", "둘루스", "sunny", "sunnyvale", "새너니", "fullerton", "풀러턴", "hollywood", "할리우드", "burbank", "버뱅크", "koreatown", "코리아타운", "ktown",
+)
+KR_CITIES = ("서울", "부산", "인천", "대구", "대전", "광주", "울산", "세종", "경기", "강원", "충북", "충남", "전북", "전남", "경북", "경남", "제주")
 
 
 def ordered(words: list[str]) -> list[str]:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: US dollars for a won.
 USD_PER_KRW = "0.00075"
-DOLLARS, WON_BEFORE, WON_AFTER = r"\$\s*([\d,]+(?:\.\d+)?)", r"₩\s*([\d,]+(?:\.\d+)?)", r"([\d,]+)\s*원"
+#: Amounts are digits and commas; decimals aren't read.
+DOLLARS, WON_BEFORE, WON_AFTER = r"\$\s*([\d,]+)", r"₩\s*([\d,]+)", r"([\d,]+)\s*원"
 
 
 def amounts(text: Column, pattern: str) -> Column:

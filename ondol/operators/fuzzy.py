@@ -18,24 +18,31 @@ from .relational import window_pairs
 MAX_ROUNDS = 200
 
 
+def _tokens(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(text, r"(?U)\s+"), lambda x: x != ""))
+
+
 def similar_pairs(nodes: DataFrame, days: int, threshold: float) -> DataFrame:
     """(a, b): nodes (node, block, day, text) of a block, a before b, within the bounds."""
     pairs = window_pairs(nodes, ["block"], "day", "node", days, ["text"])
-    # a bound without the exact similarity: a common token or lengths that allow it
-    x, y = F.split("a_text", r"\s+"), F.split("b_text", r"\s+")
-    shorter, longer = F.least(F.length("a_text"), F.length("b_text")), F.greatest(F.length("a_text"), F.length("b_text"))
-    possible = F.arrays_overlap(x, y) | (2 * shorter >= threshold * (shorter + longer))
+    # a bound without the exact similarity: a common token, or joined token sets whose lengths allow it
+    x, y = _tokens(F.col("a_text")), _tokens(F.col("b_text"))
+    n, m = F.length(F.array_join(x, " ")), F.length(F.array_join(y, " "))
+    possible = F.arrays_overlap(x, y) | (2 * F.least(n, m) >= threshold * (n + m))
     return pairs.where(possible).withColumn("s", token_set_ratio("a_text", "b_text")).where(F.col("s") >= threshold).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def find_duplicates(rows: DataFrame, order: Column, posted: Column, block: Column, text: Column, days: int = 7, threshold: float = 0.90, id_column: str = "id") -> DataFrame:
     """(id, is_duplicate, canonical_id), one row for each input row.
 
-    The canonical row of a group is the earliest posted one (NULL last, ties by input order). Rows without a day are alone.
+    The canonical row of a group is the earliest posted one (NULL last, ties by input order). Rows without a day or without
+    any token are alone.
     """
     base = rows.select(F.col(id_column).alias("id"), order.alias("ord"), posted.alias("posted"), F.lower(F.coalesce(block, F.lit(""))).alias("block"), F.coalesce(text, F.lit("")).alias("text")).withColumn("day", F.to_date("posted"))
+    # a text without tokens is similar to nothing, not even to its like
+    base = base.withColumn("alone", F.col("day").isNull() | (F.size(_tokens(F.col("text"))) == 0))
     # rows with the same block, day and text are one node: named by the first of them
-    nodes = base.where("day is not null").groupBy("block", "day", "text").agg(F.min("ord").alias("node"))
+    nodes = base.where("not alone").groupBy("block", "day", "text").agg(F.min("ord").alias("node"))
     nodes = materialize(nodes, "nodes")
     pairs = materialize(similar_pairs(nodes, days, threshold), "pairs")
     # a node is settled once all earlier neighbours are: it leads if none of them leads
@@ -55,8 +62,8 @@ def find_duplicates(rows: DataFrame, order: Column, posted: Column, block: Colum
     leaders = settled.where("leads").select("node")
     follows = pairs.join(leaders.withColumnRenamed("node", "a"), "a").groupBy("b").agg(F.min("a").alias("leader")).join(leaders.withColumnRenamed("node", "b"), "b", "left_anti")
     group = nodes.join(follows.withColumnRenamed("b", "node"), "node", "left").select("block", "day", "text", F.coalesce("leader", "node").alias("leader"))
-    members = base.join(group, ["block", "day", "text"])
+    members = base.where("not alone").join(group, ["block", "day", "text"])
     best = members.groupBy("leader").agg(F.min_by("id", F.struct("posted", "ord")).alias("canonical"), F.count(F.lit(1)).alias("n"))
     joined = members.join(best, "leader").select("id", ((F.col("n") > 1) & (F.col("id") != F.col("canonical"))).alias("is_duplicate"), F.when((F.col("n") > 1) & (F.col("id") != F.col("canonical")), F.col("canonical")).alias("canonical_id"))
-    alone = base.where("day is null").select("id", F.lit(False).alias("is_duplicate"), F.lit(None).cast(dict(base.dtypes)["id"]).alias("canonical_id"))
+    alone = base.where("alone").select("id", F.lit(False).alias("is_duplicate"), F.lit(None).cast(dict(base.dtypes)["id"]).alias("canonical_id"))
     return joined.unionByName(alone)

@@ -59,3 +59,18 @@ def rolling_average(df: DataFrame, group: list[str], order: str, value: str, n:
     """Adds ``average`` of the previous n rows of a group, NULL without any."""
     w = Window.partitionBy(*group).orderBy(order).rowsBetween(-n, -1)
     return df.withColumn("average", F.avg(value).over(w))
+
+
+def numbered(df: DataFrame, group: list[str], coarse: Column, *order: Column) -> DataFrame:
+    """Adds ``number``, the 1-based rank of a row in its group by descending ``coarse`` (NULL last), then by ``order``. Only the rows
+    of one group and one coarse value are sorted together: the rows before them come from counts, so that a group of any size is
+    spread over its coarse values."""
+    keyed = df.withColumn("_c", coarse)
+    sizes = keyed.groupBy(*group, "_c").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy(F.desc_nulls_last("_c")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumnsRenamed({c: f"_g_{c}" for c in [*group, "_c"]}).drop("_n")
+    inside = keyed.withColumn("_k", F.row_number().over(Window.partitionBy(*group, "_c").orderBy(*order)))
+    on = F.lit(True)
+    for c in [*group, "_c"]:
+        on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    return inside.join(sizes, on).withColumn("number", F.col("_before") + F.col("_k")).drop("_c", "_k", "_before", *[f"_g_{c}" for c in [*group, "_c"]])

@@ -72,7 +72,15 @@ class SnapshotTable:
     def write(self, df: DataFrame) -> int:
         v = self.version() + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        out = self._fs.create(self._path(f"{self.path}/current.json"), True)
+        # the pointer is written beside the old one and renamed over it, so that no reader finds it missing or empty
+        aside, pointer = self._path(f"{self.path}/current-{v}.tmp"), self._path(f"{self.path}/current.json")
+        out = self._fs.create(aside, True)
         out.write(bytearray(json.dumps({"version": v}).encode()))
         out.close()
+        gateway = self.spark.sparkContext._gateway
+        rename = gateway.jvm.org.apache.hadoop.fs.Options.Rename
+        options = gateway.new_array(rename, 1)
+        options[0] = rename.valueOf("OVERWRITE")
+        context = gateway.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(aside, pointer, options)
         return v

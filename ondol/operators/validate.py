@@ -35,6 +35,39 @@ def row_count(df: DataFrame, current: Column, average: Column, least: float = 0.
     return _check(df, "parsed_rows", ratio, ratio >= least, False)
 
 
+MESSAGES = {  # check -> the format of its message and the factor of its value
+    "parsed_rows": ("rows are %.0f%% of the average of earlier runs", 100.0), "transform_success_rate": ("%.1f%% of the rows were transformed", 100.0), "success_rate": ("%.1f%% of the rows were transformed", 100.0),
+    "null_rate": ("%.2f%% of the values of the worst column are missing", 100.0), "fk_integrity": ("%.0f rows of unknown sources", 1.0),
+}
+
+
+class ValidationError(ValueError):
+    """A hard check failed."""
+
+
+def with_messages(checks: DataFrame) -> DataFrame:
+    """Adds ``message``; a check without a value says so."""
+    out = F.lit("nothing to check")
+    for name, (form, factor) in MESSAGES.items():
+        out = F.when((F.col("check") == name) & F.col("value").isNotNull(), F.format_string(form, F.col("value") * factor)).otherwise(out)
+    return checks.withColumn("message", out)
+
+
+def summary(checks: DataFrame) -> DataFrame:
+    """(passed, total)."""
+    return checks.agg(F.count_if("passed").alias("passed"), F.count(F.lit(1)).alias("total"))
+
+
+def run(checks: DataFrame, run_id: object = None) -> dict:
+    """The report of a run (run_id, checks, passed, soft_warning) in the order of the checks; a hard check that failed raises. The
+    checks are a handful of rows."""
+    rows = with_messages(checks).collect()
+    hard = [r["check"] for r in rows if r.hard and not r.passed]
+    if hard:
+        raise ValidationError(f"Validation failed on hard constraints: {', '.join(hard)}")
+    return {"run_id": run_id, "checks": [{"name": r["check"], "passed": r.passed, "message": r.message} for r in rows], "passed": True, "soft_warning": any(not r.passed for r in rows)}
+
+
 def report(*checks: DataFrame) -> DataFrame:
     out = checks[0]
     for c in checks[1:]:

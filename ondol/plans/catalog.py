@@ -5,13 +5,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import classify, contact, dates, location, price, text, urls
-from ..operators import boards, fuzzy, relational, tables, validate
-from ..session import spread, table
-from ..sources import cache, pages as page_source
+from ..functions import classify, contact, dates, legacy, location, price, text, urls
+from ..operators import audit, boards, fuzzy, load, pipeline, relational, tables, validate
+from ..session import materialize, scratch, spread, table
+from ..sources import cache, history, pages as page_source
 from ..streaming import seen
 
 NOW, TODAY = "2026-06-01 00:00:00", "2026-06-01"
@@ -150,8 +150,8 @@ SELECT source_id, url, min(page) AS page FROM (
 WHERE page <= coalesce((SELECT min(page) FROM (SELECT source_id, fetched_at, (row_number() OVER (PARTITION BY source_id ORDER BY fetched_at DESC, id) - 1) // 20 AS page FROM scraped_pages) q
   WHERE q.source_id = p.source_id AND q.fetched_at < TIMESTAMPTZ '2025-06-01 00:00:00+00'), 1000000000) GROUP BY source_id, url""")
 def early_stop_pages(spark, d):
-    w = Window.partitionBy("source_id").orderBy(F.desc("fetched_at"), "id")
-    p = table(spark, d, "scraped_pages").select("id", "source_id", "url", "fetched_at").withColumn("page", F.floor((F.row_number().over(w) - 1) / 20))
+    p = table(spark, d, "scraped_pages").select("id", "source_id", "url", "fetched_at")
+    p = relational.numbered(p, ["source_id"], F.to_date("fetched_at"), F.desc_nulls_last("fetched_at"), F.col("id")).withColumn("page", F.floor((F.col("number") - 1) / 20))
     kept = relational.until_first_stale(p, ["source_id"], "page", F.col("fetched_at") < F.lit("2025-06-01 00:00:00").cast("timestamp"))
     return kept.groupBy("source_id", "url").agg(F.min("page").alias("page"))
 
@@ -250,7 +250,7 @@ SELECT id, CASE WHEN len(v) > 1 THEN list_min(v) WHEN len(v) = 1 AND lease <> 'j
     SELECT *, len(usd) = 0 AND len(krw) > 0 AS won FROM (
       SELECT id, coalesce(trim(p), '') <> '' AS ok, %s AS usd, list_concat(%s, %s) AS krw,
         CASE WHEN contains(p, '전세') THEN 'jeonse' WHEN regexp_matches(lower(p), '단기|서브렛|sublet') THEN 'short_term' WHEN regexp_matches(lower(p), '리스|lease') THEN 'lease' ELSE 'monthly' END AS lease
-      FROM (SELECT id, price_raw_ko AS p FROM listings))))""" % (AMOUNT.format("p", "\\$\\s*([\\d,]+(?:\\.\\d+)?)"), AMOUNT.format("p", "₩\\s*([\\d,]+(?:\\.\\d+)?)"), AMOUNT.format("p", "([\\d,]+)\\s*원")))
+      FROM (SELECT id, price_raw_ko AS p FROM listings))))""" % (AMOUNT.format("p", "\\$\\s*([\\d,]+)"), AMOUNT.format("p", "₩\\s*([\\d,]+)"), AMOUNT.format("p", "([\\d,]+)\\s*원")))
 def normalize_price(spark, d):
     p = price.normalized(F.col("price_raw_ko"))
     return table(spark, d, "listings").select("id", p["rent_usd"].cast("double").alias("rent_usd"), p["deposit_usd"].cast("double").alias("deposit_usd"), p["lease_type"].alias("lease_type"), p["currency_raw"].alias("currency_raw"))
@@ -267,17 +267,24 @@ def _rx(p: str, g: int) -> str:
 K, I, S, U = r"^(\d{4})년\s*(\d{1,2})월\s*(\d{1,2})일", r"^(\d{4})-(\d{2})-(\d{2})", r"^(\d{2})-(\d{2})", r"^(\d{1,2})/(\d{1,2})/(\d{4})"
 
 
-@query(f"""
-SELECT id, CASE WHEN lower(t) IN ('오늘', 'today') THEN DATE '{TODAY}' WHEN lower(t) IN ('어제', 'yesterday') THEN DATE '{TODAY}' - 1 WHEN regexp_matches(lower(t), '방금|just now') THEN DATE '{TODAY}'
+POSTED = f"""CASE WHEN lower(t) IN ('오늘', 'today') THEN TIMESTAMP '{NOW}' WHEN lower(t) IN ('어제', 'yesterday') THEN TIMESTAMP '{NOW}' - INTERVAL 1 DAY WHEN regexp_matches(lower(t), '방금|just now') THEN TIMESTAMP '{NOW}'
   WHEN regexp_matches(t, '{K}') THEN {_ymd(_rx(K, 1), _rx(K, 2), _rx(K, 3))} WHEN regexp_matches(t, '{I}') THEN {_ymd(_rx(I, 1), _rx(I, 2), _rx(I, 3))}
-  WHEN regexp_matches(t, '{S}') THEN {_ymd("'2026'", _rx(S, 1), _rx(S, 2))} WHEN regexp_matches(t, '{U}') THEN {_ymd(_rx(U, 3), _rx(U, 1), _rx(U, 2))} END::VARCHAR AS day
-FROM (SELECT id, trim(posted_at_utc) AS t FROM listings)""")
+  WHEN regexp_matches(t, '{S}') THEN {_ymd("'2026'", _rx(S, 1), _rx(S, 2))} WHEN regexp_matches(t, '{U}') THEN {_ymd(_rx(U, 3), _rx(U, 1), _rx(U, 2))} END"""
+
+
+@query(f"SELECT id, epoch({POSTED}::TIMESTAMP)::BIGINT AS posted FROM (SELECT id, trim(posted_at_utc) AS t FROM listings)")
 def normalize_date(spark, d):
-    return table(spark, d, "listings").select("id", dates.posted_date(F.col("posted_at_utc"), today()).cast("string").alias("day"))
+    return table(spark, d, "listings").select("id", F.unix_seconds(dates.posted_at(F.col("posted_at_utc"), now())).alias("posted"))
 
 
-SEP = r"\s*[-./]\s*"
-LF, LY, LS, LK = rf"^(\d{{4}}){SEP}(\d{{1,2}}){SEP}(\d{{1,2}})", rf"^(\d{{1,2}}){SEP}(\d{{1,2}}){SEP}(\d{{2}})(\s|$)", rf"^(\d{{1,2}}){SEP}(\d{{1,2}})(\s|$)", r"^(\d{1,2})\s*월\s*(\d{1,2})\s*일"
+def _dated(kind: str, sep: str) -> str:
+    """The patterns of list dates with one separator."""
+    q = r"\s*" + sep + r"\s*"
+    return {"full": rf"^(\d{{4}}){q}(\d{{1,2}}){q}(\d{{1,2}})", "short_year": rf"^(\d{{1,2}}){q}(\d{{1,2}}){q}(\d{{2}})(\s|$)", "short": rf"^(\d{{1,2}}){q}(\d{{1,2}})(\s|$)"}[kind]
+
+
+LK = r"^(\d{1,2})\s*월\s*(\d{1,2})\s*일"
+SEPS = ["-", r"\.", "/"]
 
 
 def _past(p: str) -> str:
@@ -286,8 +293,9 @@ def _past(p: str) -> str:
 
 
 @query(f"""
-SELECT id, coalesce(CASE WHEN regexp_matches(t, '{LF}') THEN {_ymd(_rx(LF, 1), _rx(LF, 2), _rx(LF, 3))} END, CASE WHEN regexp_matches(t, '{LY}') THEN {_ymd("'20' || " + _rx(LY, 3), _rx(LY, 1), _rx(LY, 2))} END,
-  {_past(LS)}, {_past(LK)}, CASE WHEN regexp_matches(t, '^\\d{{1,2}}:\\d{{2}}(:\\d{{2}})?$') OR regexp_matches(t, '방금|오늘') THEN DATE '{TODAY}' END, CASE WHEN contains(t, '어제') THEN DATE '{TODAY}' - 1 END,
+SELECT id, coalesce({", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN {_ymd(_rx(p, 1), _rx(p, 2), _rx(p, 3))} END" for p in (_dated("full", x) for x in SEPS))},
+  {", ".join("CASE WHEN regexp_matches(t, '" + p + "') THEN " + _ymd("'20' || " + _rx(p, 3), _rx(p, 1), _rx(p, 2)) + " END" for p in (_dated("short_year", x) for x in SEPS))},
+  {", ".join(_past(_dated("short", x)) for x in SEPS)}, {_past(LK)}, CASE WHEN regexp_matches(t, '^\\d{{1,2}}:\\d{{2}}(:\\d{{2}})?$') OR regexp_matches(t, '방금|오늘') THEN DATE '{TODAY}' END, CASE WHEN contains(t, '어제') THEN DATE '{TODAY}' - 1 END,
   CASE WHEN regexp_matches(t, '\\d+\\s*(분|시간)\\s*전') THEN DATE '{TODAY}' END, CASE WHEN regexp_matches(t, '\\d+\\s*일\\s*전') THEN DATE '{TODAY}' - regexp_extract(t, '(\\d+)\\s*일\\s*전', 1)::INTEGER END)::VARCHAR AS day
 FROM (SELECT id, trim(raw_posted_at) AS t FROM listings_staging)""")
 def list_date(spark, d):
@@ -463,14 +471,13 @@ def audit_duration(spark, d):
     return table(spark, d, "etl_runs").select("id", (F.unix_seconds(F.coalesce("finished_at", now())) - F.unix_seconds("started_at")).alias("seconds"))
 
 
-@query("SELECT p.id, r.id AS run FROM scraped_pages p JOIN sources x ON x.id = p.source_id JOIN etl_runs r ON r.source_name = x.name AND p.fetched_at >= r.started_at AND p.fetched_at <= coalesce(r.finished_at, r.started_at + INTERVAL 1 HOUR)")
+# a run answers for what is fetched in the twelve hours after its start, or until it ends
+@query("SELECT p.id, r.id AS run FROM scraped_pages p JOIN sources x ON x.id = p.source_id JOIN etl_runs r ON r.source_name = x.name AND p.fetched_at BETWEEN r.started_at AND greatest(coalesce(r.finished_at, r.started_at), r.started_at + INTERVAL 12 HOUR)")
 def rows_of_run(spark, d):
     names = table(spark, d, "sources").select(F.col("id").alias("source_id"), F.col("name").alias("source_name"))
-    hour = lambda c: F.floor(F.unix_seconds(c) / 3600)
-    p = table(spark, d, "scraped_pages").select("id", "source_id", "fetched_at").join(F.broadcast(names), "source_id").withColumn("hour", hour("fetched_at"))
-    runs = table(spark, d, "etl_runs").select(F.col("id").alias("run"), "source_name", "started_at", F.coalesce("finished_at", F.col("started_at") + F.expr("INTERVAL 1 HOUR")).alias("ended")).where("ended >= started_at")
-    runs = runs.withColumn("hour", F.explode(F.sequence(hour("started_at"), hour("ended"))))
-    return p.join(runs, ["source_name", "hour"]).where((F.col("fetched_at") >= F.col("started_at")) & (F.col("fetched_at") <= F.col("ended"))).select("id", "run")
+    p = table(spark, d, "scraped_pages").select("id", "source_id", "fetched_at").join(names, "source_id")
+    runs = table(spark, d, "etl_runs").select(F.col("id").alias("run"), "source_name", "started_at", F.greatest(F.coalesce("finished_at", "started_at"), F.col("started_at") + F.expr("INTERVAL 12 HOURS")).alias("ended"))
+    return audit.in_interval(p, "fetched_at", runs, "started_at", "ended", ["source_name"]).select("id", "run")
 
 
 @query("""
@@ -506,10 +513,288 @@ def seen_url_stream(spark, d):
 
 @query("SELECT event_type AS source, user_id::VARCHAR AS url FROM events GROUP BY ALL")
 def new_url_state_stream(spark, d):
-    return seen.run(seen.new_urls(seen.read_table(spark, d, "events"), "event_type", "user_id", "ts", 100 * 365 * 86400), "urls")
+    return seen.mark_after_sink(seen.read_table(spark, d, "events"), "event_type", "user_id", "ts", seen.SeenSet(spark))
 
 
 @query(f"SELECT id, url FROM scraped_pages WHERE fetched_at IS NULL OR fetched_at::DATE >= DATE '{TODAY}' - 90")
 def late_gate_stream(spark, d):
     s = seen.read_table(spark, d, "scraped_pages")
     return seen.run(seen.admitted(s, F.to_date("fetched_at"), today(), 90).select("id", "url"), "gate")
+
+
+# ---------------------------------------------------------------- the transform, load and audit path
+
+
+FIRST = lambda text_, patterns: "coalesce(" + ", ".join(f"nullif(regexp_extract({text_}, '{p}', {g}{', ' + chr(39) + 'i' + chr(39) if i else ''}), '')" for p, g, i in patterns) + ")"
+PHONE_SQL = [("\\d{3}-\\d{3}-\\d{4}", 0, 0), ("\\(\\d{3}\\)\\s*\\d{3}-\\d{4}", 0, 0), ("\\d{3}\\.\\d{3}\\.\\d{4}", 0, 0), ("\\d{10,11}", 0, 0)]
+KAKAO_SQL = [("(카카오|kakao)[:\\s]*([A-Za-z0-9_-]+)", 2, 1), ("(카톡|katok)[:\\s]*([A-Za-z0-9_-]+)", 2, 1)]
+AMOUNTS_OF = lambda p: AMOUNT.format("raw_price", p)
+
+
+@query(f"""
+SELECT id, source_id, source_listing_id, CASE WHEN len(v) > 1 THEN list_min(v) WHEN len(v) = 1 AND lease <> 'jeonse' THEN v[1] END::DOUBLE AS rent, CASE WHEN len(v) > 1 THEN list_max(v) WHEN len(v) = 1 AND lease = 'jeonse' THEN v[1] END::DOUBLE AS deposit,
+  CASE WHEN ok THEN lease END AS lease_type, CASE WHEN ok THEN CASE WHEN won THEN 'KRW' ELSE 'USD' END END AS currency_raw, epoch(({POSTED})::TIMESTAMP)::BIGINT AS posted, CASE WHEN lok THEN CASE WHEN us IS NULL AND kr IS NOT NULL THEN 'KR' ELSE 'US' END END AS country,
+  CASE WHEN lok THEN coalesce(us, kr, CASE WHEN length(loc) > 50 THEN substr(loc, 1, 50) || '...' ELSE loc END) END AS city, phone, kakao_id, email, category, lon, lat, errors FROM (
+  SELECT *, CASE WHEN ok THEN CASE WHEN won THEN list_transform(krw, lambda x: round(x * 0.00075::DECIMAL(8,5), 2)::DECIMAL(18,2)) ELSE usd END ELSE [] END AS v FROM (
+    SELECT *, len(usd) = 0 AND len(krw) > 0 AS won FROM (
+      SELECT id, source_id, source_listing_id, trim(raw_posted_at) AS t, raw_location AS loc, coalesce(trim(raw_location), '') <> '' AS lok, coalesce(trim(raw_price), '') <> '' AS ok, {AMOUNTS_OF("\\$\\s*([\\d,]+)")} AS usd,
+        list_concat({AMOUNTS_OF("₩\\s*([\\d,]+)")}, {AMOUNTS_OF("([\\d,]+)\\s*원")}) AS krw, {US.replace("(t)", "(raw_location)")} AS us, {KR.replace("(t,", "(raw_location,")} AS kr,
+        CASE WHEN contains(raw_price, '전세') THEN 'jeonse' WHEN regexp_matches(lower(raw_price), '단기|서브렛|sublet') THEN 'short_term' WHEN regexp_matches(lower(raw_price), '리스|lease') THEN 'lease' ELSE 'monthly' END AS lease,
+        {FIRST("contact_block", PHONE_SQL)} AS phone, {FIRST("contact_block", KAKAO_SQL)} AS kakao_id, nullif(regexp_extract(contact_block, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}', 0), '') AS email,
+        {_category_sql(BOTH)} AS category, CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lon END AS lon, CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lat END AS lat, '{{}}' AS errors
+      FROM listings_staging)))""")
+def staging_projection(spark, d):
+    s = table(spark, d, "listings_staging").select("id", "source_id", "source_listing_id", "url", "content_hash", *pipeline.PARSED, "lat", "lon")
+    # the projection keeps its own columns only: the id travels in the content hash
+    rows = pipeline.project(s.withColumn("content_hash", F.col("id").cast("string")), now(), F.col("lat"), F.col("lon"))
+    return rows.select(F.col("content_hash").cast("long").alias("id"), "source_id", "source_listing_id", F.col("rent_monthly_usd").cast("double").alias("rent"), F.col("deposit_usd").cast("double").alias("deposit"), "lease_type", "currency_raw", F.unix_seconds("posted_at_utc").alias("posted"), "country", "city", "phone", "kakao_id", "email", "category", F.col("geo_point.lon").alias("lon"), F.col("geo_point.lat").alias("lat"), "errors")
+
+
+@query("SELECT id, source_id FROM listings_staging WHERE loaded_at IS NULL ORDER BY id LIMIT 500")
+def unloaded_batch(spark, d):
+    return load.unloaded(table(spark, d, "listings_staging").select("id", "source_id", "loaded_at")).select("id", "source_id")
+
+
+@query("SELECT id FROM listings_staging WHERE loaded_at IS NULL AND source_id = 2")
+def optional_filter(spark, d):
+    return load.unloaded(table(spark, d, "listings_staging").select("id", "source_id", "loaded_at"), source_id=2, limit=None).select("id")
+
+
+# every amount times 30000, so that some can't be held; every city doubled ten times, so that some are too long
+REFUSED = "CASE WHEN source_listing_id IS NULL THEN 'null:source_listing_id' WHEN length(repeat(city, 10)) > 100 THEN 'length:city' WHEN rent_monthly_usd * 30000 >= 100000000 THEN 'overflow:rent_monthly_usd' WHEN NOT EXISTS (SELECT 1 FROM sources x WHERE x.id = s.source_id) THEN 'source' END"
+
+
+def _judged(spark, d):
+    s = table(spark, d, "listings_staging").select("id", "source_id", "source_listing_id", F.repeat("city", 10).alias("city"), (F.col("rent_monthly_usd").cast("decimal(12,2)") * 30000).alias("rent_monthly_usd"))
+    return load.split(s, table(spark, d, "sources"))
+
+
+@query(f"SELECT id, reason FROM (SELECT id, {REFUSED} AS reason FROM listings_staging s) WHERE reason IS NOT NULL")
+def load_rejects(spark, d):
+    return _judged(spark, d)[1].select("id", "reason")
+
+
+@query(f"SELECT id FROM (SELECT id, {REFUSED} AS reason FROM listings_staging s) WHERE reason IS NULL")
+def load_accepted(spark, d):
+    return _judged(spark, d)[0].select("id")
+
+
+GOOD = f"SELECT * FROM listings_staging s WHERE EXISTS (SELECT 1 FROM sources x WHERE x.id = s.source_id) AND source_listing_id IS NOT NULL AND length(coalesce(city, '')) <= 100 AND length(coalesce(phone, '')) <= 30 AND length(coalesce(email, '')) <= 100 AND length(coalesce(kakao_id, '')) <= 50"
+
+
+@query(f"""
+SELECT coalesce(o.source_id, n.source_id) AS source_id, coalesce(o.source_listing_id, n.source_listing_id) AS source_listing_id, coalesce(o.id, n.id) AS id, CASE WHEN n.id IS NULL THEN o.title_ko ELSE n.title_ko END AS title_ko, CASE WHEN n.id IS NULL THEN o.city ELSE n.city END AS city,
+  CASE WHEN n.id IS NULL THEN o.is_active ELSE true END AS is_active, epoch(CASE WHEN n.id IS NULL THEN o.updated_at ELSE TIMESTAMPTZ '{NOW}+00' END)::BIGINT AS updated, epoch(CASE WHEN o.id IS NULL THEN TIMESTAMPTZ '{NOW}+00' ELSE o.first_seen_at END)::BIGINT AS first_seen
+FROM ({OLD}) o FULL JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id, source_listing_id ORDER BY id DESC) AS k FROM ({GOOD})) WHERE k = 1) n ON o.source_id IS NOT DISTINCT FROM n.source_id AND o.source_listing_id IS NOT DISTINCT FROM n.source_listing_id""")
+def load_snapshot(spark, d):
+    serving = table(spark, d, "listings").withColumn("posted_at_utc", F.lit(None).cast("timestamp")).withColumn("_o", -F.col("id"))
+    old = tables.last_writer(serving, load.KEYS, "_o").drop("_o")
+    merged = load.load(old, table(spark, d, "listings_staging").drop("duplicate_of"), table(spark, d, "sources"), now())[0]
+    return merged.select("source_id", "source_listing_id", "id", "title_ko", "city", "is_active", F.unix_seconds("updated_at").alias("updated"), F.unix_seconds("first_seen_at").alias("first_seen"))
+
+
+@query("SELECT s.id FROM listings_staging s WHERE EXISTS (SELECT 1 FROM listings l WHERE l.source_id = s.source_id AND l.source_listing_id = s.source_listing_id)")
+def semi_join_keys(spark, d):
+    keys = ["source_id", "source_listing_id"]
+    return table(spark, d, "listings_staging").select("id", *keys).join(table(spark, d, "listings").select(*keys).distinct(), keys, "left_semi").select("id")
+
+
+@query("""
+WITH batch AS (SELECT -id AS id, source_id, source_listing_id, city FROM listings_staging), first AS (SELECT city, max(id) AS canonical FROM batch GROUP BY city)
+SELECT b.id, (SELECT min(s.id) FROM listings_staging s JOIN batch c ON c.source_id = s.source_id AND c.source_listing_id = s.source_listing_id WHERE c.id = f.canonical) AS canonical_id FROM batch b JOIN first f USING (city) WHERE b.id <> f.canonical""")
+def synthetic_canonical(spark, d):
+    s = table(spark, d, "listings_staging").select("id", "source_id", "source_listing_id", "city")
+    batch = s.withColumn("id", -F.col("id"))
+    first = batch.where("city is not null").groupBy("city").agg(F.max("id").alias("canonical_id"))
+    return pipeline.canonical_ids(batch, batch.join(first, "city").where("id <> canonical_id"), s)
+
+
+@query("SELECT s.id, coalesce(c.canonical, s.canonical_id) AS canonical_id FROM listings_staging s LEFT JOIN (SELECT source_id, source_listing_id, min(id) AS canonical FROM listings GROUP BY ALL) c ON s.source_id = c.source_id AND s.source_listing_id = c.source_listing_id")
+def set_canonical(spark, d):
+    keys = ["source_id", "source_listing_id"]
+    ids = table(spark, d, "listings").groupBy(*keys).agg(F.min("id").alias("canonical_id"))
+    return pipeline.set_canonical(table(spark, d, "listings_staging").select("id", *keys, "canonical_id"), ids).select("id", "canonical_id")
+
+
+@query("SELECT count_if(is_duplicate)::BIGINT AS duplicates, count_if(coalesce(canonical_id < 0, false))::BIGINT AS in_batch FROM listings_staging")
+def duplicate_counters(spark, d):
+    return pipeline.duplicate_counts(table(spark, d, "listings_staging"))
+
+
+CUT = "2025-06-01 00:00:00"
+
+
+@query(f"""
+SELECT count(*)::BIGINT AS extracted, count_if(fetched_at < TIMESTAMPTZ '{CUT}+00')::BIGINT AS stale, count_if(EXISTS (SELECT 1 FROM listings_staging s WHERE s.source_id = p.source_id AND s.url = p.url))::BIGINT AS seen, count_if(http_status IS DISTINCT FROM 200)::BIGINT AS failed FROM scraped_pages p""")
+def run_counters(spark, d):
+    p = table(spark, d, "scraped_pages").select("source_id", "url", "http_status", "fetched_at")
+    return pipeline.counters(p, F.lit(CUT).cast("timestamp"), table(spark, d, "listings_staging").select("source_id", "url"))
+
+
+@query("""
+WITH b AS (SELECT id, source_id, source_listing_id FROM listings_staging WHERE batch_no = 12)
+SELECT id, true AS in_batch FROM b UNION ALL SELECT s.id, false FROM listings_staging s WHERE batch_no BETWEEN 8 AND 11 AND loaded_at IS NULL AND NOT EXISTS (SELECT 1 FROM b WHERE b.source_id = s.source_id AND b.source_listing_id = s.source_listing_id)""")
+def batch_union_recent(spark, d):
+    s = table(spark, d, "listings_staging").select("id", "source_id", "source_listing_id", "title_ko", "body_ko", "batch_no", "loaded_at")
+    recent = s.where("batch_no between 8 and 11 and loaded_at is null").select("id", "source_id", "source_listing_id", "title_ko")
+    return pipeline.with_recent(s.where("batch_no = 12").drop("batch_no", "loaded_at"), recent).select("id", "in_batch")
+
+
+def _events(spark, d) -> DataFrame:
+    """The audit events that the runs of etl_runs would have left: a start, two increments, a finish where one is recorded."""
+    r = table(spark, d, "etl_runs")
+    c = list(audit.COUNTERS)
+    none = lambda t: F.lit(None).cast(t)
+    names = ["dag_id", "task_id", "run_id", "source_name"]
+    long = lambda x: F.coalesce(x, F.lit(0)).cast("long").alias(x)
+    start = r.select("id", F.lit("start").alias("event"), *names, F.lit("running").alias("status"), F.col("started_at").alias("at"), *[none("long").alias(x) for x in c], none("string").alias("error_message"))
+    add = r.select("id", F.lit("add").alias("event"), *[none("string").alias(x) for x in names], none("string").alias("status"), F.col("started_at").alias("at"), *[long(x) for x in c], none("string").alias("error_message"))
+    end = r.where("finished_at is not null").select("id", F.lit("finish").alias("event"), *[none("string").alias(x) for x in names], "status", F.col("finished_at").alias("at"), *[long(x) for x in c], "error_message")
+    return start.unionByName(add).unionByName(add).unionByName(end)
+
+
+@query("""
+SELECT id, source_name, CASE WHEN finished_at IS NULL THEN 'running' ELSE status END AS status, (coalesce(rows_loaded, 0) * CASE WHEN finished_at IS NULL THEN 2 ELSE 1 END)::BIGINT AS rows_loaded, CASE WHEN finished_at IS NOT NULL THEN error_message END AS error_message, (epoch(finished_at)::BIGINT - epoch(started_at)::BIGINT) AS seconds FROM etl_runs""")
+def audit_runs(spark, d):
+    return audit.runs(_events(spark, d)).select("id", "source_name", "status", "rows_loaded", "error_message", F.col("duration_sec").alias("seconds"))
+
+
+@query("SELECT id, 'scheduled__' || strftime(started_at AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S') || '+00:00' AS scheduled, 'cli_' || strftime(started_at AT TIME ZONE 'UTC', '%Y%m%d_%H%M%S') AS cli FROM etl_runs")
+def run_ids(spark, d):
+    return table(spark, d, "etl_runs").select("id", audit.run_id(F.col("started_at")).alias("scheduled"), audit.run_id(F.col("started_at"), "cli").alias("cli"))
+
+
+@query("SELECT id FROM etl_runs WHERE id = 7 UNION ALL SELECT max(id) FROM etl_runs WHERE run_id = 'run_0_0000001' AND starts_with(task_id, 'load')")
+def run_by_name(spark, d):
+    r = table(spark, d, "etl_runs").select("id", "run_id", "task_id")
+    return audit.resolve(r, "7").unionByName(audit.resolve(r, "run_0_0000001", "load"))
+
+
+@query(f"""
+SELECT 'stale' AS what, count_if(is_active AND last_seen_at < TIMESTAMPTZ '{NOW}+00' - INTERVAL 14 DAY)::BIGINT AS n FROM listings UNION ALL
+SELECT 'purged', count_if(fetched_at < TIMESTAMPTZ '{NOW}+00' - INTERVAL 90 DAY)::BIGINT FROM scraped_pages""")
+def cleanup_counts(spark, d):
+    stale = load.counts(table(spark, d, "listings"), F.col("is_active") & (F.col("last_seen_at") < now() - F.expr("INTERVAL 14 DAYS")))
+    purged = load.counts(table(spark, d, "scraped_pages"), F.col("fetched_at") < now() - F.expr("INTERVAL 90 DAYS"))
+    return stale.select(F.lit("stale").alias("what"), "n").unionByName(purged.select(F.lit("purged").alias("what"), "n"))
+
+
+@query(f"SELECT id, CASE WHEN is_active AND last_seen_at < TIMESTAMPTZ '{NOW}+00' - INTERVAL 14 DAY THEN epoch(TIMESTAMPTZ '{NOW}+00') ELSE epoch(updated_at) END::BIGINT AS updated FROM listings")
+def mark_stale_updated(spark, d):
+    rows = table(spark, d, "listings").select("id", "is_active", "last_seen_at", "updated_at")
+    stale = F.col("is_active") & (F.col("last_seen_at") < now() - F.expr("INTERVAL 14 DAYS"))
+    return tables.update_where(rows, stale, {"is_active": F.lit(False), "updated_at": now()}).select("id", F.unix_seconds("updated_at").alias("updated"))
+
+
+@query("""
+SELECT name, CASE name WHEN 'null_rate' THEN printf('%.2f%% of the values of the worst column are missing', v * 100) WHEN 'success_rate' THEN printf('%.1f%% of the rows were transformed', v * 100) ELSE printf('%.0f rows of unknown sources', v) END AS message FROM (
+  SELECT 'null_rate' AS name, round(greatest(count_if(city IS NULL), count_if(title_ko IS NULL)) / nullif(count(*), 0), 6) AS v FROM listings_staging UNION ALL
+  SELECT 'success_rate', round(sum(rows_transformed) / nullif(sum(rows_transformed) + sum(rows_failed), 0), 6) FROM etl_runs UNION ALL
+  SELECT 'fk_integrity', count(*)::DOUBLE FROM listings_staging s WHERE NOT EXISTS (SELECT 1 FROM sources x WHERE x.id = s.source_id))""")
+def validation_messages(spark, d):
+    s, runs = table(spark, d, "listings_staging"), table(spark, d, "etl_runs")
+    known = table(spark, d, "sources").select(F.col("id").alias("source_id"))
+    checks = validate.report(validate.null_rate(s, ["city", "title_ko"]), validate.success_rate(runs, "rows_transformed", "rows_failed"), validate.orphans(s, known, ["source_id"]))
+    return validate.with_messages(checks).select(F.col("check").alias("name"), "message")
+
+
+@query("SELECT count_if(is_active)::BIGINT AS passed, count(*)::BIGINT AS total FROM sources")
+def verification_summary(spark, d):
+    return validate.summary(table(spark, d, "sources").select(F.col("is_active").alias("passed")))
+
+
+@query("""
+SELECT label, string_agg(name, ', ' ORDER BY name) AS names FROM (SELECT 'registered without runs' AS label, name FROM (SELECT name FROM sources EXCEPT SELECT source_name FROM etl_runs) UNION ALL
+SELECT 'target without registration', name FROM (SELECT source AS name FROM mix_targets EXCEPT SELECT name FROM sources)) GROUP BY label""")
+def registry_messages(spark, d):
+    s, r, m = table(spark, d, "sources").select("name"), table(spark, d, "etl_runs").select("source_name").distinct(), table(spark, d, "mix_targets").select("source")
+    found = relational.differences({"registered without runs": (s, r), "target without registration": (m, s)})
+    return found.groupBy("label").agg(F.array_join(F.array_sort(F.collect_set("name")), ", ").alias("names"))
+
+
+@query("SELECT source_id::VARCHAR AS source, count(DISTINCT url)::BIGINT AS n FROM scraped_pages WHERE url IS NOT NULL GROUP BY source_id")
+def seen_set_count(spark, d):
+    p = table(spark, d, "scraped_pages").select(F.col("source_id").alias("source"), "url")
+    kept = seen.SeenSet(spark)
+    kept.mark(p, 0)
+    return kept.count(0)
+
+
+# three runs: the second comes after the sets have died, the third while they live
+RUNS = [("2025-01-01", "2024-12-01"), ("2025-06-05", "2025-05-01"), ("2025-06-15", "2025-05-20")]
+
+
+@query("""
+WITH r1 AS (SELECT DISTINCT source_id, url FROM scraped_pages WHERE fetched_at >= '2024-12-01 00:00:00+00' AND fetched_at < '2025-01-01 00:00:00+00'), r2 AS (SELECT DISTINCT source_id, url FROM scraped_pages WHERE fetched_at >= '2025-05-01 00:00:00+00' AND fetched_at < '2025-06-05 00:00:00+00'),
+r3 AS (SELECT DISTINCT source_id, url FROM scraped_pages WHERE fetched_at >= '2025-05-20 00:00:00+00' AND fetched_at < '2025-06-15 00:00:00+00')
+SELECT 0 AS run, source_id::VARCHAR AS source, url FROM r1 UNION ALL SELECT 1, source_id::VARCHAR, url FROM r2 UNION ALL SELECT 2, source_id::VARCHAR, url FROM (SELECT * FROM r3 EXCEPT SELECT * FROM r2)""")
+def seen_set_expiry(spark, d):
+    p = table(spark, d, "scraped_pages").select(F.col("source_id").alias("source"), "url", "fetched_at")
+    kept, out = seen.SeenSet(spark, ttl=14 * 86400), None
+    for k, (end, begin) in enumerate(RUNS):
+        at = lambda x: F.lit(f"{x} 00:00:00").cast("timestamp")
+        stamp = spark.range(1).select(F.unix_seconds(at(end))).first()[0]
+        new = kept.mark(p.where((F.col("fetched_at") >= at(begin)) & (F.col("fetched_at") < at(end))), stamp).withColumn("run", F.lit(k))
+        out = new if out is None else out.unionByName(new)
+    return out
+
+
+@query("SELECT id, coalesce(try_strptime(regexp_extract(posted_at_utc, '^(\\d{4}-\\d{2}-\\d{2})', 1), '%Y-%m-%d')::DATE, first_seen_at::DATE)::VARCHAR AS day FROM listings")
+def resolved_date(spark, d):
+    detail = F.try_to_timestamp(F.regexp_extract("posted_at_utc", r"^(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd")).cast("date")
+    return table(spark, d, "listings").select("id", dates.resolved_date(detail, F.to_date("first_seen_at")).cast("string").alias("day"))
+
+
+@query(f"""
+SELECT id, CASE WHEN contains(p, '오늘') OR contains(lower(p), 'today') THEN '{TODAY}' WHEN contains(p, '어제') OR contains(lower(p), 'yesterday') THEN (DATE '{TODAY}' - 1)::DATE::VARCHAR WHEN contains(p, '방금') OR contains(lower(p), 'just now') THEN '{TODAY}T00:00:00+00:00'
+  ELSE strftime(try_strptime(regexp_extract(p, '(\\d{{4}})년\\s*(\\d{{1,2}})월\\s*(\\d{{1,2}})일', 1) || '-' || regexp_extract(p, '(\\d{{4}})년\\s*(\\d{{1,2}})월\\s*(\\d{{1,2}})일', 2) || '-' || regexp_extract(p, '(\\d{{4}})년\\s*(\\d{{1,2}})월\\s*(\\d{{1,2}})일', 3), '%Y-%m-%d'), '%Y-%m-%dT%H:%M:%S+00:00') END AS day
+FROM (SELECT id, posted_at_utc AS p FROM listings)""")
+def legacy_date(spark, d):
+    return table(spark, d, "listings").select("id", legacy.legacy_date(F.col("posted_at_utc"), now()).alias("day"))
+
+
+@query("""
+SELECT id, CASE WHEN p <> '' THEN CASE WHEN usd THEN n WHEN n > 10000 THEN n // 1200 ELSE n END END::BIGINT AS rent, CASE WHEN p <> '' THEN CASE WHEN contains(p, '월세') THEN 'monthly_rent' WHEN contains(p, '보증금') THEN 'deposit' WHEN contains(p, '전세') THEN 'jeonse'
+  WHEN regexp_matches(lower(p), '단기|short') THEN 'short_term' WHEN regexp_matches(lower(p), '리스|lease') THEN 'lease' END END AS lease_type, CASE WHEN p <> '' AND n IS NOT NULL THEN CASE WHEN usd THEN 'USD' ELSE 'KRW' END END AS currency
+FROM (SELECT id, price_raw_ko AS p, contains(price_raw_ko, '$') OR contains(lower(price_raw_ko), 'usd') AS usd, try_cast(replace(regexp_extract(price_raw_ko, '[0-9,]*[0-9][0-9,]*', 0), ',', '') AS BIGINT) AS n FROM listings)""")
+def legacy_price(spark, d):
+    p = legacy.legacy_price(F.col("price_raw_ko"))
+    return table(spark, d, "listings").select("id", p["rent"].alias("rent"), p["lease_type"].alias("lease_type"), p["currency_raw"].alias("currency"))
+
+
+@query("SELECT id, regexp_extract(url, '/rent/(\\w+)', 1) AS listing, CASE WHEN regexp_matches(url, '^https?://') THEN url ELSE 'https://x.example/' || ltrim(url, '/') END AS absolute FROM scraped_pages")
+def url_ids(spark, d):
+    return table(spark, d, "scraped_pages").select("id", F.regexp_extract("url", r"/rent/(\w+)", 1).alias("listing"), urls.absolute(F.col("url"), F.lit("https://x.example")).alias("absolute"))
+
+
+@query("SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k, (props IS NOT NULL) AS round_trip FROM events")
+def json_round_trip(spark, d):
+    read = F.from_json("props", "map<string,string>")
+    again = F.from_json(F.to_json(read), "map<string,string>")
+    return table(spark, d, "events").select("event_id", F.try_element_at(again, F.lit("k")).try_cast("bigint").alias("k"), (F.map_entries(again) == F.map_entries(read)).alias("round_trip"))
+
+
+@query("SELECT id, CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lat END AS lat, CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lon END AS lon FROM listings_staging")
+def cached_point(spark, d):
+    p = cache.point(F.concat(F.col("lat").cast("string"), F.lit(","), F.col("lon").cast("string")))
+    return table(spark, d, "listings_staging").select("id", p.alias("p")).select("id", F.col("p.lat").alias("lat"), F.col("p.lon").alias("lon"))
+
+
+@query("SELECT dag_id, run_id, status, epoch(started_at)::BIGINT AS started FROM etl_runs WHERE dag_id IS NOT NULL ORDER BY started_at DESC NULLS LAST, run_id, dag_id, status LIMIT 20")
+def run_history(spark, d):
+    path = scratch(spark, "runs")
+    r = table(spark, d, "etl_runs").where("dag_id is not null")
+    none = lambda t: F.lit(None).cast(t)
+    history.append(r.select("dag_id", "run_id", "status", "started_at", "finished_at", none("string").alias("log_path"), none("array<struct<name:string,attempt:int,exit_code:int>>").alias("tasks")), path)
+    return history.read(spark, path).orderBy(F.desc_nulls_last("started_at"), "run_id", "dag_id", "status").limit(20).select("dag_id", "run_id", "status", F.unix_seconds("started_at").alias("started"))
+
+
+@query("""
+SELECT a.id AS a, b.id AS b FROM listings_staging a JOIN listings_staging b ON lower(coalesce(a.city, '')) = lower(coalesce(b.city, '')) AND a.id < b.id AND abs(date_diff('day', a.posted_at_utc, b.posted_at_utc)) <= 7
+WHERE trim(coalesce(a.title_ko, '')) <> '' AND list_sort(list_distinct(string_split(a.title_ko || ' ' || coalesce(a.rent_monthly_usd::VARCHAR, ''), ' '))) = list_sort(list_distinct(string_split(b.title_ko || ' ' || coalesce(b.rent_monthly_usd::VARCHAR, ''), ' ')))""")
+def token_set_equal(spark, d):
+    """The pairs of the fuzzy pass at threshold 1 whose token sets are equal: the part of the pass that SQL can state."""
+    s = table(spark, d, "listings_staging").select("id", "title_ko", "rent_monthly_usd", F.lower(F.coalesce("city", F.lit(""))).alias("block"), F.to_date("posted_at_utc").alias("day")).where("day is not null and trim(coalesce(title_ko, '')) <> ''")
+    words = F.concat_ws(" ", F.coalesce("title_ko", F.lit("")), F.coalesce(F.col("rent_monthly_usd").cast("string"), F.lit("")))
+    keyed = s.withColumn("tokens", F.array_join(F.array_sort(F.array_distinct(F.filter(F.split(words, r"(?U)\s+"), lambda x: x != ""))), " "))
+    return relational.window_pairs(keyed, ["block", "tokens"], "day", "id", 7, []).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))

@@ -38,7 +38,7 @@ def _per_year(x: str) -> str:
 
 BARE = "regexp_replace(r, '^1[박년] ', '')"
 SQL = {
-    "p1_found": f"""
+    "p1_found": rf"""
 SELECT listing_id, quantity, usd_cents FROM (
   SELECT id AS listing_id, unnest([struct_pack(quantity := 'rent', usd_cents := rent_c, own := rent_monthly_usd), struct_pack(quantity := 'deposit', usd_cents := dep_c, own := deposit_usd)], recursive := true) FROM (
     SELECT id, rent_monthly_usd, deposit_usd, floor((yearly * 200 + 12) / 24)::BIGINT AS rent_c,

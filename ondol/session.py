@@ -36,8 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share (``spark.checkpoint.dir``); a temporary one only where the session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        checkpoint = spark.sparkContext.getCheckpointDir()
-        named = checkpoint or os.path.join(tempfile.gettempdir(), f"ondol-{os.getpid()}")
+        named = spark.sparkContext.getCheckpointDir()
+    if not named:
+        # executors of a cluster can't see each other's folders; only a session in one process may do without a shared one
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = os.path.join(tempfile.gettempdir(), f"ondol-{os.getpid()}")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -45,7 +49,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder for a table that cuts lineage."""
-    return f"{shared_dir(spark)}/ondol/{what}-{uuid.uuid4().hex}"
+    return f"{_own(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/ondol-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that this application wrote to the shared folder; frames that read them are of no more use."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
@@ -56,7 +70,7 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The frame over at least as many partitions as there are cores, for Python passes over few large files. Inputs of enough
-    partitions aren't moved."""
+    """The frame over at least as many partitions as there are cores, for Python passes over a few files that can't be split.
+    Inputs of as many partitions as cores, hence all large ones, aren't moved."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

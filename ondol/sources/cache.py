@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -32,17 +33,22 @@ def point(value: Column) -> Column:
     return F.when(lat.isNotNull() & lon.isNotNull(), F.struct(lon.alias("lon"), lat.alias("lat")))
 
 
-def resolve(rows: DataFrame, text: Column, cache: DataFrame, now: Column, lookup: Callable[[str], str | None] | None = None, days: int = 30) -> tuple[DataFrame, DataFrame]:
-    """(rows with ``point``, new cache rows). ``lookup`` gives 'lat,lon' or None and runs once for each distinct miss."""
+def resolve(rows: DataFrame, text: Column, cache: DataFrame, now: Column, lookup: Callable[[str], str | None] | None = None, days: int = 30, interval: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """(rows with ``point``, new cache rows). ``lookup`` gives 'lat,lon' or None and runs once for each distinct miss;
+    with an ``interval`` (seconds between two lookups) all misses are asked by one task, since the service's limit is global."""
     keyed = rows.withColumns({"_text": text, "key": cache_key(text)})
     known = fresh(cache, now, days)
     misses = keyed.where("_text <> ''").select("key", "_text").distinct().join(known, "key", "left_anti")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = [lookup(t) if lookup else None for t in pdf["_text"]]
+            values = []
+            for t in pdf["_text"]:
+                began = time.monotonic()
+                values.append(lookup(t) if lookup else None)
+                time.sleep(max(0.0, interval - (time.monotonic() - began)))
             yield pd.DataFrame({"key": pdf["key"], "value": values}).dropna()
 
-    new = misses.mapInPandas(run, "key string, value string")
+    new = (misses.coalesce(1) if interval else misses).mapInPandas(run, "key string, value string")
     joined = keyed.join(known.unionByName(new), "key", "left").withColumn("point", point(F.col("value"))).drop("_text", "key", "value")
     return joined, new.withColumn("cached_at", now)

@@ -70,7 +70,8 @@ class _Reader(DataSourceReader):
                     break
                 except Exception as e:  # the page is retried, then reported
                     error = f"{type(e).__name__}: {e}"
-                    time.sleep(float(self.options.get("backoff", 5)) * 2**n)
+                    if n + 1 < attempts:
+                        time.sleep(float(self.options.get("backoff", 5)) * 2**n)
             yield url, html, status, error
 
 

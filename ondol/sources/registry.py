@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 FETCHERS = ("Fetcher", "StealthyFetcher", "DynamicFetcher")
 STATUSES = ("active", "disabled")
 SCHEMA = "name string, display_name string, base_url string, list_path string, fetcher_type string, delay_sec double, concurrent_requests int, status string"
-ENV = "ONDOL_SOURCES"
+ENV, PLACES = "ONDOL_SOURCES", ("config/sources.yml", "/app/config/sources.yml")
 
 
 def load(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """The registry at ``path`` or at the place that the environment names. Unknown fetchers and states, negative delays and
+    """The registry at ``path``, at the place that the environment names, or at one of ``PLACES``. Unknown fetchers and states, negative delays and
     repeated names are refused."""
-    path = path or os.environ[ENV]
+    path = path or os.environ.get(ENV) or next((p for p in PLACES if os.path.exists(p)), None)
+    if not path:
+        raise FileNotFoundError(f"no registry: name one, set {ENV}, or put it at one of {', '.join(PLACES)}")
     with open(path, encoding="utf-8") as f:
         if path.endswith(".json"):
             data = json.load(f)

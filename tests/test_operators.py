@@ -133,6 +133,6 @@ def test_streams_equal_their_batches(spark, tmp_path):
     df.repartition(3).write.parquet(f"{tmp_path}/x.parquet")
     s = lambda: seen.read_table(spark, str(tmp_path), "x", 1)
     assert rows(seen.run(seen.first_sightings(s(), ["source", "url"]), "t")) == rows(df.select("source", "url").distinct())
-    assert rows(seen.run(seen.new_urls(s(), "source", "url", "ts", 10**9), "t")) == rows(df.select("source", "url").distinct())
+    assert rows(seen.mark_after_sink(s(), "source", "url", "ts", seen.SeenSet(spark, ttl=10**9))) == rows(df.where("source is not null").select("source", "url").distinct())
     late = seen.run(seen.admitted(s(), F.to_date("ts"), F.lit("2024-01-30").cast("date"), 5).select("id"), "t")
     assert rows(late) == rows(df.where("ts >= '2024-01-25'").select("id"))
