@@ -5,7 +5,11 @@ combinations a number may have; where they leave several, the combination with t
 identities between the columns is taken, and a tie between combinations of different amounts is flagged:
 
 * a recorded column holds the amount in some unit of record (dollars, cents, the bare number of the text),
-* a deposit is a number of monthly rents (between a half and sixty).
+* a deposit is a number of monthly rents (between ``RATIO``), and a text keeps to one unit: where a unit of either is open, the
+  combinations of both are weighed together.
+
+A text without a word for the period means months. Amounts whose combination is not unique are no result of ``misrecorded``;
+``undecided`` lists them.
 
 All of it is column expressions, one pass without a shuffle. ``unit_rates`` is a fixed table; it is read to the
 driver only up to ``MAX_RATES`` rows.
@@ -17,6 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_RATES = 1000
+#: Fewest and most monthly rents that a deposit is.
+RATIO = (0.5, 60.0)
+#: Log residual of two units in one text.
+UNLIKE = 0.1
 #: Log residuals closer than this count as equal.
 TIE = 1e-6
 
@@ -124,13 +132,27 @@ def resolve(listings: DataFrame, unit_rates: DataFrame, price: str = "price_raw_
             record = F.least(log_gap(seen, usd), log_gap(seen, usd * 100), log_gap(seen, own))
             level = F.greatest(F.lit(0.0), F.ln(F.lit(least)) - F.ln(F.greatest(usd.cast("double"), F.lit(1e-9))))
             fits = F.coalesce(F.col(f"{q}_c") == c, F.lit(True)) & F.coalesce(F.col(f"{q}_s") == s, F.lit(True))
-            return F.when(fits, F.struct((F.coalesce(record, F.lit(0.0)) + level).alias("residual"), usd.alias("usd")))
+            return F.when(fits, F.struct((F.coalesce(record, F.lit(0.0)) + level).alias("residual"), usd.alias("usd"), F.lit(f"{c}{s}").alias("unit")))
 
         return F.when(F.col(f"{q}_n").isNotNull(), F.array_sort(F.array_compact(F.array(*[one(*x) for x in combos]))))
 
     work = work.withColumns({"_rents": scored("_rent", rent, 100.0), "_deps": scored("_dep", deposit, 50.0), "_periods": periods})
-    best = lambda c: F.get(F.col(c), F.lit(0))["usd"]
-    unique = lambda c: F.when(F.size(c) > 0, (F.size(c) == 1) | (F.get(F.col(c), F.lit(1))["residual"] - F.get(F.col(c), F.lit(0))["residual"] > TIE))
+    months_of = (F.col("_periods") / 12).cast("double") / F.col("_count").cast("double")
+
+    def ratio(r: Column, d: Column) -> Column:
+        """How far the deposit is from a plausible number of monthly rents, in logarithms."""
+        rent_, dep = r["usd"].cast("double") * months_of, d["usd"].cast("double")
+        off_ = F.greatest(F.lit(0.0), F.ln(rent_ * RATIO[0]) - F.ln(dep), F.ln(dep) - F.ln(rent_ * RATIO[1]))
+        return r["residual"] + d["residual"] + F.when((rent_ > 0) & (dep > 0), off_).otherwise(0.0) + F.when(r["unit"] == d["unit"], 0.0).otherwise(UNLIKE)
+
+    both = (F.size("_rents") > 0) & (F.size("_deps") > 0) & (F.size("_rents") + F.size("_deps") > 2)
+    joint = F.flatten(F.transform("_rents", lambda r: F.transform("_deps", lambda d: F.struct(ratio(r, d).alias("residual"), r["usd"].alias("_rents"), d["usd"].alias("_deps")))))
+    work = work.withColumn("_joint", F.when(both, F.array_sort(joint)))
+    first = F.get("_joint", F.lit(0))
+    best = lambda c: F.when(both, first[c]).otherwise(F.get(F.col(c), F.lit(0))["usd"])
+    # a rival is a combination of another amount that fits as well
+    rivals = lambda c: F.exists("_joint", lambda x: (x[c] != first[c]) & (x["residual"] - first["residual"] <= TIE))
+    unique = lambda c: F.when(both, ~rivals(c)).when(F.size(c) > 0, (F.size(c) == 1) | (F.get(F.col(c), F.lit(1))["residual"] - F.get(F.col(c), F.lit(0))["residual"] > TIE))
     hundred = F.lit(100).cast("decimal(3,0)")
     work = work.withColumns({"_yearly": (best("_rents").cast("decimal(24,8)") * F.col("_periods") * hundred).cast("decimal(32,8)"), "_twelfths": (F.lit(12).cast("decimal(2,0)") * F.col("_count")).cast("decimal(8,0)")})
 
@@ -154,16 +176,28 @@ def resolve(listings: DataFrame, unit_rates: DataFrame, price: str = "price_raw_
 
 
 def misrecorded(listings: DataFrame, unit_rates: DataFrame) -> DataFrame:
-    """One row (listing_id, quantity, usd_cents) per amount that the text gives and the column lacks or contradicts."""
-    slim = listings.select("id", "price_raw_ko", "rent_monthly_usd", "deposit_usd").where(F.length(F.trim("price_raw_ko")) > 0)
-    done = resolve(slim, unit_rates)
+    """One row (listing_id, quantity, usd_cents) per amount that the text gives uniquely and the column lacks or contradicts."""
+    done = resolve(_priced(listings), unit_rates)
 
     def off(column: str, cents: str) -> Column:
         recorded = F.floor(F.col(column) * 100).cast("long")
-        return F.col(cents).isNotNull() & (F.col(column).isNull() | (recorded != F.col(cents)))
+        sure = F.coalesce(F.col(cents.replace("cents", "unique")), F.lit(True))
+        return sure & F.col(cents).isNotNull() & (F.col(column).isNull() | (recorded != F.col(cents)))
 
     rows = F.array(
         F.struct(F.lit("rent").alias("quantity"), F.col("rent_cents").alias("usd_cents"), off("rent_monthly_usd", "rent_cents").alias("off")),
         F.struct(F.lit("deposit").alias("quantity"), F.col("deposit_cents").alias("usd_cents"), off("deposit_usd", "deposit_cents").alias("off")),
     )
     return done.select(F.col("id").alias("listing_id"), F.inline(rows)).where("off").select("listing_id", "quantity", "usd_cents")
+
+
+def _priced(listings: DataFrame) -> DataFrame:
+    return listings.select("id", "price_raw_ko", "rent_monthly_usd", "deposit_usd").where(F.length(F.trim("price_raw_ko")) > 0)
+
+
+def undecided(listings: DataFrame, unit_rates: DataFrame) -> DataFrame:
+    """(listing_id, quantity, usd_cents): the amounts for which several combinations of units fit equally well, with the least of
+    them. What an amount of months' rents needs is the rent's decision."""
+    done = resolve(_priced(listings), unit_rates)
+    rows = F.array(*[F.struct(F.lit(q).alias("quantity"), F.col(f"{q}_cents").alias("usd_cents"), F.col(f"{q}_unique").alias("sure")) for q in ("rent", "deposit")])
+    return done.select(F.col("id").alias("listing_id"), F.inline(rows)).where("not sure and usd_cents is not null").select("listing_id", "quantity", "usd_cents")

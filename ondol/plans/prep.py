@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import timestamps, units
 from ..session import table
 
@@ -14,7 +16,13 @@ def p5_found(spark, sf_dir):
     return timestamps.normalised_times(table(spark, sf_dir, "listings"), table(spark, sf_dir, "scraped_pages"), table(spark, sf_dir, "sources"))
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
+def p1_undecided(spark, sf_dir):
+    """Amounts of bare numbers (the unit tokens of every text taken away) that the columns' identities leave open."""
+    bare = F.regexp_replace("price_raw_ko", r"[$₩]|불|달러|원|만|천|억|(?i:USD|KRW|k\b)", "")
+    return units.undecided(table(spark, sf_dir, "listings").withColumn("price_raw_ko", bare), table(spark, sf_dir, "unit_rates"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_undecided": p1_undecided, "p5_found": p5_found}
 
 
 def _amount(x: str) -> str:

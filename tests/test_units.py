@@ -57,3 +57,23 @@ def test_empty_extra_and_clashing_columns(spark, rates):
     df = spark.createDataFrame([(1, "$700", None, None)] * 2, SCHEMA).withColumns({"rent_cents": F.lit("old"), "note.x": F.lit(1)})
     out = units.resolve(df, rates)
     assert out.count() == 2 and "note.x" in out.columns and {r.rent_cents for r in out.collect()} == {70000}
+
+
+def test_deposits_are_a_number_of_rents(spark, rates):
+    # no unit at all: the rent is settled by its column, the deposit by the rent; without any column both stay open
+    df = spark.createDataFrame([(1, "월세 150 보증금 1000", Decimal("1125.00"), None), (2, "월세 150 보증금 1000", None, None), (3, "월세 $1500 보증금 3000", None, None)], SCHEMA)
+    got = {r.id: r for r in units.resolve(df, rates).collect()}
+    assert (got[1].rent_cents, got[1].rent_unique, got[1].deposit_cents) == (112500, True, 750000)
+    assert got[3].rent_unique and got[3].deposit_unique and got[3].deposit_cents == 300000
+    open_ = rows(units.undecided(df, rates), "listing_id", "quantity")
+    assert (2, "rent") in open_ and (2, "deposit") in open_ and (1, "rent") not in open_
+    found = rows(units.misrecorded(df, rates), "listing_id", "quantity")
+    assert (2, "rent") not in found and (2, "deposit") not in found
+
+
+def test_tokens_taken_away_are_recovered_from_the_columns(spark, rates):
+    # the column holds the true amount: dollars, thousands or ten thousands of won are told apart by the residuals
+    cases = [(k, f"월세 {n} 보증금 {m}", Decimal(rent), Decimal(dep)) for k, (n, m, rent, dep) in enumerate([(1500, 3000, "1500", "3000"), (146, 1000, "1095", "7500"), (1_120_000, 2_000_000, "840", "1500"), (2, 4, "2000", "4000")])]
+    got = {r.id: r for r in units.resolve(spark.createDataFrame(cases, SCHEMA), rates).collect()}
+    for k, _, rent, dep in cases:
+        assert (got[k].rent_cents, got[k].deposit_cents) == (int(rent * 100), int(dep * 100)), k
