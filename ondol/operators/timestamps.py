@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch
+from ..session import materialize, scratch
 
 #: Zone abbreviations with their offsets in minutes.
 ZONE_MINUTES = {
@@ -184,9 +184,10 @@ def normalised_times(listings: DataFrame, pages: DataFrame, sources: DataFrame,
     spark = listings.sparkSession
     zones = sources.select(F.col("id").alias("source_id"), F.col("time_zone").alias("zone")).dropDuplicates(["source_id"])
     own = listings.where(F.col("posted_at_utc").isNotNull() & ~F.col("posted_at_utc").rlike(ISO_UTC)).select("id", "source_id", F.col("posted_at_utc").alias("raw"))
-    own = own.join(F.broadcast(zones), "source_id", "left").select("id", "raw", "zone")
+    own = own.join(zones, "source_id", "left").select("id", "raw", "zone")
     said = pages.where("html_content is not null").select("id", "source_id", "fetched_at", F.explode(statements(F.col("html_content"))).alias("raw"))
-    said = said.join(F.broadcast(zones), "source_id", "left").select("id", "fetched_at", "raw", "zone")
+    # the statements are needed twice; the pages are read once
+    said = materialize(said.join(zones, "source_id", "left").select("id", "fetched_at", "raw", "zone"), "statements")
     book = TimestampDictionary(spark, path)
     book.extend(own)
     book.extend(said)
