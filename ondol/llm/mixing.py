@@ -46,9 +46,14 @@ def water_fill(sizes: dict[str, int], targets: dict[str, tuple[float, int]], tot
     return {s: given.get(s, 0.0) for s in targets}
 
 
-def mix(documents: DataFrame, targets: DataFrame, total: float | None = None, seed: int = SEED, name: str = tokens.DEFAULT, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, total: float | None = None, epochs: float | None = None, seed: int = SEED, name: str = tokens.DEFAULT, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix (doc_id, source, n_tokens, copies; documents with no copy are left out) and the report (source, size, target_share,
-    max_repeats, tokens, share, epochs).
+    max_repeats, wanted, tokens, missed, share, epochs).
+
+    ``total`` is the size of the mix in tokens, or ``epochs`` as a multiple of the tokens of all sources with a target. With
+    neither, the largest total is taken at which every share holds exactly; a source that is small against its target then
+    shrinks the mix in proportion. A given total that some sources can't serve clamps these at their repeats and goes to the
+    others. ``missed`` is what the one document on the border of each source, taken or left as a whole, adds or lacks.
 
     Documents with a NULL source or one without a target aren't part of the mix. NULL and empty texts have no tokens; they are
     repeated as often as the whole repetitions of their source. Repeated targets of a source: the first by share counts.
@@ -61,6 +66,8 @@ def mix(documents: DataFrame, targets: DataFrame, total: float | None = None, se
     sized = sized.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("range", F.pmod(F.shiftright("h", 20), F.lit(RANGES)))
     bins = sized.groupBy("source", "range").agg(F.sum("n_tokens").alias("n")).where("source is not null")
     sizes = {r.source: int(r.n) for r in bins.groupBy("source").agg(F.sum("n").alias("n")).join(F.broadcast(targets.select("source").distinct()), "source").collect()}
+    if epochs is not None:
+        total = epochs * sum(sizes.get(s, 0) for s in wanted)
     given = water_fill(sizes, wanted, total)
 
     spark = documents.sparkSession
@@ -69,8 +76,8 @@ def mix(documents: DataFrame, targets: DataFrame, total: float | None = None, se
         size = sizes.get(s, 0)
         whole = int(t // size + 1e-9) if size else 0
         whole = min(whole, wanted[s][1])
-        plan.append((s, size, wanted[s][0], wanted[s][1], whole, t - whole * size if size else 0.0))
-    shape = "source string, size bigint, target_share double, max_repeats int, whole int, rest double"
+        plan.append((s, size, wanted[s][0], wanted[s][1], float(t), whole, t - whole * size if size else 0.0))
+    shape = "source string, size bigint, target_share double, max_repeats int, wanted double, whole int, rest double"
     plan_df = F.broadcast(spark.createDataFrame(plan, shape))
     # tokens before each range: sources times RANGES rows at most
     below = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,6 +93,6 @@ def mix(documents: DataFrame, targets: DataFrame, total: float | None = None, se
     mixed = materialize(cut.select(*columns).unionByName(rest.select(*columns)).where("copies > 0"), "mix")
     reached = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"))
     total_tokens = Window.partitionBy()
-    report = plan_df.join(reached, "source", "left").select("source", "size", "target_share", "max_repeats", F.coalesce("tokens", F.lit(0)).alias("tokens"))
+    report = plan_df.join(reached, "source", "left").select("source", "size", "target_share", "max_repeats", "wanted", F.coalesce("tokens", F.lit(0)).alias("tokens")).withColumn("missed", F.col("tokens") - F.col("wanted"))
     report = report.withColumn("share", F.try_divide(F.col("tokens"), F.sum("tokens").over(total_tokens))).withColumn("epochs", F.try_divide(F.col("tokens"), F.col("size")))
     return mixed, report

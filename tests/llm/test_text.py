@@ -88,6 +88,33 @@ def test_mix_reaches_the_shares_and_respects_the_caps(spark):
     assert mixing.mix(df.limit(0), targets)[0].count() == 0
 
 
+def test_water_filling_against_bisection():
+    rng = random.Random(7)
+    for _ in range(200):
+        n = rng.randrange(1, 7)
+        sizes = {str(k): rng.choice([0, 1, 10, 500, 10_000]) for k in range(n)}
+        targets = {str(k): (rng.choice([0.0, 0.05, 0.2, 0.5]), rng.randrange(0, 5)) for k in range(n)}
+        total = rng.randrange(1, 60_000)
+        cap = {s: sizes[s] * targets[s][1] if targets[s][0] else 0 for s in targets}
+        low, high = 0.0, 1e9
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(cap[s], mid * targets[s][0]) for s in targets) < total else (low, mid)
+        want = {s: min(cap[s], low * targets[s][0]) for s in targets}
+        got = mixing.water_fill(sizes, targets, total)
+        assert all(abs(got[s] - want[s]) < 1e-3 * max(1, want[s]) for s in targets), (sizes, targets, total)
+
+
+def test_a_given_total_clamps_and_is_reported(spark):
+    df = spark.createDataFrame([(k, "word " * 10, "a" if k < 800 else "b" if k < 950 else "c") for k in range(1000)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("a", 0.4, 2), ("b", 0.3, 2), ("c", 0.3, 3)], "source string, target_share double, max_repeats int")
+    report = {r.source: r for r in mixing.mix(df, targets, epochs=1.2)[1].collect()}
+    sizes = {s: r.size for s, r in report.items()}
+    assert report["b"].tokens == 2 * sizes["b"] and report["c"].tokens == 3 * sizes["c"] and report["c"].missed == 0
+    rest = 1.2 * sum(sizes.values()) - 2 * sizes["b"] - 3 * sizes["c"]
+    assert abs(report["a"].wanted - rest) < 1 and abs(report["a"].missed) <= 11 and report["a"].missed == report["a"].tokens - report["a"].wanted
+
+
 DOCS = [
     ("Rent is $1651.50 per month, i.e. less than last year. Wait, what?! The U.S. credit history was not needed.", 3), ('"It is quiet here. You will like it," the owner told us. Is parking included?', 2), ("At about 3 p.m. Ms. Baekmore counted 4 spots.\n\nThey open at 8 and close at 6 p.m.", 2),
     ("집주인이 \"바로 입주하셔도 됩니다.\"라고 말했습니다. 이사 날짜는 2025. 6. 20. 로 정했습니다.", 2), ("여성분만 연락 주세요\n반려동물은 안 됩니다\n가격은 조금 조정해 드려요", 3), ("여성분만 연락 주세요 반려동물은 안 됩니다 가격은 조금 조정해 드려요", 3), ("とても明るい部屋です！大家さんは「いつでも。どうぞ。」と言いました。駐車場はありますか？", 3),
