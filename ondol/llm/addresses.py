@@ -46,19 +46,19 @@ def _map(table: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for k, v in table.items() for f in v.split() for x in (f, k)])
 
 
-def parsed(rows: DataFrame, address: str = "address_raw") -> DataFrame:
+def parsed(rows: DataFrame, forms: dict[str, str], address: str = "address_raw") -> DataFrame:
     """Adds number, dir, street, kind (NULL where there is no street with a number) and rest (the locality part)."""
     t = F.regexp_replace(F.regexp_replace(P.folded(F.col(address)), UNIT, " , "), r"\s+", " ")
     rows = rows.withColumn("_t", t)
     hit = F.regexp_extract_all("_t", F.lit(STREET), F.lit(0))
     rows = rows.withColumn("_s", F.get(hit, F.lit(0))).withColumn("_rest", F.replace("_t", F.coalesce("_s", F.lit(" ")), F.lit(" , ")))
     g = lambda k: F.nullif(F.regexp_extract("_s", STREET, k), F.lit(""))
-    known = F.create_map(*[F.lit(x) for code, forms in P.STATES.items() for f in forms for x in (f, code.lower())])
+    known = P.forms_map(forms)
     words = F.split(F.regexp_replace("_rest", r"\bnew (york|jersey)\b", "new$1"), r"[ ,/]+")
     rows = rows.withColumn("_w", F.filter(words, lambda x: (x != "") & ~x.isin("usa", "u.s.a", "u.s.a.")))
     bare = lambda x: F.replace(x, F.lit("."), F.lit(""))
-    rows = rows.withColumn("_states", F.array_compact(F.transform("_w", lambda x: F.element_at(known, bare(x)))))
-    name = F.array_join(F.filter("_w", lambda x: ~x.rlike(r"^\d{5}$") & F.element_at(known, bare(x)).isNull()), " ")
+    rows = rows.withColumn("_states", F.array_compact(F.transform("_w", lambda x: F.try_element_at(known, bare(x)))))
+    name = F.array_join(F.filter("_w", lambda x: ~x.rlike(r"^\d{5}$") & F.try_element_at(known, bare(x)).isNull()), " ")
     return rows.withColumns(
         {
             "number": F.regexp_replace(g(1), "^0+(?=.)", ""),
@@ -72,18 +72,18 @@ def parsed(rows: DataFrame, address: str = "address_raw") -> DataFrame:
     ).drop("_t", "_s", "_rest", "_w", "_states")
 
 
-def localities(rows: DataFrame, places: DataFrame) -> DataFrame:
+def localities(rows: DataFrame, places: DataFrame, forms: dict[str, str]) -> DataFrame:
     """(city, state, zip, addr_state, addr_name, locality, sure) for every distinct combination of locality evidence.
 
     locality is NULL where the evidence names none.
     """
     evidence = rows.select("city", "state", "zip", "addr_state", "addr_name").distinct()
     # the fields may be swapped, so both are read for a name; the state of the address counts before that of the fields
-    evidence = evidence.withColumns({"_fields": F.concat_ws(" / ", "city", F.when(F.col("addr_state").isNull() | ~P.stated(F.col("state")), F.col("state"))), "_told": F.coalesce("addr_state", F.when(P.stated(F.col("state")), F.col("state")))})
+    evidence = evidence.withColumns({"_fields": F.concat_ws(" / ", "city", F.when(F.col("addr_state").isNull() | ~P.stated(F.col("state"), forms), F.col("state"))), "_told": F.coalesce("addr_state", F.when(P.stated(F.col("state"), forms), F.col("state")))})
     # one call for both, so that the references and the spellings are cut once
     asked = evidence.select(F.explode(F.array("_fields", "addr_name")).alias("city"), F.col("_told").alias("state_or_province"))
     answers = materialize(P.match_places(asked, places).where("place_id > 0"), "localities")
-    zips = F.broadcast(places.limit(P.MAX_PLACES).select(F.col("zip").alias("_z"), F.col("place_id").alias("_by_zip")).where("_z is not null").dropDuplicates(["_z"]))
+    zips = F.broadcast(places.select(F.col("zip").alias("_z"), F.col("place_id").alias("_by_zip")).where("_z is not null").dropDuplicates(["_z"]))
 
     def joined(left: DataFrame, city: str, to: str) -> DataFrame:
         r = answers.select(F.col("city").alias("_c"), F.coalesce("state", F.lit("\x00")).alias("_st"), F.col("place_id").alias(to))
@@ -174,11 +174,12 @@ def resolve(listings: DataFrame, places: DataFrame) -> DataFrame:
     NULL and empty addresses and those without a number have none. Rows without a locality of their own take the only one in
     which the gazetteer knows their house; otherwise their locality stays NULL, which matches nothing.
     """
-    rows = parsed(listings.select("id", "city", F.col("state_or_province").alias("state"), "address_raw").where(F.length(F.trim("address_raw")) > 0)).drop("address_raw")
+    forms = P.state_forms(places)
+    rows = parsed(listings.select("id", "city", F.col("state_or_province").alias("state"), "address_raw").where(F.length(F.trim("address_raw")) > 0), forms).drop("address_raw")
     # the filter waits until the columns are written: pushed into the projection it would parse every address again
     rows = materialize(rows, "addresses").where("number is not null and kind is not null")
     keys = ["city", "state", "zip", "addr_state", "addr_name"]
-    where = localities(rows, places).withColumnsRenamed({k: f"_{k}" for k in keys})
+    where = localities(rows, places, forms).withColumnsRenamed({k: f"_{k}" for k in keys})
     null = F.lit("\x00")
     cond = F.coalesce("city", null) == F.coalesce("_city", null)
     for k in keys[1:]:

@@ -3,7 +3,7 @@
 Distinct field texts are cleaned and cut into name parts. A reference string of length n may differ by k(n) edits; it is cut
 into k + 1 segments, so that any text within k edits keeps one segment unchanged, moved by at most k places. Texts and
 references meet in an equality join on these substrings with a bound on the positions, and the built-in ``levenshtein``
-verifies. States are read from either field. Pairs of fields that name no place come out of an anti-join with place 0.
+verifies. States are read from either field, in the forms that the reference's own state codes have. Pairs of fields that name no place come out of an anti-join with place 0.
 Only the reference side is broadcast; its rows are bounded by ``MAX_PLACES``.
 """
 
@@ -15,20 +15,57 @@ from pyspark.sql import functions as F
 MAX_PLACES = 100_000
 SALTS = 16
 
-#: State codes with the forms that posters use (lower case, without blanks and stops).
-STATES = {
-    "CA": ["ca", "calif", "california", "캘리포니아", "캘리포니아주"],
-    "GA": ["ga", "georgia", "조지아", "조지아주"],
-    "IL": ["il", "ill", "illinois", "일리노이", "일리노이주"],
-    "NJ": ["nj", "newjersey", "뉴저지", "뉴저지주"],
-    "NY": ["ny", "newyork", "뉴욕", "뉴욕주"],
-    "TX": ["tx", "tex", "texas", "텍사스", "텍사스주"],
-    "VA": ["va", "virginia", "버지니아", "버지니아주"],
-    "WA": ["wa", "wash", "washington", "워싱턴", "워싱턴주"],
-    "가람도": ["가람도", "garam-do", "garamdo", "garam"],
-    "나래도": ["나래도", "narae-do", "naraedo", "narae"],
-    "해담도": ["해담도", "haedam-do", "haedamdo", "haedam"],
-}
+#: States of the United States with their names in English and Korean and the traditional abbreviation.
+US_STATES = """AL Alabama 앨라배마 Ala; AK Alaska 알래스카; AZ Arizona 애리조나 Ariz; AR Arkansas 아칸소 Ark; CA California 캘리포니아 Calif; CO Colorado 콜로라도 Colo; CT Connecticut 코네티컷 Conn;
+DE Delaware 델라웨어 Del; FL Florida 플로리다 Fla; GA Georgia 조지아; HI Hawaii 하와이; ID Idaho 아이다호; IL Illinois 일리노이 Ill; IN Indiana 인디애나 Ind; IA Iowa 아이오와; KS Kansas 캔자스 Kans; KY Kentucky 켄터키;
+LA Louisiana 루이지애나; ME Maine 메인; MD Maryland 메릴랜드; MA Massachusetts 매사추세츠 Mass; MI Michigan 미시간 Mich; MN Minnesota 미네소타 Minn; MS Mississippi 미시시피 Miss; MO Missouri 미주리; MT Montana 몬태나 Mont;
+NE Nebraska 네브래스카 Nebr; NV Nevada 네바다 Nev; NH NewHampshire 뉴햄프셔; NJ NewJersey 뉴저지; NM NewMexico 뉴멕시코; NY NewYork 뉴욕; NC NorthCarolina 노스캐롤라이나; ND NorthDakota 노스다코타; OH Ohio 오하이오;
+OK Oklahoma 오클라호마 Okla; OR Oregon 오리건 Ore; PA Pennsylvania 펜실베이니아 Penn; RI RhodeIsland 로드아일랜드; SC SouthCarolina 사우스캐롤라이나; SD SouthDakota 사우스다코타; TN Tennessee 테네시 Tenn; TX Texas 텍사스 Tex;
+UT Utah 유타; VT Vermont 버몬트; VA Virginia 버지니아; WA Washington 워싱턴 Wash; WV WestVirginia 웨스트버지니아; WI Wisconsin 위스콘신 Wis; WY Wyoming 와이오밍 Wyo"""
+#: The letters of the romanisation of Korean, by the place of a sound in its syllable.
+INITIALS = ("g", "kk", "n", "d", "tt", "r", "m", "b", "pp", "s", "ss", "", "j", "jj", "ch", "k", "t", "p", "h")
+MEDIALS = ("a", "ae", "ya", "yae", "eo", "e", "yeo", "ye", "o", "wa", "wae", "oe", "yo", "u", "wo", "we", "wi", "yu", "eu", "ui", "i")
+FINALS = ("", "k", "k", "k", "n", "n", "n", "t", "l", "k", "m", "l", "l", "l", "p", "l", "m", "p", "p", "t", "t", "ng", "t", "t", "k", "t", "p", "t")
+
+
+def romanised(text: str) -> str:
+    """Syllable by syllable; other characters stay."""
+    out = []
+    for c in text:
+        n = ord(c) - 0xAC00
+        out.append(INITIALS[n // 588] + MEDIALS[n % 588 // 28] + FINALS[n % 28] if 0 <= n < 11172 else c)
+    return "".join(out)
+
+
+def checked(places: DataFrame) -> DataFrame:
+    """The reference, refused above ``MAX_PLACES`` rows: it is broadcast, and its states are read to the driver."""
+    if places.limit(MAX_PLACES + 1).count() > MAX_PLACES:
+        raise ValueError(f"more than {MAX_PLACES} places")
+    return places
+
+
+def state_forms(places: DataFrame) -> dict[str, str]:
+    """The forms of the states of a reference (lower case, without blanks and stops) -> the code in lower case: those of the
+    states of the United States; of Korean ones the name and its romanisation, with and without its last syllable; of others the
+    code itself."""
+    known = {words[0]: words[1:] for words in (x.split() for x in US_STATES.split(";"))}
+    out: dict[str, str] = {}
+    for (code,) in checked(places).select("state_code").where("state_code is not null").distinct().collect():
+        low = code.strip().lower()
+        forms = [low, *[f.lower() for f in known.get(code.strip(), ())]]
+        forms += [f + "주" for f in forms if "가" <= f[:1] <= "힣" and code.strip() in known]
+        if "가" <= low[:1] <= "힣" and len(low) > 1:
+            stem, last = romanised(low[:-1]), romanised(low[-1])
+            forms += [f"{stem}-{last}", stem + last, stem]
+        for f in forms:
+            out.setdefault(f.replace(" ", "").replace(".", ""), low)
+    return out
+
+
+def forms_map(forms: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for kv in forms.items() for x in kv]) if forms else F.lit(None).cast("map<string,string>")
+
+
 #: Words around a place's name that aren't part of it.
 AROUND = r"\b(?:city of|downtown|city|area|near|town of)\b|근처|다운타운|한인타운|직거래|인근|주변|시내"
 
@@ -50,17 +87,16 @@ def edits(length: Column, hangul: Column) -> Column:
     return F.when(hangul, F.when(length >= 4, 1).otherwise(0)).otherwise(F.when(length >= 9, 4).when(length >= 7, 3).otherwise(0))
 
 
-def stated(text: Column) -> Column:
+def stated(text: Column, forms: dict[str, str]) -> Column:
     """Whether a field holds a state in one of its forms."""
-    known = F.create_map(*[F.lit(x) for code, forms in STATES.items() for f in forms for x in (f, code.lower())])
-    return F.element_at(known, F.regexp_replace(folded(text), r"[ .]", "")).isNotNull()
+    return F.try_element_at(forms_map(forms), F.regexp_replace(folded(text), r"[ .]", "")).isNotNull()
 
 
 def references(places: DataFrame) -> DataFrame:
     """(place_id, state, name, n, k): every name of every place."""
     names = F.array("city_en", "city_ko", "other_name", "zip")
     state = folded(F.col("state_code"))
-    rows = places.limit(MAX_PLACES + 1).select("place_id", state.alias("state"), F.explode(names).alias("name"))
+    rows = places.select("place_id", state.alias("state"), F.explode(names).alias("name"))
     rows = rows.withColumn("name", key(folded(F.col("name")))).where("name <> ''").distinct()
     hangul = F.col("name").rlike(r"[가-힣]")
     return rows.withColumns({"n": F.length("name"), "k": F.when(F.col("name").rlike("^[0-9]+$"), 0).otherwise(edits(F.length("name"), hangul))})
@@ -73,17 +109,15 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
     told that contradicts every place of the name, none is named. Empty tables give no rows. More than ``MAX_PLACES`` places
     are refused.
     """
-    if places.limit(MAX_PLACES + 1).count() > MAX_PLACES:
-        raise ValueError(f"more than {MAX_PLACES} places")
-    known = F.create_map(*[F.lit(x) for code, forms in STATES.items() for f in forms for x in (f, code.lower())])
+    known = forms_map(state_forms(places))
     fields = rows.select(F.col(city).alias("city"), F.col(state).alias("state")).where(F.length(F.trim(F.regexp_replace(F.col("city"), r"[\s 　]+", " "))) > 0).distinct()
     split = lambda c: F.split(folded(F.coalesce(F.col(c), F.lit(""))), r"\s*[/,()\[\]|]\s*")
     stateless = lambda x: F.regexp_replace(x, r"[ .]", "")
-    parts = F.array_distinct(F.filter(F.concat(split("city"), split("state")), lambda x: F.length(x).between(1, 40)))
+    parts = F.array_distinct(F.filter(F.concat(split("city"), split("state")), lambda x: F.length(x) >= 1))
     fields = fields.withColumn("parts", parts)
-    told = F.array_distinct(F.array_compact(F.transform("parts", lambda x: F.element_at(known, stateless(x)))))
+    told = F.array_distinct(F.array_compact(F.transform("parts", lambda x: F.try_element_at(known, stateless(x)))))
     # "Harborview CA": a last word that is a state
-    last = F.array_compact(F.transform("parts", lambda x: F.when(F.length(F.regexp_extract(x, r"\s(\S{2,12})$", 1)) > 0, F.element_at(known, stateless(F.regexp_extract(x, r"\s(\S{2,12})$", 1))))))
+    last = F.array_compact(F.transform("parts", lambda x: F.when(F.length(F.regexp_extract(x, r"\s(\S{2,12})$", 1)) > 0, F.try_element_at(known, stateless(F.regexp_extract(x, r"\s(\S{2,12})$", 1))))))
     fields = fields.withColumn("told", F.array_distinct(F.concat(told, last)))
     names = F.filter(F.array_distinct(F.transform("parts", key)), lambda x: F.length(x) >= 2)
     fields = fields.withColumn("name", F.explode_outer(names))
@@ -98,6 +132,9 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
         " cast(floor(n / (k + 1)) + case when i >= k + 1 - n % (k + 1) then 1 else 0 end as int) as size))"
     )
     pieces = references(places).where("k > 0").withColumn("s", F.explode(seg)).select("place_id", F.col("name").alias("ref"), "n", "k", F.col("s.at").alias("at"), F.expr("substring(name, s.at + 1, s.size)").alias("piece"))
+    # a text longer or shorter than every reference by more than its edits is near none
+    lengths = references(places).where("k > 0").select(F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("size")).distinct()
+    fuzzy = fuzzy.withColumn("size", F.length("name")).join(F.broadcast(lengths), "size", "left_semi").drop("size")
     # the sizes that the references' own segments have
     sizes = F.broadcast(pieces.select(F.length("piece").alias("size")).distinct())
     grams = fuzzy.join(sizes, F.col("size") <= F.length("name"))
@@ -106,7 +143,7 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
     near = near.select("name", "ref", "place_id", "k").distinct().withColumn("distance", F.levenshtein("name", "ref")).where("distance <= k").select("name", "place_id", "distance")
     found = exact.unionByName(near).groupBy("name", "place_id").agg(F.min("distance").alias("distance"))
 
-    state_of = places.limit(MAX_PLACES + 1).select("place_id", folded(F.col("state_code")).alias("own"))
+    state_of = places.select("place_id", folded(F.col("state_code")).alias("own"))
     scored = fields.join(found, "name").join(F.broadcast(state_of), "place_id").withColumn("agrees", F.array_contains("told", F.col("own")))
     rank = F.struct((~F.col("agrees")).cast("int").alias("off"), F.col("distance").alias("distance"))
     per = scored.groupBy("city", "state", "place_id").agg(F.min(rank).alias("r"), F.first(F.size("told")).alias("told"))
@@ -121,7 +158,7 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
 
 def place_of_rows(listings: DataFrame, places: DataFrame) -> DataFrame:
     """(listing_id, place_id) of every listing with a city, but for those that already hold a reference row's names exactly."""
-    clean = places.select(F.col("city_en").alias("c"), F.col("state_code").alias("s")).distinct()
+    clean = checked(places).select(F.col("city_en").alias("c"), F.col("state_code").alias("s")).distinct()
     rows = listings.select("id", "city", F.col("state_or_province").alias("state"))
     rows = rows.join(F.broadcast(clean), (F.col("city") == F.col("c")) & (F.col("state") == F.col("s")), "left_anti")
     pairs = match_places(rows.withColumnRenamed("state", "state_or_province"), places)
