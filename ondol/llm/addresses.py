@@ -6,8 +6,9 @@
 3. Streets: within each locality and over all localities, spellings are counted; a spelling joins the entry that is the
    nearest within ``EDITS`` edits and at least ``RATIO`` times as frequent, entries of the same locality first. A spelling of
    more than ``RARE`` rows joins it only if slips give so many and its rows stand at the entry's houses (``explained``).
-4. Every address is resolved by a beam over the entries of its street and its locality: the ``BEAM`` best hypotheses of the
-   street are scored together with the localities in which the gazetteer knows that street and house number.
+4. Every address is resolved by a beam search over the entries of its street and its locality: the ``BEAM`` best hypotheses of
+   the street are extended by the locality of the address, or by the one in which the gazetteer knows that house, and the
+   best pair of street and locality stays.
 5. Rows join on locality, street identifier, direction, type and number. Units do not matter for a building.
 
 Only distinct spellings take part in comparisons; the rows move in equality joins.
@@ -25,6 +26,8 @@ EDITS, RATIO, BEAM = 3, 4, 3
 #: Rows up to which a spelling is rare whatever its neighbours, and how often, as against the rows of the entry itself, a
 #: misspelling's rows must stand at houses of the entry.
 RARE, ALIKE = 12, 0.75
+#: Rows of a building that one slice of its pairs has.
+SLICE = 512
 
 #: Directions and street types with their spellings.
 DIRECTIONS = {
@@ -38,7 +41,12 @@ TYPES = {
 }
 
 _forms = lambda table: "|".join(sorted((f for v in table.values() for f in v.split()), key=len, reverse=True))
-STREET = rf"(?<![\d#])(\d{{1,6}}) (?:({_forms(DIRECTIONS)})\b\.? )?([a-z][a-z'-]+(?: [a-z'-]+)?) ({_forms(TYPES)})\b\.?"
+_NAME = r"(?:\d{1,3}(?:st|nd|rd|th)|[a-z][a-z'.-]*)(?: [a-z][a-z'.-]*){0,3}?"
+#: number, direction, name of one to four words or a number in order, type; without a type a name that a comma ends, after a number
+#: that is no postal code; a Korean road (its name with a branch, then the number).
+STREET = rf"(?<![\d#])(\d{{1,6}}) (?:({_forms(DIRECTIONS)})\b\.? )?({_NAME}) ({_forms(TYPES)})\b\.?"
+UNTYPED = rf"(?<![\d#])(?!\d{{5}} )(\d{{1,6}}) (?:({_forms(DIRECTIONS)})\b\.? )?([a-z][a-z'-]{{2,}}(?: [a-z'-]+)?)() ?(?=[,/])"
+ROAD = r"([가-힣]+[로길]) ?(\d+ ?(?:번 ?)?길)? ?(\d+(?:-\d+)?)(?![\d호층동])"
 UNIT = r"(?:\b(?:apt|apartment|unit|ste|suite|rm|room)\b\.? ?#? ?[0-9a-z-]+|# ?[0-9a-z-]+|\d+ ?호)"
 
 
@@ -50,9 +58,14 @@ def parsed(rows: DataFrame, forms: dict[str, str], address: str = "address_raw")
     """Adds number, dir, street, kind (NULL where there is no street with a number) and rest (the locality part)."""
     t = F.regexp_replace(F.regexp_replace(P.folded(F.col(address)), UNIT, " , "), r"\s+", " ")
     rows = rows.withColumn("_t", t)
-    hit = F.regexp_extract_all("_t", F.lit(STREET), F.lit(0))
-    rows = rows.withColumn("_s", F.get(hit, F.lit(0))).withColumn("_rest", F.replace("_t", F.coalesce("_s", F.lit(" ")), F.lit(" , ")))
-    g = lambda k: F.nullif(F.regexp_extract("_s", STREET, k), F.lit(""))
+    whole = lambda p: F.nullif(F.regexp_extract("_t", p, 0), F.lit(""))
+    rows = rows.withColumn("_typed", whole(STREET)).withColumn("_road", F.when(F.col("_typed").isNull(), whole(ROAD)))
+    rows = rows.withColumn("_bare", F.when(F.col("_typed").isNull() & F.col("_road").isNull(), whole(UNTYPED)))
+    rows = rows.withColumn("_s", F.coalesce("_typed", "_road", "_bare")).withColumn("_rest", F.replace("_t", F.coalesce("_s", F.lit(" ")), F.lit(" , ")))
+    # the pattern of a part without a type looks ahead to a comma
+    part = lambda k: F.when(F.col("_typed").isNotNull(), F.regexp_extract("_s", STREET, k)).otherwise(F.regexp_extract(F.concat("_bare", F.lit(",")), UNTYPED, k))
+    g = lambda k: F.nullif(part(k), F.lit(""))
+    on_road = F.col("_road").isNotNull()
     known = P.forms_map(forms)
     words = F.split(F.regexp_replace("_rest", r"\bnew (york|jersey)\b", "new$1"), r"[ ,/]+")
     rows = rows.withColumn("_w", F.filter(words, lambda x: (x != "") & ~x.isin("usa", "u.s.a", "u.s.a.")))
@@ -61,15 +74,15 @@ def parsed(rows: DataFrame, forms: dict[str, str], address: str = "address_raw")
     name = F.array_join(F.filter("_w", lambda x: ~x.rlike(r"^\d{5}$") & F.try_element_at(known, bare(x)).isNull()), " ")
     return rows.withColumns(
         {
-            "number": F.regexp_replace(g(1), "^0+(?=.)", ""),
+            "number": F.when(on_road, F.regexp_extract("_road", ROAD, 3)).otherwise(F.regexp_replace(g(1), "^0+(?=.)", "")),
             "dir": F.coalesce(F.element_at(_map(DIRECTIONS), g(2)), F.lit("")),
-            "street": F.regexp_replace(g(3), r"[ '-]", ""),
-            "kind": F.element_at(_map(TYPES), g(4)),
+            "street": F.when(on_road, F.regexp_replace(F.concat(F.regexp_extract("_road", ROAD, 1), F.regexp_extract("_road", ROAD, 2)), "[ 번]", "")).otherwise(F.regexp_replace(g(3), r"[ '.-]", "")),
+            "kind": F.when(on_road, "road").when(F.col("_bare").isNotNull(), "none").otherwise(F.element_at(_map(TYPES), g(4))),
             "zip": F.get(F.filter("_w", lambda x: x.rlike(r"^\d{5}$")), F.lit(0)),
             "addr_state": F.get("_states", F.lit(0)),
             "addr_name": F.nullif(P.key(name), F.lit("")),
         }
-    ).drop("_t", "_s", "_rest", "_w", "_states")
+    ).drop("_t", "_typed", "_road", "_bare", "_s", "_rest", "_w", "_states")
 
 
 def localities(rows: DataFrame, places: DataFrame, forms: dict[str, str]) -> DataFrame:
@@ -195,20 +208,41 @@ def resolve(listings: DataFrame, places: DataFrame) -> DataFrame:
     same = F.col("locality") == F.col("_hl")
     for k in house:
         same = same & (F.col(k) == F.col(f"_h{k}"))
-    scored = open_rows.join(houses, same, "left").withColumn("_score", F.col("distance") - F.when(F.col("_hl").isNotNull(), 1).otherwise(0))
-    chosen = scored.groupBy("id").agg(F.min_by(F.struct("locality", *house), F.struct("_score", "distance", "rank")).alias("h")).select("id", "h.*")
+    scored = open_rows.join(houses, same, "left")
+    # a row without a locality is weighed at every hypothesis with the only locality that has this house
+    alone = houses.groupBy(*[F.col(f"_h{k}").alias(k) for k in house]).agg(F.min("_hl").alias("_one"), F.max("_hl").alias("_two")).where("_one = _two").drop("_two")
+    scored = scored.join(alone, house, "left").withColumn("_at", F.coalesce("locality", "_one"))
+    scored = scored.withColumn("_score", F.col("distance") - F.when(F.col("_hl").isNotNull() | (F.col("locality").isNull() & F.col("_one").isNotNull()), 1).otherwise(0))
+    chosen = scored.groupBy("id").agg(F.min_by(F.struct(F.col("_at").alias("locality"), *house), F.struct("_score", "distance", "rank")).alias("h")).select("id", "h.*")
     rows = plain.unionByName(chosen)
     only = rows.where("locality is not null").groupBy(*house).agg(F.min("locality").alias("_one"), F.max("locality").alias("_two")).where("_one = _two").drop("_two")
     lost = rows.where("locality is null").join(only, house, "left").withColumn("locality", F.col("_one")).drop("_one")
     return rows.where("locality is not null").unionByName(lost).select("id", "locality", *house)
 
 
-def same_building(listings: DataFrame, places: DataFrame) -> DataFrame:
-    """(listing_id_a, listing_id_b), a < b: all pairs of listings at the same house number, street and city."""
+def unparsed(listings: DataFrame, places: DataFrame) -> DataFrame:
+    """(listing_id, address_raw) of the listings whose address isn't blank but gives no house number with a street."""
+    rows = parsed(listings.select("id", "address_raw").where(F.length(F.trim("address_raw")) > 0), P.state_forms(places))
+    return rows.where("number is null or kind is null").select(F.col("id").alias("listing_id"), "address_raw")
+
+
+HOUSE = ["locality", "number", "dir", "entry", "kind"]
+
+
+def buildings(listings: DataFrame, places: DataFrame) -> DataFrame:
+    """(listing_id, building, links): the class of every listing that stands at a building, named by its least listing, and the
+    number of other listings there."""
     rows = materialize(resolve(listings, places).where("locality is not null"), "resolved")
-    keys = ["locality", "number", "dir", "entry", "kind"]
-    a, b = rows.alias("a"), rows.alias("b")
-    on = F.col("a.id") < F.col("b.id")
-    for k in keys:
-        on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    return a.join(b, on).select(F.col("a.id").alias("listing_id_a"), F.col("b.id").alias("listing_id_b"))
+    sizes = rows.groupBy(*HOUSE).agg(F.min("id").alias("building"), (F.count(F.lit(1)) - 1).alias("links"))
+    return rows.join(sizes, HOUSE).select(F.col("id").alias("listing_id"), "building", "links")
+
+
+def same_building(listings: DataFrame, places: DataFrame) -> DataFrame:
+    """(listing_id_a, listing_id_b), a < b: all pairs of listings at the same house number, street and city.
+
+    The pairs of a building are made in slices of about ``SLICE`` of its rows, so that one of many rows is no single task."""
+    rows = materialize(buildings(listings, places), "buildings")
+    slices = F.ceil((F.col("links") + 1) / SLICE).cast("int")
+    a = rows.where("links > 0").select(F.col("listing_id").alias("listing_id_a"), "building", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    b = rows.where("links > 0").select(F.col("listing_id").alias("listing_id_b"), "building", F.pmod(F.xxhash64("listing_id"), slices).cast("int").alias("slice"))
+    return a.join(b, ["building", "slice"]).where("listing_id_a < listing_id_b").select("listing_id_a", "listing_id_b")

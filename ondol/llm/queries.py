@@ -20,6 +20,14 @@ def p4_found(spark, sf_dir):
     return addresses.same_building(table(spark, sf_dir, "listings"), table(spark, sf_dir, "place_ref"))
 
 
+def p4_buildings(spark, sf_dir):
+    return addresses.buildings(table(spark, sf_dir, "listings"), table(spark, sf_dir, "place_ref"))
+
+
+def p4_unparsed(spark, sf_dir):
+    return addresses.unparsed(table(spark, sf_dir, "listings"), table(spark, sf_dir, "place_ref"))
+
+
 def p6_found(spark, sf_dir):
     return boilerplate.found(table(spark, sf_dir, "scraped_pages"), table(spark, sf_dir, "listings"))
 
@@ -49,7 +57,7 @@ def p10_found(spark, sf_dir):
     return sentences.found(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_clamped": p9_clamped, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_buildings": p4_buildings, "p4_unparsed": p4_unparsed, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_clamped": p9_clamped, "p10_found": p10_found}
 
 
 def _folded(x: str) -> str:

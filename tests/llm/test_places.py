@@ -101,3 +101,28 @@ def test_too_many_references_are_refused(spark, refs, monkeypatch):
     monkeypatch.setattr(places, "MAX_PLACES", 3)
     with pytest.raises(ValueError, match="places"):
         places.match_places(spark.createDataFrame([("Harborview", None)], "city string, state_or_province string"), refs)
+
+
+FORMS = [
+    (1, "123 Martin Luther King Blvd, Harborview"), (2, "123 Martin Luther King Boulevard Apt 4, Harborview"), (3, "45 5th Ave, Harborview, CA"), (4, "45 5th Avenue Harborview"), (5, "12 Broadway, Harborview"), (6, "12 Broadway , Harborview, CA"),
+    (7, "하버뷰 해오름로 29길 65-4"), (8, "해오름로29길 65-4, 하버뷰"), (9, "하버뷰 해오름로 29번길 65-5"), (10, "하버뷰 해오름로 65"), (11, "10037 Harborview, CA"), (12, "near the park"), (13, ""), (14, None), (15, "7 St. James Pl, Harborview"), (16, "7 St James Place, Harborview"),
+]
+
+
+def test_forms_of_streets_and_the_rest_reported(spark, refs):
+    df = spark.createDataFrame([(k, "Harborview", "CA", a) for k, a in FORMS], "id long, city string, state_or_province string, address_raw string")
+    assert rows(addresses.same_building(df, refs)) == [(1, 2), (15, 16), (3, 4), (5, 6), (7, 8)]
+    assert rows(addresses.unparsed(df, refs), "listing_id") == [(11,), (12,)]
+    assert {r.listing_id: (r.building, r.links) for r in addresses.buildings(df, refs).collect()}[4] == (3, 1)
+
+
+def test_a_large_building_is_paired_in_slices(spark, refs, monkeypatch):
+    monkeypatch.setattr(addresses, "SLICE", 7)
+    df = spark.createDataFrame([(k, "Harborview", "CA", "9 W Amberwick Ave, Harborview") for k in range(60)], "id long, city string, state_or_province string, address_raw string")
+    assert rows(addresses.same_building(df, refs)) == sorted([(a, b) for a in range(60) for b in range(60) if a < b], key=str)
+
+
+def test_states_of_the_reference(spark, refs):
+    forms = places.state_forms(refs)
+    assert forms["narae-do"] == forms["naraedo"] == forms["나래도"] == "나래도" and forms["california"] == forms["캘리포니아주"] == forms["calif"] == "ca" and "ohio" not in forms
+    assert places.state_forms(refs.limit(0)) == {}
