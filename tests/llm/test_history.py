@@ -78,6 +78,49 @@ def test_batch_by_batch_gives_the_same(spark):
     assert sorted(k for (k,) in at_once) == sorted(r[0] for r in close)
 
 
+def test_batches_end_to_end_read_their_weeks_only(spark, small):
+    places, rates, sources = small
+    old, new = made(120, 3), [(k, k // 20, t, c, at) for k, t, c, at in made(120, 5)]
+    schema = "id long, batch_no int, title_ko string, city string, posted_at_utc timestamp"
+    staging = spark.createDataFrame(new, schema).withColumn("state_or_province", F.lit(None).cast("string"))
+    listings = spark.createDataFrame([(k, 1, t, c, None, at.strftime("%Y-%m-%dT%H:%M:%SZ")) for k, t, c, at in old], "id long, source_id int, title_ko string, city string, state_or_province string, posted_at_utc string")
+    whole = [r[0] for r in rows(H.repeated(listings, staging, sources, places, rates))]
+    h = H.History(spark, places, rates)
+    h.add(h.dated(listings, sources), check=False)
+    steps = [r[0] for b in range(6) for r in rows(h.add(H.staged(staging.where(F.col("batch_no") == b))))]
+    assert sorted(steps) == sorted(whole) == brute(old, new)
+    # a batch of one late week reads the folders of that week and the two beside it
+    late = spark.createDataFrame([(9001, 12, new[0][2], "하버뷰", datetime.datetime(2025, 12, 2))], schema).withColumn("state_or_province", F.lit(None).cast("string"))
+    every = len(h.pivots.table().inputFiles())
+    week = H.pivoted(h.offers(H.staged(late))).first().week
+    read = h.pivots.table([week - 1, week, week + 1])
+    assert read.select("week").distinct().count() <= 3 and every > len({r.week for r in read.select("week").collect()})
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "week" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_names_once_given_stay(spark, small):
+    # four rows of another name two edits away come later: the rows stored before keep their name
+    places, rates, sources = small
+    at = datetime.datetime(2025, 12, 1)
+    schema = "id long, batch_no int, title_ko string, city string, posted_at_utc timestamp"
+    batch = lambda b, names: spark.createDataFrame([(100 * b + k, b, f"{n} 1단지 2b1b $1500", "하버뷰", at) for k, n in enumerate(names)], schema).withColumn("state_or_province", F.lit(None).cast("string"))
+    h = H.History(spark, places, rates)
+    assert rows(h.add(H.staged(batch(1, ["은하코트"])))) == []
+    assert rows(h.add(H.staged(batch(2, ["은하코브"] * 4)))) == [(201,), (202,), (203,)]
+    assert rows(h.add(H.staged(batch(3, ["은하코트", "은하코브"])))) == [(300,), (301,)]
+
+
+def test_the_metric_is_a_metric_and_pivots_bound_it(spark):
+    rng = random.Random(9)
+    data = [(k, rng.choice(["한빛파크", "한빛코브", "은하", "달빛맨션"]), rng.randrange(5), rng.randrange(3), 10 * rng.randrange(1, 3), rng.choice([150000, 160000]), rng.randrange(3), 1_700_000_000 + rng.randrange(10 * 86400)) for k in range(40)]
+    df = H.pivoted(spark.createDataFrame(data, "id long, name string, number int, beds int, baths int, rent long, place long, epoch long"))
+    a, b = (df.select(*[F.col(c).alias(f"{p}{c}") for c in df.columns]) for p in ("a_", "b_"))
+    for r in a.crossJoin(b).withColumn("d", H.distance("a_", "b_")).collect():
+        assert (r.d == 0) == (data[r.a_id][1:] == data[r.b_id][1:])
+        assert all(H.WEIGHT * abs(r[f"a_{c}"] - r[f"b_{c}"]) <= r.d + 1e-9 for c in H.DISTANCES)
+
+
 def test_a_hot_building_takes_no_rows_of_its_neighbours(spark, small):
     # a third of the rows and more is one building; a real one lies two edits away, others of few and of many rows one edit
     places, rates, sources = small
