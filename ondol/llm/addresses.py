@@ -40,6 +40,8 @@ TYPES = {
     "cir": "cir circle", "hwy": "hwy highway", "sq": "sq square", "trl": "trl trail",
 }
 
+#: A side of a join that grows with the data, whatever its estimate says, is sorted and merged, not broadcast.
+LARGE = "merge"
 _forms = lambda table: "|".join(sorted((f for v in table.values() for f in v.split()), key=len, reverse=True))
 _NAME = r"(?:\d{1,3}(?:st|nd|rd|th)|[a-z][a-z'.-]*)(?: [a-z][a-z'.-]*){0,3}?"
 #: number, direction, name of one to four words or a number in order, type; without a type a name that a comma ends, after a number
@@ -100,7 +102,7 @@ def localities(rows: DataFrame, places: DataFrame, forms: dict[str, str]) -> Dat
 
     def joined(left: DataFrame, city: str, to: str) -> DataFrame:
         r = answers.select(F.col("city").alias("_c"), F.coalesce("state", F.lit("\x00")).alias("_st"), F.col("place_id").alias(to))
-        return left.join(r, (F.col(city) == F.col("_c")) & (F.coalesce("_told", F.lit("\x00")) == F.col("_st")), "left").drop("_c", "_st")
+        return left.join(r.hint(LARGE), (F.col(city) == F.col("_c")) & (F.coalesce("_told", F.lit("\x00")) == F.col("_st")), "left").drop("_c", "_st")
 
     e = joined(joined(evidence, "addr_name", "_by_addr"), "_fields", "_by_field").join(zips, F.col("zip") == F.col("_z"), "left").drop("_z")
     place = F.coalesce("_by_zip", "_by_addr", "_by_field")
@@ -110,7 +112,7 @@ def localities(rows: DataFrame, places: DataFrame, forms: dict[str, str]) -> Dat
     alias = e.where("_own is not null and _field is not null and _own <> _field").groupBy("_field", "_own").count()
     alias = alias.groupBy("_field").agg(F.max_by("_own", F.struct("count", "_own")).alias("_alias"))
     named = e.where("_own is not null").select(F.col("_own").alias("_field")).distinct().withColumn("_is_name", F.lit(True))
-    e = e.join(alias, "_field", "left").join(named, "_field", "left")
+    e = e.join(alias.hint(LARGE), "_field", "left").join(named.hint(LARGE), "_field", "left")
     own = F.coalesce("_own", F.when(F.col("_is_name"), F.col("_field")), F.col("_alias"))
     return e.select("city", "state", "zip", "addr_state", "addr_name", F.coalesce(F.concat(F.lit("p"), F.col("_place").cast("string")), F.concat(F.lit("n:"), own)).alias("locality"))
 
@@ -140,7 +142,7 @@ def explained(rare: DataFrame, frequent: DataFrame, houses: DataFrame) -> DataFr
     entry's own rows meet each other there.
     """
     pairs = near(rare.select(F.col("street").alias("name")), frequent.select(F.col("street").alias("entry")))
-    pairs = pairs.join(rare.select(F.col("street").alias("name"), F.col("n").alias("own")), "name").join(frequent.select(F.col("street").alias("entry"), F.col("n").alias("of_entry")), "entry")
+    pairs = pairs.join(rare.select(F.col("street").alias("name"), F.col("n").alias("own")).hint(LARGE), "name").join(frequent.select(F.col("street").alias("entry"), F.col("n").alias("of_entry")).hint(LARGE), "entry")
     pairs = pairs.where(F.col("of_entry") >= F.when(F.col("distance") > 2, 3 * RATIO).otherwise(RATIO) * F.col("own"))
     pairs = materialize(pairs.where((F.col("own") <= RARE) | (F.col("own") <= F.col("of_entry") * F.pow(F.lit(2.0), -3 * F.col("distance") - 2))), "explained")
     doubtful = pairs.where(F.col("own") > RARE).select("name", "entry")
@@ -166,16 +168,16 @@ def streets(rows: DataFrame) -> DataFrame:
     # comparisons, as every spelling meets the entries of both
     most = everywhere.agg(F.max("n")).first()[0] or 0
     lead = F.col("n") >= max(RATIO, RATIO * int(most**0.5))
-    without = lambda frame, pairs: frame.join(pairs.select(F.col("name").alias("street")).distinct(), "street", "left_anti")
+    without = lambda frame, pairs: frame.join(pairs.select(F.col("name").alias("street")).distinct().hint(LARGE), "street", "left_anti")
     leading, others = everywhere.where(lead), everywhere.where(~lead)
     merged = materialize(explained(leading, leading, houses), "spellings")
     entries = without(leading, merged)
     first = materialize(explained(others, entries, houses), "spellings")
     left = materialize(without(others, first).where(F.col("n") >= RATIO), "left")
     lesser = without(left, materialize(explained(left, left, houses), "spellings"))
-    pairs = merged.join(entries.select(F.col("street").alias("entry")), "entry", "left_semi").unionByName(first).unionByName(explained(others, lesser, houses))
+    pairs = merged.join(entries.select(F.col("street").alias("entry")).hint(LARGE), "entry", "left_semi").unionByName(first).unionByName(explained(others, lesser, houses))
     known = here.select(F.col("locality").alias("_l"), F.col("street").alias("_s"), F.col("n").alias("local"))
-    scored = here.join(pairs, F.col("street") == F.col("name")).join(known, F.col("_l").eqNullSafe(F.col("locality")) & (F.col("_s") == F.col("entry")), "left")
+    scored = here.join(pairs.hint(LARGE), F.col("street") == F.col("name")).join(known.hint(LARGE), F.col("_l").eqNullSafe(F.col("locality")) & (F.col("_s") == F.col("entry")), "left")
     order = F.struct("distance", F.col("local").isNull().alias("away"), (-F.coalesce("local", F.lit(0))).alias("l"), (-F.col("of_entry")).alias("o"), "entry")
     beam = scored.groupBy("locality", "street").agg(F.array_sort(F.collect_list(order)).alias("beam"))
     return beam.select("locality", "street", F.posexplode(F.slice("beam", 1, BEAM)).alias("rank", "h")).select("locality", "street", "rank", "h.entry", "h.distance")
@@ -197,26 +199,26 @@ def resolve(listings: DataFrame, places: DataFrame) -> DataFrame:
     cond = F.coalesce("city", null) == F.coalesce("_city", null)
     for k in keys[1:]:
         cond = cond & (F.coalesce(k, null) == F.coalesce(f"_{k}", null))
-    rows = materialize(rows.join(where, cond, "left").select("id", "number", "dir", "street", "kind", "locality"), "located")
+    rows = materialize(rows.join(where.hint(LARGE), cond, "left").select("id", "number", "dir", "street", "kind", "locality"), "located")
     house = ["number", "dir", "entry", "kind"]
     beams = materialize(streets(rows).withColumnsRenamed({"locality": "_l", "street": "_s"}), "gazetteer")
-    typed = rows.join(beams.select("_l", "_s").distinct(), F.coalesce("locality", null).eqNullSafe(F.coalesce("_l", null)) & (F.col("street") == F.col("_s")), "left")
+    typed = rows.join(beams.select("_l", "_s").distinct().hint(LARGE), F.coalesce("locality", null).eqNullSafe(F.coalesce("_l", null)) & (F.col("street") == F.col("_s")), "left")
     plain = typed.where("_s is null").select("id", "locality", "number", "dir", F.col("street").alias("entry"), "kind")
     # hypotheses of the misspelt rows; a house that the gazetteer knows outweighs one edit
-    open_rows = typed.where("_s is not null").drop("_l", "_s").join(beams, F.coalesce("locality", null).eqNullSafe(F.coalesce("_l", null)) & (F.col("street") == F.col("_s")))
+    open_rows = typed.where("_s is not null").drop("_l", "_s").join(beams.hint(LARGE), F.coalesce("locality", null).eqNullSafe(F.coalesce("_l", null)) & (F.col("street") == F.col("_s")))
     houses = plain.where("locality is not null").select(F.col("locality").alias("_hl"), *[F.col(k).alias(f"_h{k}") for k in house]).distinct()
     same = F.col("locality") == F.col("_hl")
     for k in house:
         same = same & (F.col(k) == F.col(f"_h{k}"))
-    scored = open_rows.join(houses, same, "left")
+    scored = open_rows.join(houses.hint(LARGE), same, "left")
     # a row without a locality is weighed at every hypothesis with the only locality that has this house
     alone = houses.groupBy(*[F.col(f"_h{k}").alias(k) for k in house]).agg(F.min("_hl").alias("_one"), F.max("_hl").alias("_two")).where("_one = _two").drop("_two")
-    scored = scored.join(alone, house, "left").withColumn("_at", F.coalesce("locality", "_one"))
+    scored = scored.join(alone.hint(LARGE), house, "left").withColumn("_at", F.coalesce("locality", "_one"))
     scored = scored.withColumn("_score", F.col("distance") - F.when(F.col("_hl").isNotNull() | (F.col("locality").isNull() & F.col("_one").isNotNull()), 1).otherwise(0))
     chosen = scored.groupBy("id").agg(F.min_by(F.struct(F.col("_at").alias("locality"), *house), F.struct("_score", "distance", "rank")).alias("h")).select("id", "h.*")
     rows = plain.unionByName(chosen)
     only = rows.where("locality is not null").groupBy(*house).agg(F.min("locality").alias("_one"), F.max("locality").alias("_two")).where("_one = _two").drop("_two")
-    lost = rows.where("locality is null").join(only, house, "left").withColumn("locality", F.col("_one")).drop("_one")
+    lost = rows.where("locality is null").join(only.hint(LARGE), house, "left").withColumn("locality", F.col("_one")).drop("_one")
     return rows.where("locality is not null").unionByName(lost).select("id", "locality", *house)
 
 

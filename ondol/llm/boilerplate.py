@@ -29,6 +29,8 @@ from ..session import spread
 TRAIN_PAGES = 2000
 #: Pages of the sample with more nodes than this don't train the model (all pages are labelled by it).
 TRAIN_NODES = 500
+#: Characters of a block that counts as content where nothing could be learnt.
+PLAIN = 40
 #: Hash buckets of the features, steps and regularisation of the fit, and the weight of the parent-child potentials.
 BUCKETS, STEPS, DECAY, PAIR_WEIGHT = 1 << 18, 120, 1e-4, 0.5
 
@@ -299,7 +301,7 @@ def labelled(html: str, body: str) -> list[tuple[Node, list[str], int]] | None:
     return [(x, fs, label.get(id(x), int(size[id(x)][1] > size[id(x)][0]))) for x, fs in done]
 
 
-def fit(pages: DataFrame, listings: DataFrame) -> Model:
+def fit(pages: DataFrame, listings: DataFrame) -> Model | None:
     """Potentials from at most ``TRAIN_PAGES`` pages whose url is that of a listing with a body."""
     good = pages.where("html_content is not null and http_status = 200").select("id", F.col("url").alias("_u"), "html_content")
     # the sample: the pages with the smallest hashes; only their ids and urls are broadcast, at most TRAIN_PAGES of each
@@ -323,26 +325,31 @@ def fit(pages: DataFrame, listings: DataFrame) -> Model:
     return trained(both.mapInPandas(run, "buckets array<int>, label int, parent int").toPandas())
 
 
-def trained(nodes_of_sample: pd.DataFrame) -> Model:
-    """The model of labelled nodes (buckets, label, parent: the label of the parent or -1)."""
+def trained(nodes_of_sample: pd.DataFrame) -> Model | None:
+    """The model of labelled nodes (buckets, label, parent: the label of the parent or -1), None without any."""
     sizes = nodes_of_sample.buckets.map(len).to_numpy(dtype=np.int64)
     rows = np.repeat(np.arange(len(sizes)), sizes)
     buckets = np.concatenate([np.asarray(b, dtype=np.int64) for b in nodes_of_sample.buckets]) if len(sizes) else np.zeros(0, dtype=np.int64)
+    if not len(sizes):
+        return None
     w, bias = regression(rows, buckets, nodes_of_sample.label.to_numpy(dtype=float))
     pairs = nodes_of_sample[nodes_of_sample.parent >= 0].groupby(["parent", "label"]).size()
     return Model(w, bias, {(int(p), int(c)): int(n) for (p, c), n in pairs.items()})
 
 
-def content(html: str, model: Model) -> list[str]:
-    """The paragraphs of the main content of one page, in order."""
+def content(html: str, model: Model | None) -> list[str]:
+    """The paragraphs of the main content of one page, in order. Without a model, where no page could be labelled, these are the
+    blocks of at least ``PLAIN`` characters of which less than a third are links."""
     root, blocks = tree(html)
     if not blocks:
         return []
+    if model is None:
+        return [b.text for b in blocks if len(b.text) >= PLAIN and 3 * b.links < len(b.text)]
     p = marginals(root, described(root, blocks), model)
     return [b.text for b in blocks if p[id(b)] > 0.5]
 
 
-def main_content(pages: DataFrame, model: Model) -> DataFrame:
+def main_content(pages: DataFrame, model: Model | None) -> DataFrame:
     """(page_id, position, paragraph) of all pages. NULL, empty and failed pages (status other than 200) have no content."""
     shared = pages.sparkSession.sparkContext.broadcast(model)
 

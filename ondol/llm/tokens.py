@@ -27,7 +27,7 @@ from ..session import spread
 DEFAULT = "byte_bpe_50k"
 #: The usual pre-tokenisation of this kind of vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_STATES, MAX_WORDS = 400_000, 400_000
+MAX_STATES, MAX_WORDS, MAX_PAIRS = 400_000, 400_000, 2_000_000
 
 
 def vocabulary(path: str) -> dict[bytes, int]:
@@ -125,6 +125,8 @@ class Transducer:
         """The ids of one piece of the pre-tokenisation."""
         if len(self.states) > MAX_STATES:
             self._fresh()
+        if len(self.follow) > MAX_PAIRS:
+            self.follow.clear()
         out: list[int] = []
         state, moves = 0, self.moves
         for byte in data:

@@ -71,3 +71,11 @@ def test_empty_tables(spark):
     pages = spark.createDataFrame([], "id long, url string, html_content string, http_status int")
     listings = spark.createDataFrame([], "url string, body_ko string")
     assert B.found(pages, listings).count() == 0
+
+
+def test_pages_without_any_label_fall_back_to_long_blocks(spark):
+    long = "The room is bright and quiet, and the bus stop is near the house."
+    page = f"<body><nav><a href=/a>{'home ' * 20}</a></nav><p>{long}</p><p>short</p></body>"
+    pages = spark.createDataFrame([(1, "u", page, 200), (2, "v", None, 200)], "id long, url string, html_content string, http_status int")
+    listings = spark.createDataFrame([("w", "other")], "url string, body_ko string")
+    assert [r.paragraph for r in B.main_content(pages, B.fit(pages, listings)).collect()] == [long]
