@@ -16,12 +16,12 @@ keys by a join, so that no process holds the counts of the whole corpus.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +62,7 @@ def shape(word: str) -> str:
 
 @lru_cache(maxsize=1 << 17)
 def key(*parts: str) -> int:
-    return int.from_bytes(hashlib.blake2b("\x01".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+    return xxhash.xxh3_64_intdigest("\x01".join(parts).encode("utf-8", "replace")) - (1 << 63)
 
 
 @lru_cache(maxsize=1 << 17)
@@ -113,14 +113,32 @@ def contexts(kind: str, before2: str, before1: str, word: str, bare: str, emotic
     return key(kind, "e", bare[-2:] + trailed), key(kind, "1", bare + trailed), key(kind, "2", before1, bare), key(kind, "3", before2, before1, bare)
 
 
-def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[Gap]]:
-    """The tokens of a paragraph and the gaps after each but the last. A gap's kind: mark, line, space, quote or none;
-    fixed is True or False where the event is certain."""
+@lru_cache(maxsize=1 << 17)
+def settled(word: str, after: str, broken: bool) -> bool | None:
+    """Whether the mark at the end of a word certainly ends a sentence; None where the model decides."""
+    tail = word.rstrip("ㅋㅎㅠㅜ^~♥")
+    closed = tail[-1:] in CLOSERS
+    stop = tail.rstrip(CLOSERS)
+    if closed and (GOES_ON.match(after) or after[:1].islower() or after[:1] in ",;:、，"):
+        return False
+    if (closed and stop[-1:] in STOPS) or stop[-1:] in "!?。！？｡":
+        # a mark that is no full stop ends a sentence unless the text goes on in lower case
+        return not (after[:1].islower() and not broken)
+    return None
+
+
+@lru_cache(maxsize=1 << 17)
+def beginning(shape_: str) -> int:
+    return key("b", shape_)
+
+
+def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[Gap], list[tuple[str, str, bool, bool]]]:
+    """The tokens of a paragraph, the gaps after each but the last, and what is known of the words. A gap's kind: mark, line or
+    space; fixed is True or False where the event is certain."""
     part = text[start:end]
     tokens = [m.span() for m in TOKEN.finditer(part)]
     if not tokens:
-        return [], []
-    lines: list[int] = []
+        return [], [], []
     breaks = [m.span() for m in LINE.finditer(part)]
     edges = [0, *[b for _, b in breaks], len(part)]
     alone = []
@@ -128,113 +146,124 @@ def units(text: str, start: int, end: int) -> tuple[list[tuple[int, int]], list[
         line = part[edges[k] : edges[k + 1]]
         stripped = line.strip()
         alone.append(bool(stripped) and bool(BULLET.match(line) or BRACKETED.match(line) or (len(stripped) > 4 and stripped.startswith("==") and stripped.endswith("==")) or (stripped[-1] in ":：" and len(stripped) <= 40)))
-    row, k = [], 0
-    for a, _ in tokens:
-        while k + 1 < len(edges) - 1 and edges[k + 1] <= a:
-            k += 1
-        row.append(k)
+    if breaks:
+        row, k = [], 0
+        for a, _ in tokens:
+            while k + 1 < len(edges) - 1 and edges[k + 1] <= a:
+                k += 1
+            row.append(k)
+    else:
+        row = [0] * len(tokens)
     inside = quoted(part)
     words = [part[a:b] for a, b in tokens]
     known = [looked_up(w) for w in words]
-    emote = [x[3] for x in known]
-    shapes = [x[0] for x in known]
+    emotes = any(x[3] for x in known)
     gaps: list[Gap] = []
     q = 0
+    before2 = before1 = "<s>"
     for i in range(len(tokens) - 1):
         g = Gap()
-        a, b = tokens[i][1], tokens[i + 1][0]
         word, after = words[i], words[i + 1]
-        g.word, g.after, g.fixed = word, after, None
+        form, bare, ends, emote = known[i]
         broken = row[i] != row[i + 1]
-        while q < len(inside) and inside[q][1] < a:
-            q += 1
-        in_quote = q < len(inside) and inside[q][0] < a and b < inside[q][1]
+        in_quote = False
+        if inside:
+            a, b = tokens[i][1], tokens[i + 1][0]
+            while q < len(inside) and inside[q][1] < a:
+                q += 1
+            in_quote = q < len(inside) and inside[q][0] < a and b < inside[q][1]
         first = i == 0 or row[i - 1] != row[i]
-        # an emoticon shares the context of the word before it
-        j = i
-        while j and emote[j]:
-            j -= 1
-        marked = known[i][2] and not emote[i]
-        marked_before = emote[i] and known[j][2]
-        g.kind = "mark" if marked or emote[i] else "line" if broken else "space"
-        g.contexts = contexts("m" if g.kind == "mark" else "w", shapes[j - 2] if j > 1 else "<s>", shapes[j - 1] if j else "<s>", shapes[j], known[j][1], emote[i])
-        g.following = key("b", shapes[i + 1])
+        marked_before = False
+        if emotes and emote:
+            # an emoticon shares the context of the word before it
+            j = i
+            while j and known[j][3]:
+                j -= 1
+            marked_before = known[j][2]
+            kind = "mark"
+            g.contexts = contexts("m", known[j - 2][0] if j > 1 else "<s>", known[j - 1][0] if j else "<s>", known[j][0], known[j][1], True)
+        else:
+            kind = "mark" if ends else "line" if broken else "space"
+            g.contexts = contexts("m" if ends else "w", before2, before1, form, bare, False)
+        before2, before1 = before1, form
+        fixed = None
         if broken and (alone[row[i]] or alone[row[i + 1]]):
-            g.fixed = True
-        elif in_quote:
-            g.fixed = False
-        elif emote[i + 1] and not broken:
-            g.fixed = False
-        elif first and NUMBER_LEAD.match(word) and not broken:
-            g.fixed = False
+            fixed = True
+        elif in_quote or (emotes and known[i + 1][3] and not broken):
+            fixed = False
+        elif first and not broken and NUMBER_LEAD.match(word):
+            fixed = False
         elif broken and NUMBER_LEAD.match(after):
-            g.fixed = True
-        elif emote[i] and (marked_before or (word[-1:] in "!?.…" and len(word) > 1)):
-            g.fixed = True
-        elif marked:
-            tail = word.rstrip("ㅋㅎㅠㅜ^~♥")
-            closed = tail[-1:] in CLOSERS
-            stop = tail.rstrip(CLOSERS)
-            if closed and (GOES_ON.match(after) or after[:1].islower() or after[:1] in ",;:、，"):
-                g.fixed = False
-            elif (closed and stop[-1:] in STOPS) or stop[-1:] in "!?。！？｡":
-                # a mark that is no full stop ends a sentence unless the text goes on in lower case
-                g.fixed = not (after[:1].islower() and not broken)
+            fixed = True
+        elif emote and (marked_before or (word[-1:] in "!?.…" and len(word) > 1)):
+            fixed = True
+        elif ends and not emote:
+            fixed = settled(word, after, broken)
+        g.kind, g.fixed, g.word, g.after, g.following = kind, fixed, word, after, beginning(known[i + 1][0])
         gaps.append(g)
-    return tokens, gaps
+    return tokens, gaps, known
 
 
-def observed(text: str) -> Iterator[tuple[int, int]]:
-    """(key, 1 if a certain end or beginning) of every context of a document."""
+BASE = key("base")
+
+
+def observe(text: str, counts: dict[int, list[int]]) -> None:
+    """Adds to counts, key -> [seen, certain ends or beginnings], every context of a document."""
+
+    def add(k: int, ended: int) -> None:
+        c = counts.get(k)
+        if c is None:
+            counts[k] = [1, ended]
+        else:
+            c[0] += 1
+            c[1] += ended
+
     for start, end in paragraphs(text):
-        tokens, gaps = units(text, start, end)
+        tokens, gaps, known = units(text, start, end)
         if not tokens:
             continue
-        for k, g in enumerate(gaps):
-            if g.fixed is not None and g.kind != "mark":
+        for g in gaps:
+            fixed, kind = g.fixed, g.kind
+            if fixed is not None and kind != "mark":
                 continue
-            ends = 1 if g.kind == "line" else 0
+            ends = 1 if kind == "line" else 0
             for c in g.contexts:
-                yield c, ends
-            yield g.following, 1 if g.kind == "mark" and g.fixed or (g.kind == "line") else 0
-        last = [looked_up(text[start + x : start + y]) for x, y in tokens[-6:]]
-        emoticon = last[-1][3]
-        while len(last) > 1 and last[-1][3]:
-            last.pop()
-        forms = ["<s>", "<s>", *[x[0] for x in last]]
-        kind = "m" if emoticon or last[-1][2] else "w"
-        for c in contexts(kind, forms[-3], forms[-2], forms[-1], last[-1][1], emoticon):
-            yield c, 1
-        yield key("b", shape(text[start + tokens[0][0] : start + tokens[0][1]])), 1
-        # what ends with a mark that is never part of a word tells how often ends are followed by a paragraph's end
-        for g in gaps:
-            if g.kind == "mark" and g.fixed:
-                yield key("base"), 0
+                add(c, ends)
+            add(g.following, 1 if ends or (kind == "mark" and fixed) else 0)
+            # what ends with a mark that is never part of a word tells how often ends are followed by a paragraph's end
+            if fixed and kind == "mark":
+                add(BASE, 0)
+        j = len(known) - 1
+        emoticon = known[j][3]
+        while j and known[j][3]:
+            j -= 1
+        kind = "m" if emoticon or known[j][2] else "w"
+        for c in contexts(kind, known[j - 2][0] if j > 1 else "<s>", known[j - 1][0] if j else "<s>", known[j][0], known[j][1], emoticon):
+            add(c, 1)
+        add(beginning(known[0][0]), 1)
         if kind == "m" and text[start + tokens[-1][1] - 1] in "!?。！？":
-            yield key("base"), 1
+            add(BASE, 1)
 
 
 def counted(documents: DataFrame, text: str = "text") -> DataFrame:
     """(chunk, key, seen, ended): the counts by key of every chunk (column chunk); each chunk has at least the key of the base."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[tuple[int, int], list[int]] = {}
+        counts: dict[int, dict[int, list[int]]] = {}
 
         def table() -> pd.DataFrame:
-            return pd.DataFrame([(chunk, k, n, e) for (chunk, k), (n, e) in counts.items()], columns=["chunk", "key", "seen", "ended"])
+            return pd.DataFrame([(chunk, k, n, e) for chunk, own in counts.items() for k, (n, e) in own.items()], columns=["chunk", "key", "seen", "ended"])
 
         for pdf in batches:
             for chunk, t in zip(pdf["chunk"].tolist(), pdf[text]):
-                counts.setdefault((chunk, key("base")), [0, 0])
-                for k, e in observed(t) if t else ():
-                    c = counts.get((chunk, k))
-                    if c is None:
-                        c = counts[chunk, k] = [0, 0]
-                    c[0] += 1
-                    c[1] += e
-                if len(counts) > HELD:
-                    yield table()
-                    counts.clear()
+                own = counts.get(chunk)
+                if own is None:
+                    own = counts[chunk] = {BASE: [0, 0]}
+                if t:
+                    observe(t, own)
+            if sum(map(len, counts.values())) > HELD:
+                yield table()
+                counts.clear()
         yield table()
 
     rows = documents.select("chunk", text).mapInPandas(run, "chunk int, key bigint, seen bigint, ended bigint")
@@ -251,7 +280,7 @@ class Model:
     def __init__(self, counts: Mapping[int, tuple[int, int]]):
         self.counts = counts
         self.kept: dict[tuple, float] = {}
-        seen, ended = self.of(key("base"))
+        seen, ended = self.of(BASE)
         # the share of certain sentence ends that end a paragraph
         self.base = min(1.0, max(0.05, (ended + 1) / (seen + 3)))
 
@@ -327,7 +356,7 @@ def sentences(text: str | None, model: Model) -> list[tuple[int, int]]:
     if not text:
         return out
     for start, end in paragraphs(text):
-        tokens, gaps = units(text, start, end)
+        tokens, gaps, _ = units(text, start, end)
         if not tokens:
             continue
         begin = tokens[0][0]

@@ -164,7 +164,7 @@ def test_posteriors_equal_enumeration(model):
     import itertools
     import math
 
-    _, gaps = sentences.units("Apt. No. 9 faces p.m. The x ok", 0, 30)
+    _, gaps, _ = sentences.units("Apt. No. 9 faces p.m. The x ok", 0, 30)
     own = [1.0 if g.fixed else 0.0 if g.fixed is False else model.probability(g) for g in gaps]
     short = [sentences.SHORT if i and all(g.fixed is None and g.kind != "line" for g in gaps[i - 1 : i + 1]) else 1.0 for i in range(len(gaps))]
     total, mass = 0.0, [0.0] * len(gaps)
