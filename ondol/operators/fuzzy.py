@@ -16,6 +16,8 @@ from ..session import materialize
 from .relational import window_pairs
 
 MAX_ROUNDS = 200
+#: Nodes of a block and a range of days that one slice of its pairs has.
+SLICE = 1000
 
 
 def _tokens(text: Column) -> Column:
@@ -24,7 +26,7 @@ def _tokens(text: Column) -> Column:
 
 def similar_pairs(nodes: DataFrame, days: int, threshold: float) -> DataFrame:
     """(a, b): nodes (node, block, day, text) of a block, a before b, within the bounds."""
-    pairs = window_pairs(nodes, ["block"], "day", "node", days, ["text"])
+    pairs = window_pairs(nodes, ["block"], "day", "node", days, ["text"], SLICE)
     # a bound without the exact similarity: a common token, or joined token sets whose lengths allow it
     x, y = _tokens(F.col("a_text")), _tokens(F.col("b_text"))
     n, m = F.length(F.array_join(x, " ")), F.length(F.array_join(y, " "))

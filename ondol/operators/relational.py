@@ -35,9 +35,10 @@ def differences(named: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     return out
 
 
-def window_pairs(df: DataFrame, block: list[str], day: str, order: str, days: int, keep: list[str]) -> DataFrame:
+def window_pairs(df: DataFrame, block: list[str], day: str, order: str, days: int, keep: list[str], slice_rows: int | None = None) -> DataFrame:
     """Pairs a, b of a block with order a < b and at most ``days`` days between them, by ranges of days: each row meets only the
-    rows of its own and the two neighbouring ranges."""
+    rows of its own and the two neighbouring ranges. With ``slice_rows`` the rows of a range of a block are met in slices of about
+    as many, so that a hot block is spread over tasks."""
     slot = F.floor(F.datediff(F.col(day), F.lit("1970-01-01").cast("date")) / days)
     cols = list(dict.fromkeys([*block, day, order, *keep]))
     a = df.select(*[F.col(c).alias(f"a_{c}") for c in cols], F.explode(F.array(slot - 1, slot, slot + 1)).alias("_s"))
@@ -45,8 +46,22 @@ def window_pairs(df: DataFrame, block: list[str], day: str, order: str, days: in
     on = F.col("_s") == F.col("_t")
     for c in block:
         on = on & (F.col(f"a_{c}") == F.col(f"b_{c}"))
-    on = on & (F.col(f"a_{order}") < F.col(f"b_{order}")) & (F.abs(F.datediff(F.col(f"a_{day}"), F.col(f"b_{day}"))) <= days)
-    return a.join(b, on).drop("_s", "_t")
+    near = (F.col(f"a_{order}") < F.col(f"b_{order}")) & (F.abs(F.datediff(F.col(f"a_{day}"), F.col(f"b_{day}"))) <= days)
+    if slice_rows:
+        keys = [f"b_{c}" for c in block]
+        sizes = b.groupBy(*keys, "_t").agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("_n"))
+        large = sizes.where("_n > 1").withColumnsRenamed({k: f"_{k}" for k in keys}).withColumnRenamed("_t", "_of")
+        of = F.lit(True)
+        for k in keys:
+            of = of & (F.col(k) == F.col(f"_{k}"))
+        drop = [*[f"_{k}" for k in keys], "_of", "_n"]
+        b = b.join(large, of & (F.col("_t") == F.col("_of")), "left").withColumn("_y", F.pmod(F.xxhash64(f"b_{order}"), F.coalesce("_n", F.lit(1))).cast("int")).drop(*drop)
+        of = F.lit(True)
+        for c in block:
+            of = of & (F.col(f"a_{c}") == F.col(f"_b_{c}"))
+        a = a.join(large, of & (F.col("_s") == F.col("_of")), "left").withColumn("_x", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1))).drop(*drop)
+        on = on & (F.col("_x") == F.col("_y"))
+    return a.join(b, on & near).drop("_s", "_t", "_x", "_y")
 
 
 def until_first_stale(pages: DataFrame, group: list[str], page: str, stale: Column) -> DataFrame:

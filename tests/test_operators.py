@@ -38,6 +38,8 @@ def test_window_pairs_against_brute_force(spark):
     got = rows(relational.window_pairs(spark.createDataFrame(data, "id long, g string, day date"), ["g"], "day", "id", 7, []), "a_id", "b_id")
     want = sorted(((x[0], y[0]) for x in data for y in data if x[0] < y[0] and x[1] == y[1] and abs((x[2] - y[2]).days) <= 7), key=str)
     assert got == want
+    sliced = relational.window_pairs(spark.createDataFrame(data, "id long, g string, day date"), ["g"], "day", "id", 7, [], 3)
+    assert rows(sliced, "a_id", "b_id") == want and "_x" not in sliced.columns
 
 
 def greedy(data, days=7, threshold=0.9):
