@@ -65,6 +65,7 @@ ADDRESS = re.compile(
     rf"(?<![\w#$.-])\d{{1,6}}(?:-\d+)?\s+(?:(?:North|South|East|West|No|So|N|S|E|W|NE|NW|SE|SW)\b\.?\s+)?(?:[A-Z][A-Za-z'-]+\s+){{1,3}}{TYPES}(?![A-Za-z])\.?", re.I
 )
 KO_ADDRESS = re.compile(r"(?<![가-힣\w])[가-힣]+[로길]\s?(?:\d+(?:번)?길\s?)?\d+(?:-\d+)?(?!\d|[층호분개월부년명%]|\s?(?:층|분|개월|달러))")
+HOUSE, ON_ROAD = re.compile(r"\d\s+[A-Za-z]"), re.compile(r"[로길]\s?\d")
 DIGITS = re.compile(r"\d{3}|공[일이삼사오육칠팔구공]|[로길] ?\d|\d [A-Z]", re.I)
 #: Forms that nothing else has; the others are decided by the contexts in which they stand.
 SURE = re.compile(r"\S*@\S*|\+.*|.*\(\d.*|(?:1[-. ])?\d{2,3}[-. ]\d{3,4}[-. ]\d{4}|\d{6}\s?-\s?\d{7}|\d.*[A-Za-z]\.?")
@@ -97,8 +98,10 @@ def structured(t: str) -> list[tuple[int, int, str]]:
     if ("@" in t or "골뱅이" in t or "at" in t.lower()) and EMAIL_HINT.search(t):
         out += [(m.start(), m.end(), "EMAIL") for m in EMAIL.finditer(t)]
     if NUMERAL.search(t) and DIGITS.search(t):
-        for kind, pattern in (("ID_NUMBER", ID_NUMBER), ("PHONE", PHONE), ("ADDRESS", ADDRESS), ("ADDRESS", KO_ADDRESS)):
-            for m in pattern.finditer(t):
+        # every number of a person or a telephone has eight digits, or begins with a spelt-out zero
+        long = "공" in t or sum(map(len, NUMBER.findall(t))) >= 8
+        for kind, pattern, possible in (("ID_NUMBER", ID_NUMBER, long), ("PHONE", PHONE, long), ("ADDRESS", ADDRESS, HOUSE.search(t)), ("ADDRESS", KO_ADDRESS, ON_ROAD.search(t))):
+            for m in pattern.finditer(t) if possible else ():
                 start, end = m.span()
                 if all(end <= x or start >= y for x, y, _ in out):
                     out.append((start, end, kind))
@@ -320,7 +323,7 @@ def spans(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
     of them gives if they repeat its text. Empty tables give no rows."""
     all_ = materialize(found(rows, id_column, columns), "candidates")
     texts = all_.where("field is not null").select("id", "field", "at", "segment")
-    described = materialize(all_.where("key is not null").groupBy("key").agg(*[F.first(c).alias(c) for c in ("kind", "sure", "term", "left", "right")]), "described")
+    described = materialize(all_.where("key is not null").select("key", "kind", "sure", "term", "left", "right").distinct(), "described")
     place = F.arrays_zip(F.col("keys").alias("key"), F.col("places").alias("place"))
     read = all_.where("keys is not null").select("segment", F.explode(place).alias("c")).select("segment", "c.key", "c.place")
     hits = read.join(disclosed(described), "key")
