@@ -225,6 +225,8 @@ def resolve(listings: DataFrame, places: DataFrame) -> DataFrame:
 def unparsed(listings: DataFrame, places: DataFrame) -> DataFrame:
     """(listing_id, address_raw) of the listings whose address isn't blank but gives no house number with a street."""
     rows = parsed(listings.select("id", "address_raw").where(F.length(F.trim("address_raw")) > 0), P.state_forms(places))
+    # as in ``resolve`` the filter waits until the columns are written
+    rows = materialize(rows.select("id", "address_raw", "number", "kind"), "parsed")
     return rows.where("number is null or kind is null").select(F.col("id").alias("listing_id"), "address_raw")
 
 
