@@ -24,6 +24,7 @@ def legacy_date(text: Column, now: Column) -> Column:
 def legacy_price(text: Column) -> dict[str, Column]:
     """rent, lease_type and currency: the first number only; won above 10000 are divided by 1200, whole dollars."""
     low, empty = F.lower(text), F.coalesce(text, F.lit("")) == ""
+    # fixed values: the words of each kind of lease in their order, the bound and the rate of won
     lease = F.when(text.contains("월세"), "monthly_rent").when(text.contains("보증금"), "deposit").when(text.contains("전세"), "jeonse").when(low.rlike("단기|short"), "short_term").when(low.rlike("리스|lease"), "lease")
     number = F.regexp_replace(F.regexp_extract(text, r"([\d,]*\d[\d,]*)", 1), ",", "").try_cast("long")
     usd = text.contains("$") | low.contains("usd")

@@ -62,7 +62,7 @@ class Layout:
 _PRICES, _DATES, _CONTACTS = ("월세", "보증금", "전세", "Rent"), ("작성일", "Posted", "Date"), ("연락처", "이메일", "카카오", "Contact")
 _LABELLED = {"price_labels": _PRICES, "all_prices": True, "location_labels": ("지역", "위치"), "date_labels": _DATES, "contact_labels": _CONTACTS, "infer": True, "date": (), "suffix": r"\s*\|[^|]*$"}
 
-#: The layouts by the kind of board software; a registry is data, and new boards are entries.
+#: Selectors, labels and patterns of addresses of six kinds of board software. New boards are new entries.
 REGISTRY: dict[str, Layout] = {
     "default": Layout(),
     "meta_table": Layout(
