@@ -35,8 +35,9 @@ THRESHOLD, EVIDENCE, GAIN, LOSS, FORM_BITS, BASE = 1.0, 1.0, 0.45, 0.5, 2.0, 0.2
 PRIOR = 2.0
 #: Bits of values whose form nothing else has.
 SURE_BITS = 64.0
-#: Segments that a worker remembers to have read, and keys that it remembers to have described.
-LINES, KEYS = 1 << 17, 1 << 20
+#: Lines and segments that a worker remembers to have read, keys that it remembers to have described, words that it remembers,
+#: and the characters of the longest of these.
+LINES, KEYS, WORDS, KEPT_WORD = 1 << 17, 1 << 20, 1 << 17, 64
 KINDS = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")
 NAME = KINDS.index("NAME")
 
@@ -65,8 +66,11 @@ ADDRESS = re.compile(
     rf"(?<![\w#$.-])\d{{1,6}}(?:-\d+)?\s+(?:(?:North|South|East|West|No|So|N|S|E|W|NE|NW|SE|SW)\b\.?\s+)?(?:[A-Z][A-Za-z'-]+\s+){{1,3}}{TYPES}(?![A-Za-z])\.?", re.I
 )
 KO_ADDRESS = re.compile(r"(?<![가-힣\w])[가-힣]+[로길]\s?(?:\d+(?:번)?길\s?)?\d+(?:-\d+)?(?!\d|[층호분개월부년명%]|\s?(?:층|분|개월|달러))")
+#: In every number of a person or a telephone, but those that begin with a spelt-out zero; the second for digits put as 0.
+LONG, NEAR = re.compile(r"\d{3}[-. ]?\d{4}|\d{2}[- ]\d{4}|\d{6}"), re.compile(r"00(?:0?[-. ]?0000|0000)")
 HOUSE, ON_ROAD = re.compile(r"\d\s+[A-Za-z]"), re.compile(r"[로길]\s?\d")
-DIGITS = re.compile(r"\d{3}|공[일이삼사오육칠팔구공]|[로길] ?\d|\d [A-Z]", re.I)
+#: The letters are those that [A-Z] matches whatever the case.
+DIGITS = re.compile(r"\d{3}|공[일이삼사오육칠팔구공]|[로길] ?\d|\d [A-Za-zİıſ\u212a]")
 #: Forms that nothing else has; the others are decided by the contexts in which they stand.
 SURE = re.compile(r"\S*@\S*|\+.*|.*\(\d.*|(?:1[-. ])?\d{2,3}[-. ]\d{3,4}[-. ]\d{4}|\d{6}\s?-\s?\d{7}|\d.*[A-Za-z]\.?")
 
@@ -86,20 +90,29 @@ NUMBER = re.compile(r"\d+")
 DIGIT = re.compile(r"\d")
 CUT = re.compile(r"[\n\r]+|(?<=[가-힣][.!?…])[!?.…]*[ \t]+")
 
+#: In every text that is cut.
+CUTS = re.compile(r"[\n\r]|[.!?…][ \t]")
+
 
 def plain(text: str) -> str:
     """Full-width forms as plain ones, one character each, so that offsets stay."""
     return text.translate(WIDE) if not text.isascii() and WIDE_FORM.search(text) else text
 
 
+def possible(masked: str) -> bool:
+    """Whether a text may hold a value with a form of its own, by the text with its digits as 0."""
+    if "@" in masked or "골뱅이" in masked or "공" in masked or ("(" in masked or "[" in masked) and EMAIL_HINT.search(masked):
+        return True
+    return "0" in masked and (NEAR.search(masked) is not None or HOUSE.search(masked) is not None or ON_ROAD.search(masked) is not None)
+
+
 def structured(t: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the values with a form of their own, without overlaps, in order."""
     out: list[tuple[int, int, str]] = []
-    if ("@" in t or "골뱅이" in t or "at" in t.lower()) and EMAIL_HINT.search(t):
+    if ("@" in t or "골뱅이" in t or "(" in t or "[" in t) and EMAIL_HINT.search(t):
         out += [(m.start(), m.end(), "EMAIL") for m in EMAIL.finditer(t)]
     if NUMERAL.search(t) and DIGITS.search(t):
-        # every number of a person or a telephone has eight digits, or begins with a spelt-out zero
-        long = "공" in t or sum(map(len, NUMBER.findall(t))) >= 8
+        long = "공" in t or LONG.search(t)
         for kind, pattern, possible in (("ID_NUMBER", ID_NUMBER, long), ("PHONE", PHONE, long), ("ADDRESS", ADDRESS, HOUSE.search(t)), ("ADDRESS", KO_ADDRESS, ON_ROAD.search(t))):
             for m in pattern.finditer(t) if possible else ():
                 start, end = m.span()
@@ -109,75 +122,117 @@ def structured(t: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def candidates(t: str, taken: list[tuple[int, int, str]] | None = None) -> list[tuple[int, int, int, int, str, str, str, bool]]:
+#: What a word holds: itself with numbers as 0, the same after a blank, its runs (start, end, end of the run, term, what stands
+#: before and after in the word; None at its edges), the spans of its capitalised parts, the places of the runs.
+Word = tuple[str, str, tuple[tuple[int, int, int, str, str | None, str | None], ...], tuple[tuple[int, int], ...], list[int]]
+
+
+def word(w: str) -> Word:
+    """What a word holds, wherever it stands."""
+    runs = []
+    for m in RUN.finditer(w):
+        a, b = m.span()
+        run, size = m[0], b - a
+        if size > LONGEST:
+            continue
+        for n in (4, 3, 2):
+            if n == size or n < size and run[n:] in PARTICLES:
+                runs.append((a, a + n, b, run[:n], NUMBER.sub("0", w[:a]) if a else None, NUMBER.sub("0", w[a + n :]) if a + n < len(w) else None))
+    masked = NUMBER.sub("0", w)
+    caps = tuple(m.span() for m in CAPITALISED.finditer(w)) if UPPER.search(w) else ()
+    return masked, " " + masked, tuple(runs), caps, [placed(a, e, a) for a, e, *_ in runs]
+
+
+def placed(start: int, end: int, group: int) -> int:
+    """A place: start, length and the distance to the start of the candidate's group."""
+    return start << 40 | (end - start) << 20 | min(start - group, 0xFFFFF)
+
+
+def kept(w: str, known: dict[str, Word]) -> Word:
+    x = word(w)
+    if len(w) <= KEPT_WORD:
+        known[w] = x
+    return x
+
+
+def candidates(t: str, taken: list[tuple[int, int, str]] | None = None, known: dict[str, Word] | None = None) -> list[tuple[int, int, int, int, str, str, str, bool]]:
     """(start, end, group, kind, term, left, right, sure) of a segment; candidates that overlap are in one group. left is the word
     before (or what stands before in the same word), right the rest of the word or the next one after a blank; protected values
-    stand there by their kind, digits as 0, '^' and '$' at the edges."""
+    stand there by their kind, digits as 0, '^' and '$' at the edges. known keeps what words hold."""
     taken = structured(t) if taken is None else taken
+    known = {} if known is None else known
+    read = [known.get(w) or kept(w, known) for w in t.split()]
+    lefts, rights = ["^", *[x[0] for x in read]], [*[x[1] for x in read], "$"]
+    spans = [m.span() for m in WORD.finditer(t)]
     starts, ends = {a: f"<{k}>" for a, _, k in taken}, {b: f"<{k}>" for _, b, k in taken}
-    words = [m.span() for m in WORD.finditer(t)]
-    masked = WORD.findall(NUMBER.sub("0", t))
-    w, n_words = 0, len(words)
-
-    def around(a: int, b: int) -> tuple[str, str]:
-        nonlocal w
-        if w >= n_words or words[w][0] > a:
-            w = 0
-        while words[w][1] <= a:
-            w += 1
-        first = words[w][0]
-        if a > first:
-            left = ends.get(a) or NUMBER.sub("0", t[first:a])
-        else:
-            left = (ends.get(words[w - 1][1]) or masked[w - 1]) if w else "^"
-        k = w
-        while words[k][1] < b:
-            k += 1
-        if b < words[k][1]:
-            right = starts.get(b) or NUMBER.sub("0", t[b : words[k][1]])
-        elif k + 1 < n_words:
-            right = starts.get(words[k + 1][0]) or " " + masked[k + 1]
-        else:
-            right = "$"
-        return left, right
-
+    for k, (a, b) in enumerate(spans):
+        lefts[k + 1] = ends.get(b) or lefts[k + 1]
+        rights[k] = starts.get(a) or rights[k]
     out = []
+    k = 0
     for a, b, kind in taken:
         value = t[a:b]
+        while spans[k][1] <= a:
+            k += 1
+        first, last = spans[k][0], k
+        while spans[last][1] < b:
+            last += 1
+        left = (ends.get(a) or NUMBER.sub("0", t[first:a])) if a > first else lefts[k]
+        right = (starts.get(b) or NUMBER.sub("0", t[b : spans[last][1]])) if b < spans[last][1] else rights[last + 1]
         sure = SURE.fullmatch(value) is not None
-        out.append((a, b, a, KINDS.index(kind), "" if sure else f"{shape(value)}\x02{value}", *around(a, b), sure))
-    free = (lambda a, b: all(y <= a or x >= b for x, y, _ in taken)) if taken else None
-    at = 0
-    for m in RUN.finditer(t):
-        a, b = m.span()
-        run, size = m[0], b - a
-        if size > LONGEST or free and not free(a, b):
+        out.append((a, b, a, KINDS.index(kind), "" if sure else f"{shape(value)}\x02{value}", left, right, sure))
+    v = 0
+    for k, (first, end) in enumerate(spans):
+        if not read[k][2]:
             continue
-        while words[at][1] <= a:
-            at += 1
-        first, end = words[at]
-        left = None
-        for n in (4, 3, 2):
-            if n == size or n < size and run[n:] in PARTICLES:
-                if taken:
-                    out.append((a, a + n, a, NAME, run[:n], *around(a, a + n), False))
+        while v < len(taken) and taken[v][1] <= first:
+            v += 1
+        touched = v < len(taken) and taken[v][0] < end
+        for a, e, b, term, left, right in read[k][2]:
+            a, e, b = first + a, first + e, first + b
+            if touched:
+                if not _free(taken, a, b, v):
                     continue
-                left = left or (NUMBER.sub("0", t[first:a]) if a > first else masked[at - 1] if at else "^")
-                right = NUMBER.sub("0", t[a + n : end]) if a + n < end else " " + masked[at + 1] if at + 1 < n_words else "$"
-                out.append((a, a + n, a, NAME, run[:n], left, right, False))
-    if UPPER.search(t):
-        caps = [m.span() for m in CAPITALISED.finditer(t)]
-        group, last = 0, 0
-        for k, (a, b) in enumerate(caps):
-            if free and not free(a, b) or t[a:b] in DIRECTIONS:
-                continue
-            if a >= last:
-                group = a
-            if k + 1 < len(caps) and INITIAL.fullmatch(t, b, caps[k + 1][0]) and not (free and not free(a, caps[k + 1][1])):
-                last = caps[k + 1][1]
-                out.append((a, last, group, NAME, t[a:last], *around(a, last), False))
-            elif a >= last:
-                out.append((a, b, a, NAME, t[a:b], *around(a, b), False))
+                left = left and (ends.get(a) or left)
+                right = right and (starts.get(e) or right)
+            out.append((a, e, a, NAME, term, left or lefts[k], right or rights[k + 1], False))
+    if any(x[3] for x in read):
+        out += _capitalised(t, taken, spans, read, lefts, rights)
+    return out
+
+
+def _free(taken: list[tuple[int, int, str]], a: int, b: int, v: int) -> bool:
+    """Whether a span meets no value, of those from place v on."""
+    while v < len(taken) and taken[v][0] < b:
+        if taken[v][1] > a:
+            return False
+        v += 1
+    return True
+
+
+def _capitalised(t: str, taken: list[tuple[int, int, str]], spans: list[tuple[int, int]], read: list[Word], lefts: list[str], rights: list[str]) -> list[tuple[int, int, int, int, str, str, str, bool]]:
+    """Runs of capitalised words."""
+    starts, ends = {a: f"<{k}>" for a, _, k in taken}, {b: f"<{k}>" for _, b, k in taken}
+    caps = [(spans[k][0] + a, spans[k][0] + b, k) for k, x in enumerate(read) for a, b in x[3]]
+    out = []
+    v = group = last = 0
+    for i, (a, b, k) in enumerate(caps):
+        while v < len(taken) and taken[v][1] <= a:
+            v += 1
+        if not _free(taken, a, b, v) or t[a:b] in DIRECTIONS:
+            continue
+        if a >= last:
+            group = a
+        if i + 1 < len(caps) and INITIAL.fullmatch(t, b, caps[i + 1][0]) and _free(taken, a, caps[i + 1][1], v):
+            last, of, till = caps[i + 1][1], group, caps[i + 1][2]
+            e = last
+        elif a >= last:
+            e, of, till = b, a, k
+        else:
+            continue
+        left = (ends.get(a) or NUMBER.sub("0", t[spans[k][0] : a])) if a > spans[k][0] else lefts[k]
+        right = (starts.get(e) or NUMBER.sub("0", t[e : spans[till][1]])) if e < spans[till][1] else rights[till + 1]
+        out.append((a, e, of, NAME, t[a:e], left, right, False))
     return out
 
 
@@ -192,6 +247,10 @@ def key(kind: int, term: str, left: str, right: str) -> int:
 
 def segments(text: str) -> Iterator[tuple[int, str]]:
     """(offset, segment): the lines of a text, cut also after the ends of Korean sentences; no value and no context crosses one."""
+    if not CUTS.search(text):
+        if text:
+            yield 0, text
+        return
     at = 0
     for m in CUT.finditer(text):
         if m.start() > at:
@@ -201,67 +260,128 @@ def segments(text: str) -> Iterator[tuple[int, str]]:
         yield at, text[at:]
 
 
+class Reader:
+    """Reads texts, what recurs once: lines, segments (digits aside, where no value has a form of its own), words and words between
+    two others."""
+
+    def __init__(self) -> None:
+        self.lines: dict[str, tuple[tuple[int, bytes], ...]] = {}
+        self.segments: dict[str, bytes] = {}
+        self.words: dict[str, Word] = {}
+        self.between: dict[tuple[str, str, str], list[int]] = {}
+        self.described: set[int] = set()
+        #: What was read since it was last taken: (segment, keys, places) and (key, kind, sure, term, left, right).
+        self.read: list[tuple[bytes, list[int], list[int]]] = []
+        self.told: list[tuple[int, int, bool, str, str, str]] = []
+
+    def taken(self) -> tuple[list, list]:
+        out = self.read, self.told
+        self.read, self.told = [], []
+        for known, most in ((self.lines, LINES), (self.segments, LINES), (self.words, WORDS), (self.between, WORDS), (self.described, KEYS)):
+            if len(known) > most:
+                known.clear()
+        return out
+
+    def text(self, text: str) -> Iterator[tuple[int, bytes]]:
+        """(offset, segment) of the segments that hold candidates; no segment crosses the end of a line."""
+        at = 0
+        for line in text.split("\n"):
+            if line:
+                hits = self.lines.get(line)
+                if hits is None:
+                    hits = self.lines[line] = tuple((a, k) for a, s in segments(plain(line)) if (k := self.segment(s)))
+                for a, k in hits:
+                    yield at + a, k
+            at += len(line) + 1
+
+    def segment(self, segment: str) -> bytes:
+        """The hash of a segment if it holds candidates."""
+        # without values of a form of their own only the places of digits count
+        masked = DIGIT.sub("0", segment)
+        values = structured(segment) if possible(masked) else []
+        if values:
+            # no masked segment begins with the end of a line
+            masked = "\n" + segment
+        k = self.segments.get(masked)
+        if k is None:
+            keys, places = self.values(segment, values) if values else self.names(masked)
+            k = self.segments[masked] = xxhash.xxh3_128_digest(masked.encode("utf-8", "replace")) if keys else b""
+            if keys:
+                self.read.append((k, keys, places))
+        return k
+
+    def key(self, kind: int, term: str, left: str, right: str, sure: bool) -> int:
+        x = key(kind, term, left, right)
+        if x not in self.described:
+            self.described.add(x)
+            self.told.append((x, kind, sure, term, left, right))
+        return x
+
+    def values(self, t: str, values: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+        hits = candidates(t, values, self.words)
+        return [self.key(kind, term, left, right, sure) for _, _, _, kind, term, left, right, sure in hits], [placed(a, b, g) for a, b, g, *_ in hits]
+
+    def names(self, t: str) -> tuple[list[int], list[int]]:
+        """Keys and places of the candidates of a segment without values; they are those of ``candidates``."""
+        words = t.split()
+        known = self.words
+        read = [known.get(w) or kept(w, known) for w in words]
+        if " ".join(words) != t or any([x[3] for x in read]):
+            return self.values(t, [])
+        keys: list[int] = []
+        places: list[int] = []
+        at, before, last = 0, "^", len(words) - 1
+        for k, w in enumerate(words):
+            x = read[k]
+            if x[2]:
+                after = read[k + 1][1] if k < last else "$"
+                own = self.between.get((before, w, after))
+                if own is None:
+                    own = [self.key(NAME, term, left or before, right or after, False) for _, _, _, term, left, right in x[2]]
+                    if len(w) <= KEPT_WORD:
+                        self.between[before, w, after] = own
+                keys += own
+                start = at << 40
+                for p in x[4]:
+                    places.append(start + p)
+            at += len(w) + 1
+            before = x[0]
+        return keys, places
+
+
 def found(rows: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
     """Three kinds of rows: the segments of all texts that hold candidates (id, field, at, segment: a hash of 128 bits); the
     candidates of each segment (segment, keys, places), at least once; the descriptions of keys (key, kind, sure, term, left,
-    right), at least once. Texts are read whole; a segment that recurs is read once by a worker, digits aside. A place holds start,
-    length and the distance to the start of the candidate's group."""
+    right), at least once. Texts are read whole; a segment that recurs is read once by a worker, digits aside."""
     parts = [("segment", pa.binary()), ("field", pa.int32()), ("at", pa.int32()), ("keys", pa.list_(pa.int64())), ("places", pa.list_(pa.int64())), ("key", pa.int64()), ("kind", pa.int32()), ("sure", pa.bool_()), *[(n, pa.string()) for n in ("term", "left", "right")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, bytes] = {}
-        known: set[int] = set()
-
-        def read(segment: str, lines: list, told: list) -> bytes:
-            # without values of a form of their own only the places of digits count
-            taken = structured(segment)
-            masked = segment if taken or not DIGIT.search(segment) else DIGIT.sub("0", segment)
-            k = kept.get(masked) if masked is not segment else None
-            if k is None:
-                hits = candidates(masked, taken)
-                k = kept[masked] = xxhash.xxh3_128_digest(masked.encode("utf-8", "replace")) if hits else b""
-                keys, places = [], []
-                for a, b, g, kind, term, left, right, sure in hits:
-                    x = key(kind, term, left, right)
-                    keys.append(x)
-                    places.append(a << 40 | (b - a) << 20 | min(a - g, 0xFFFFF))
-                    if x not in known:
-                        known.add(x)
-                        told.append((x, kind, sure, term, left, right))
-                if hits:
-                    lines.append((k, keys, places))
-            kept[segment] = k
-            return k
-
+        reader = Reader()
         for batch in batches:
             index: list[int] = []
             fields: list[int] = []
             ats: list[int] = []
             where: list[bytes] = []
-            lines: list[tuple] = []
-            told: list[tuple] = []
-            if len(kept) > LINES or len(known) > KEYS:
-                kept.clear()
-                known.clear()
             for f in range(len(columns)):
                 for i, text in enumerate(batch.column(1 + f).to_pylist()):
                     if not text:
                         continue
-                    for at, segment in segments(plain(text)):
-                        k = kept.get(segment)
-                        if k is None:
-                            k = read(segment, lines, told)
-                        if k:
-                            index.append(i)
-                            fields.append(f)
-                            ats.append(at)
-                            where.append(k)
+                    for at, k in reader.text(text):
+                        index.append(i)
+                        fields.append(f)
+                        ats.append(at)
+                        where.append(k)
+            lines, told = reader.taken()
             a, b, c = len(index), len(lines), len(told)
             segment, keys, places = zip(*lines) if lines else ((), (), ())
-            described = [[None] * (a + b) + list(x) for x in zip(*told)] if told else [[None] * (a + b)] * 6
-            ids = batch.column(0).take(pa.array(index + [None] * (b + c), pa.int64()))
-            values = [where + list(segment) + [None] * c, fields + [None] * (b + c), ats + [None] * (b + c), [None] * a + list(keys) + [None] * c, [None] * a + list(places) + [None] * c, *described]
-            yield pa.RecordBatch.from_arrays([ids, *[pa.array(v, t) for v, (_, t) in zip(values, parts)]], names=["id", *[n for n, _ in parts]])
+            described = zip(*told) if told else [()] * 6
+            ids = batch.column(0).take(pa.array(index, pa.int64()))
+            blocks = [(ids, b + c), (where + list(segment), c), (fields, b + c), (ats, b + c), (keys, c), (places, c), *[(x, 0) for x in described]]
+            arrays = []
+            for (block, after), of in zip(blocks, (ids.type, *[t for _, t in parts])):
+                block = block if isinstance(block, pa.Array) else pa.array(block, of)
+                arrays.append(pa.concat_arrays([pa.nulls(a + b + c - after - len(block), of), block, pa.nulls(after, of)]))
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", *[n for n, _ in parts]])
 
     kind = dict(rows.dtypes)[id_column]
     out = f"id {kind}, segment binary, field int, at int, keys array<bigint>, places array<bigint>, key bigint, kind int, sure boolean, term string, `left` string, `right` string"

@@ -1,3 +1,4 @@
+import itertools
 import time
 
 import pytest
@@ -71,3 +72,45 @@ def test_hostile_texts_end_soon(text):
     began = time.perf_counter()
     P.candidates(text)
     assert time.perf_counter() - began < 10
+
+
+def test_what_recurs_is_read_once(monkeypatch):
+    calls = {"word": 0, "key": 0, "structured": 0}
+
+    def counting(name, f):
+        def counted(*x):
+            calls[name] += 1
+            return f(*x)
+
+        return counted
+
+    for name in calls:
+        monkeypatch.setattr(P, name, counting(name, getattr(P, name)))
+    vocabulary = ["김다솔이", "집주인", "조용한", "동네", "세탁기", "남궁가온", "보증금", "전기와", "요금"]
+    segments = [f"{a} {b} {c} {d} {n:05} {e}" for n, (a, b, c, d, e) in enumerate(itertools.product(vocabulary, repeat=5)) if n % 7 == 0]
+    reader = P.Reader()
+    hits = [list(reader.text(s)) for s in segments]
+    assert all(len(x) == 1 and x[0][0] == 0 for x in hits)
+    # the words and the number, digits aside; a word between two others once; no number here can be a value
+    assert calls["word"] == len(vocabulary) + 1 and calls["structured"] == 0
+    assert calls["key"] <= 2 * (len(vocabulary) + 2) ** 3 < len(segments)
+    assert len(reader.read) == len({h[0][1] for h in hits}) and sum(len(k) for _, k, _ in reader.read) > calls["key"]
+
+
+@pytest.mark.parametrize("text", [t for t, _ in CASES + EXTRA if t] + ["  김다솔이\t남궁가온씨에게 (김다솔)님. 다음 ", "a김다솔 12김다솔이3 김다솔-남궁가온,최온래", "최온래213-555-0123김다솔 남궁가온", "Arden K. Gwonson South Elowen-Kim Lee-Arden 김다솔", "\r\n김다솔.. 최온래"])
+def test_reader_gives_the_candidates_of_each_segment(text):
+    reader = P.Reader()
+    want = []
+    for at, s in P.segments(P.plain(text)):
+        values = P.structured(s)
+        s = s if values else P.DIGIT.sub("0", s)
+        want.append((at, sorted((P.key(*x[3:7]), P.placed(x[0], x[1], x[2])) for x in P.candidates(s, values))))
+    got = list(reader.text(text))
+    read = {k: sorted(zip(keys, places)) for k, keys, places in reader.read}
+    assert [(at, read[k]) for at, k in got] == [x for x in want if x[1]]
+
+
+def test_digits_aside_a_segment_with_a_value_is_another(spark):
+    # only the second is a telephone number, though the digits of the first put as 0 give the second
+    df = spark.createDataFrame([(1, "번호 12-345-6789 로"), (2, "번호 00-000-0000 로"), (3, "번호 12-345-6789 로")], "id long, title_ko string").coalesce(1)
+    assert rows(P.spans(df, "id", ["title_ko"]).where("kind = 'PHONE'"), "id", "start_at", "end_at") == [(2, 3, 14)]
