@@ -95,9 +95,11 @@ def localities(rows: DataFrame, places: DataFrame, forms: dict[str, str]) -> Dat
     evidence = rows.select("city", "state", "zip", "addr_state", "addr_name").distinct()
     # the fields may be swapped, so both are read for a name; the state of the address counts before that of the fields
     evidence = evidence.withColumns({"_fields": F.concat_ws(" / ", "city", F.when(F.col("addr_state").isNull() | ~P.stated(F.col("state"), forms), F.col("state"))), "_told": F.coalesce("addr_state", F.when(P.stated(F.col("state"), forms), F.col("state")))})
+    # what several branches read is written first: the plans, which the driver keeps, would hold it once for each branch
+    evidence = materialize(evidence, "evidence")
     # one call for both, so that the references and the spellings are cut once
     asked = evidence.select(F.explode(F.array("_fields", "addr_name")).alias("city"), F.col("_told").alias("state_or_province"))
-    answers = materialize(P.match_places(asked, places).where("place_id > 0"), "localities")
+    answers = materialize(P.match_places(asked, places, write=materialize).where("place_id > 0"), "localities")
     zips = F.broadcast(places.select(F.col("zip").alias("_z"), F.col("place_id").alias("_by_zip")).where("_z is not null").dropDuplicates(["_z"]))
 
     def joined(left: DataFrame, city: str, to: str) -> DataFrame:
@@ -108,6 +110,7 @@ def localities(rows: DataFrame, places: DataFrame, forms: dict[str, str]) -> Dat
     place = F.coalesce("_by_zip", "_by_addr", "_by_field")
     field_name = P.key(P.folded(F.regexp_replace("city", r"[`~\[\]()]", " ")))
     e = e.withColumns({"_place": place, "_own": F.when(place.isNull(), F.col("addr_name")), "_field": F.when(place.isNull() & (F.length(field_name) >= 2), field_name)})
+    e = materialize(e.select("city", "state", "zip", "addr_state", "addr_name", "_place", "_own", "_field"), "named")
     # a field spelling that goes with an address spelling is its alias; the most frequent one counts
     alias = e.where("_own is not null and _field is not null and _own <> _field").groupBy("_field", "_own").count()
     alias = alias.groupBy("_field").agg(F.max_by("_own", F.struct("count", "_own")).alias("_alias"))
@@ -160,10 +163,9 @@ def streets(rows: DataFrame) -> DataFrame:
 
     Entries are the spellings that no much more frequent entry explains. Equally near ones of the same locality come first.
     """
-    here = rows.groupBy("locality", "street").agg(F.count(F.lit(1)).alias("n"))
-    everywhere = here.groupBy("street").agg(F.sum("n").alias("n"))
-    everywhere = materialize(everywhere, "streets")
-    houses = rows.where("locality is not null").groupBy("locality", "number", "dir", "kind", "street").agg(F.count(F.lit(1)).alias("n"))
+    here = materialize(rows.groupBy("locality", "street").agg(F.count(F.lit(1)).alias("n")), "streets")
+    everywhere = materialize(here.groupBy("street").agg(F.sum("n").alias("n")), "streets")
+    houses = materialize(rows.where("locality is not null").groupBy("locality", "number", "dir", "kind", "street").agg(F.count(F.lit(1)).alias("n")), "houses")
     # entries are found among the leading spellings first, then among those that these don't explain; the split only spares
     # comparisons, as every spelling meets the entries of both
     most = everywhere.agg(F.max("n")).first()[0] or 0
@@ -176,6 +178,7 @@ def streets(rows: DataFrame) -> DataFrame:
     left = materialize(without(others, first).where(F.col("n") >= RATIO), "left")
     lesser = without(left, materialize(explained(left, left, houses), "spellings"))
     pairs = merged.join(entries.select(F.col("street").alias("entry")).hint(LARGE), "entry", "left_semi").unionByName(first).unionByName(explained(others, lesser, houses))
+    pairs = materialize(pairs, "spellings")
     known = here.select(F.col("locality").alias("_l"), F.col("street").alias("_s"), F.col("n").alias("local"))
     scored = here.join(pairs.hint(LARGE), F.col("street") == F.col("name")).join(known.hint(LARGE), F.col("_l").eqNullSafe(F.col("locality")) & (F.col("_s") == F.col("entry")), "left")
     order = F.struct("distance", F.col("local").isNull().alias("away"), (-F.coalesce("local", F.lit(0))).alias("l"), (-F.col("of_entry")).alias("o"), "entry")
@@ -203,6 +206,7 @@ def resolve(listings: DataFrame, places: DataFrame) -> DataFrame:
     house = ["number", "dir", "entry", "kind"]
     beams = materialize(streets(rows).withColumnsRenamed({"locality": "_l", "street": "_s"}), "gazetteer")
     typed = rows.join(beams.select("_l", "_s").distinct().hint(LARGE), F.coalesce("locality", null).eqNullSafe(F.coalesce("_l", null)) & (F.col("street") == F.col("_s")), "left")
+    typed = materialize(typed, "typed")
     plain = typed.where("_s is null").select("id", "locality", "number", "dir", F.col("street").alias("entry"), "kind")
     # hypotheses of the misspelt rows; a house that the gazetteer knows outweighs one edit
     open_rows = typed.where("_s is not null").drop("_l", "_s").join(beams.hint(LARGE), F.coalesce("locality", null).eqNullSafe(F.coalesce("_l", null)) & (F.col("street") == F.col("_s")))
@@ -216,7 +220,7 @@ def resolve(listings: DataFrame, places: DataFrame) -> DataFrame:
     scored = scored.join(alone.hint(LARGE), house, "left").withColumn("_at", F.coalesce("locality", "_one"))
     scored = scored.withColumn("_score", F.col("distance") - F.when(F.col("_hl").isNotNull() | (F.col("locality").isNull() & F.col("_one").isNotNull()), 1).otherwise(0))
     chosen = scored.groupBy("id").agg(F.min_by(F.struct(F.col("_at").alias("locality"), *house), F.struct("_score", "distance", "rank")).alias("h")).select("id", "h.*")
-    rows = plain.unionByName(chosen)
+    rows = materialize(plain.unionByName(chosen), "settled")
     only = rows.where("locality is not null").groupBy(*house).agg(F.min("locality").alias("_one"), F.max("locality").alias("_two")).where("_one = _two").drop("_two")
     lost = rows.where("locality is null").join(only.hint(LARGE), house, "left").withColumn("locality", F.col("_one")).drop("_one")
     return rows.where("locality is not null").unionByName(lost).select("id", "locality", *house)

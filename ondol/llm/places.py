@@ -9,6 +9,8 @@ Only the reference side is broadcast; its rows are bounded by ``MAX_PLACES``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,12 +104,15 @@ def references(places: DataFrame) -> DataFrame:
     return rows.withColumns({"n": F.length("name"), "k": F.when(F.col("name").rlike("^[0-9]+$"), 0).otherwise(edits(F.length("name"), hangul))})
 
 
-def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state: str = "state_or_province") -> DataFrame:
+def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state: str = "state_or_province", write: Callable[[DataFrame, str], DataFrame] = lambda frame, what: frame) -> DataFrame:
     """(city, state, place_id) for every distinct pair of fields whose city is neither NULL nor blank; place_id 0 names none.
 
     Of several places the ones whose state is told win, then the smaller distance; a remaining tie names none. Where a state is
     told that contradicts every place of the name, none is named. Empty tables give no rows. More than ``MAX_PLACES`` places
     are refused.
+
+    Several branches read the name parts, the references and the matches of names. ``write`` (``materialize``) cuts the plan
+    there; a query that matches places among many other steps needs it, as the driver holds each plan again at every stage.
     """
     known = forms_map(state_forms(places))
     fields = rows.select(F.col(city).alias("city"), F.col(state).alias("state")).where(F.length(F.trim(F.regexp_replace(F.col("city"), r"[\s 　]+", " "))) > 0).distinct()
@@ -120,20 +125,21 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
     last = F.array_compact(F.transform("parts", lambda x: F.when(F.length(F.regexp_extract(x, r"\s(\S{2,12})$", 1)) > 0, F.try_element_at(known, stateless(F.regexp_extract(x, r"\s(\S{2,12})$", 1))))))
     fields = fields.withColumn("told", F.array_distinct(F.concat(told, last)))
     names = F.filter(F.array_distinct(F.transform("parts", key)), lambda x: F.length(x) >= 2)
-    fields = fields.withColumn("name", F.explode_outer(names))
-    refs = F.broadcast(references(places))
+    fields = write(fields.withColumn("name", F.explode_outer(names)), "parts")
+    named = write(references(places), "references")
+    refs = F.broadcast(named)
     texts = fields.select("name").where("name is not null").distinct()
 
     exact = texts.join(refs.select("place_id", F.col("name")), "name").select("name", "place_id", F.lit(0).alias("distance"))
-    fuzzy = texts.join(F.broadcast(references(places).select("name").distinct()), "name", "left_anti")
+    fuzzy = texts.join(F.broadcast(named.select("name").distinct()), "name", "left_anti")
     # k + 1 segments of a reference: lengths differ by one at most, the longer ones last
     seg = F.expr(
         "transform(sequence(0, k), i -> struct(cast(i * floor(n / (k + 1)) + greatest(0, i - (k + 1 - n % (k + 1))) as int) as at,"
         " cast(floor(n / (k + 1)) + case when i >= k + 1 - n % (k + 1) then 1 else 0 end as int) as size))"
     )
-    pieces = references(places).where("k > 0").withColumn("s", F.explode(seg)).select("place_id", F.col("name").alias("ref"), "n", "k", F.col("s.at").alias("at"), F.expr("substring(name, s.at + 1, s.size)").alias("piece"))
+    pieces = named.where("k > 0").withColumn("s", F.explode(seg)).select("place_id", F.col("name").alias("ref"), "n", "k", F.col("s.at").alias("at"), F.expr("substring(name, s.at + 1, s.size)").alias("piece"))
     # a text longer or shorter than every reference by more than its edits is near none
-    lengths = references(places).where("k > 0").select(F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("size")).distinct()
+    lengths = named.where("k > 0").select(F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("size")).distinct()
     fuzzy = fuzzy.withColumn("size", F.length("name")).join(F.broadcast(lengths), "size", "left_semi").drop("size")
     # the sizes that the references' own segments have
     sizes = F.broadcast(pieces.select(F.length("piece").alias("size")).distinct())
@@ -141,7 +147,7 @@ def match_places(rows: DataFrame, places: DataFrame, city: str = "city", state:
     grams = grams.select("name", F.posexplode(F.expr("transform(sequence(1, length(name) - size + 1), p -> substring(name, p, size))")).alias("pos", "piece"))
     near = grams.join(F.broadcast(pieces), "piece").where("abs(pos - at) <= k and abs(length(name) - n) <= k")
     near = near.select("name", "ref", "place_id", "k").distinct().withColumn("distance", F.levenshtein("name", "ref")).where("distance <= k").select("name", "place_id", "distance")
-    found = exact.unionByName(near).groupBy("name", "place_id").agg(F.min("distance").alias("distance"))
+    found = write(exact.unionByName(near).groupBy("name", "place_id").agg(F.min("distance").alias("distance")), "matches")
 
     state_of = places.select("place_id", folded(F.col("state_code")).alias("own"))
     scored = fields.join(found, "name").join(F.broadcast(state_of), "place_id").withColumn("agrees", F.array_contains("told", F.col("own")))

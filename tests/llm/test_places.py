@@ -126,3 +126,21 @@ def test_states_of_the_reference(spark, refs):
     forms = places.state_forms(refs)
     assert forms["narae-do"] == forms["naraedo"] == forms["나래도"] == "나래도" and forms["california"] == forms["캘리포니아주"] == forms["calif"] == "ca" and "ohio" not in forms
     assert places.state_forms(refs.limit(0)) == {}
+
+
+def test_plans_of_addresses_stay_small(spark, refs, monkeypatch):
+    # the driver holds the plan of a write again at each of its stages; one read 27 tables
+    read, write = [], addresses.materialize
+    monkeypatch.setattr(addresses, "materialize", lambda df, what: read.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size()) or write(df, what))
+    df = spark.createDataFrame(ADDRESSES, "id long, city string, state_or_province string, address_raw string")
+    addresses.same_building(df, refs)
+    assert max(read) <= 12
+
+
+def test_places_are_the_same_with_written_steps(spark, refs):
+    df = spark.createDataFrame([(c, s) for c, s, _ in CASES], "city string, state_or_province string")
+    written = []
+    got = places.match_places(df, refs, write=lambda frame, what: written.append(what) or addresses.materialize(frame, what))
+    assert rows(got) == rows(places.match_places(df, refs)) and len(written) == 3
+    none = places.match_places(df.limit(0), refs.limit(0), write=addresses.materialize)
+    assert rows(none) == []
