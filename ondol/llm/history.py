@@ -98,7 +98,8 @@ def building_names(rows: DataFrame, known: DataFrame | None = None) -> DataFrame
         seen = known.select(F.col("prev").alias("_p"), F.col("last").alias("_l"), "name")
         again = pairs.join(seen, F.col("prev").eqNullSafe(F.col("_p")) & (F.col("last") == F.col("_l"))).select("prev", "last", "name", "n")
         pairs = pairs.join(known, same(pairs, known), "left_anti")
-    pairs = pairs.withColumn("both", F.concat(F.coalesce("prev", F.lit("")), F.col("last")))
+    # as in ``addresses``, what several branches read is written first, so that the driver's plans stay small
+    pairs = materialize(pairs.withColumn("both", F.concat(F.coalesce("prev", F.lit("")), F.col("last"))), "pairs")
     every = pairs.select("both", "n")
     if known is not None:
         every = every.unionByName(known.select(F.concat(F.coalesce("prev", F.lit("")), F.col("last")).alias("both"), "n"))
@@ -113,7 +114,9 @@ def building_names(rows: DataFrame, known: DataFrame | None = None) -> DataFrame
     tried = pairs.select("name", F.explode(F.array_distinct(F.array("name", "last"))).alias("text")).distinct()
     if known is not None:
         tried = tried.join(known.select("name").distinct(), "name", "left_anti")
+    tried = materialize(tried, "tried")
     near = A.near(tried.select(F.col("text").alias("name")).distinct(), names.where(F.col("n") >= RATIO).select(F.col("name").alias("entry")), 2).withColumnRenamed("name", "text")
+    near = materialize(near, "near")
     near = tried.join(near, "text").join(names.withColumnRenamed("n", "own"), "name").join(names.select(F.col("name").alias("entry"), F.col("n").alias("of")), "entry").where(F.col("of") >= RATIO * F.col("own"))
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
     # letters in another order are one slip; two slips leave most of a name as it was
@@ -238,7 +241,7 @@ class History:
         named = materialize(building_names(read, self.aliases()), "named")
         named.write.mode("append").parquet(f"{self.path}/aliases")
         named = named.select(F.col("prev").alias("_p"), F.col("last").alias("_l"), "name")
-        where = materialize(P.match_places(read.select("city", F.col("state").alias("state_or_province")), self.places).where("place_id > 0"), "places").select(F.col("city").alias("_c"), F.coalesce("state", null).alias("_s"), F.col("place_id").alias("place"))
+        where = materialize(P.match_places(read.select("city", F.col("state").alias("state_or_province")), self.places, write=materialize).where("place_id > 0"), "places").select(F.col("city").alias("_c"), F.coalesce("state", null).alias("_s"), F.col("place_id").alias("place"))
         read = read.join(named, F.coalesce("prev", null).eqNullSafe(F.coalesce("_p", null)) & (F.col("last") == F.col("_l")))
         read = read.join(where, (F.col("city") == F.col("_c")) & (F.coalesce("state", null) == F.col("_s")))
         return read.select("id", "batch", "epoch", *OFFER).where("number is not null and beds is not null and baths is not null and rent is not null")

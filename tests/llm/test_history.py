@@ -133,3 +133,15 @@ def test_a_hot_building_takes_no_rows_of_its_neighbours(spark, small):
     listings = spark.createDataFrame(old, "id long, source_id int, title_ko string, city string, state_or_province string, posted_at_utc string")
     staging = spark.createDataFrame(new, "id long, batch_no int, title_ko string, city string, posted_at_utc timestamp").withColumn("state_or_province", F.lit(None).cast("string"))
     assert rows(H.repeated(listings, staging, sources, places, rates)) == [(1000 + len(real),)]
+
+
+def test_plans_of_the_history_stay_small(spark, small, monkeypatch):
+    # the driver holds the plan of a write again at each of its stages; those of places read 9 tables, twice a run
+    places, rates, sources = small
+    read, write = [], H.materialize
+    monkeypatch.setattr(H, "materialize", lambda df, what: read.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size()) or write(df, what))
+    schema = "id long, source_id int, title_ko string, city string, state_or_province string, posted_at_utc string"
+    listings = spark.createDataFrame([(k, 1, t, c, None, at.strftime("%Y-%m-%dT%H:%M:%SZ")) for k, t, c, at in made(20, 1)], schema)
+    staging = spark.createDataFrame([(k, 0, t, c, None, at) for k, t, c, at in made(20, 2)], "id long, batch_no int, title_ko string, city string, state_or_province string, posted_at_utc timestamp")
+    H.repeated(listings, staging, sources, places, rates)
+    assert max(read) <= 7
